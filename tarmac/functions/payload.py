@@ -17,6 +17,11 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def json_text(payload: Column, key: str) -> Column:
+    """A field of JSON text as text; null and missing give NULL."""
+    return F.get_json_object(payload, f"$.{key}")
+
+
 def is_object(value: Column) -> Column:
     return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
 

@@ -54,7 +54,9 @@ class Warehouse:
         )
         known = files.read()
         fresh = listed if allow_reload else unseen_sources(listed, known)
-        loads = cut_lineage(dense_ids(fresh, ["source"], "raw_id", start=max_id(known, "raw_id") + 1))
+        # a load that stopped halfway leaves features without a file row; its ids are not given again
+        last = max(max_id(known, "raw_id"), max_id(features.read(), "raw_id"))
+        loads = cut_lineage(dense_ids(fresh, ["source"], "raw_id", start=last + 1))
         # file names only; one entry per file
         todo = [row.path for row in loads.select("path").toLocalIterator()]
         if not todo:
@@ -64,7 +66,7 @@ class Warehouse:
             found = geojson.line_features(self.spark, todo)
         else:
             found = geojson.document_features(self.spark, todo)
-        # features first: without its file row, a load that failed halfway is never read
+        # features first: without its file row, no feature is ever read
         ids = loads.select("raw_id", "source")
         features.append(
             found.join(ids, "source").select("raw_id", "ordinal", "payload")
