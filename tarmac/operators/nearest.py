@@ -349,13 +349,12 @@ def nearest_join(
         (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
         for name, source in names.items()
     ]
-    known = _unique_shapes(shapes)
+    known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
     if known.limit(array_limit + 1).count() <= array_limit:
         everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
         matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
         return matched.withColumn("best", _best(x, y, F.col("_all"))).select(*points.columns, *outputs)
 
-    known = cut_lineage(known)
     index = build_index(known, points, x, y, _extent(known, points, x, y))
     fallback = known.agg(F.min("winner")).scalar()
     lost = F.struct(F.lit(float("inf")).alias("distance"), fallback.alias("winner"))

@@ -144,16 +144,18 @@ def way_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"name"=>"'), F.col("p_name"), F.lit(r' \"'), F.col("p_brand"), F.lit(r'\" \\, a=>b", '),
         F.lit('"ref"=>NULL, "note"=>"", "size"=>"'), text("p_size"), F.lit('"'),
     )
-    x = F.pmod(key * 7919, F.lit(1000))
-    y = F.pmod(key * 104729, F.lit(1000))
+    # thousandths of a degree, spread over a hundred degrees
+    x = F.pmod(key * 7919, F.lit(100003))
+    y = F.pmod(key * 104729, F.lit(99991))
 
     def ordinate(value: Column) -> Column:
-        return F.concat((F.floor(value / 10)).cast("string"), F.lit("."), F.pmod(value, F.lit(10)).cast("string"))
+        fraction = F.lpad(F.pmod(value, F.lit(1000)).cast("string"), 3, "0")
+        return F.concat(F.floor(value / 1000).cast("string"), F.lit("."), fraction)
 
     vertices = [
         F.concat(ordinate(x), F.lit(" "), ordinate(y)),
-        F.concat(ordinate(x + F.col("p_size")), F.lit("  "), ordinate(y + 13)),
-        F.concat(ordinate(x + 17), F.lit(" "), ordinate(y + 2 * F.col("p_size"))),
+        F.concat(ordinate(x + 10 * F.col("p_size")), F.lit("  "), ordinate(y + 130)),
+        F.concat(ordinate(x + 170), F.lit(" "), ordinate(y + 20 * F.col("p_size"))),
     ]
     line = F.concat(F.lit("LINESTRING ("), vertices[0], F.lit(", "), vertices[1], F.lit(","), vertices[2], F.lit(")"))
     wkt = pick(
@@ -181,12 +183,12 @@ ways AS (
          {sql_pick('p_partkey', _sql_options(ONE_WAYS))} AS oneway,
          p_name || ' "' || p_brand || '" \\, a=>b' AS name,
          CASE WHEN p_partkey % 11 < 9 THEN 'line' WHEN p_partkey % 11 = 9 THEN 'point' ELSE 'short' END AS shape,
-         ((p_partkey * 7919) % 1000) / CAST(10 AS DOUBLE) AS x0,
-         ((p_partkey * 104729) % 1000) / CAST(10 AS DOUBLE) AS y0,
-         ((p_partkey * 7919) % 1000 + p_size) / CAST(10 AS DOUBLE) AS x1,
-         ((p_partkey * 104729) % 1000 + 13) / CAST(10 AS DOUBLE) AS y1,
-         ((p_partkey * 7919) % 1000 + 17) / CAST(10 AS DOUBLE) AS x2,
-         ((p_partkey * 104729) % 1000 + 2 * p_size) / CAST(10 AS DOUBLE) AS y2
+         ((p_partkey * 7919) % 100003) / CAST(1000 AS DOUBLE) AS x0,
+         ((p_partkey * 104729) % 99991) / CAST(1000 AS DOUBLE) AS y0,
+         ((p_partkey * 7919) % 100003 + 10 * p_size) / CAST(1000 AS DOUBLE) AS x1,
+         ((p_partkey * 104729) % 99991 + 130) / CAST(1000 AS DOUBLE) AS y1,
+         ((p_partkey * 7919) % 100003 + 170) / CAST(1000 AS DOUBLE) AS x2,
+         ((p_partkey * 104729) % 99991 + 20 * p_size) / CAST(1000 AS DOUBLE) AS y2
   FROM part),
 roads AS (
   SELECT osm_id AS road_id, name, highway AS road_type, false AS is_intersection,
