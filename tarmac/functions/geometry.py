@@ -18,9 +18,12 @@ def line_points(wkt: Column) -> Column:
             F.get(ordinates, F.lit(1)).try_cast("double").alias("lat"),
         )
 
-    points = F.transform(F.split(body, ","), vertex)
-    broken = F.exists(points, lambda p: p["lon"].isNull() | p["lat"].isNull())
-    return F.when(~broken, points)
+    def sound(points: Column) -> Column:
+        broken = F.exists(points, lambda p: p["lon"].isNull() | p["lat"].isNull())
+        return F.when(~broken, points)
+
+    # the one-element array binds the parsed points to a name, so they are parsed once
+    return F.get(F.transform(F.array(F.transform(F.split(body, ","), vertex)), sound), F.lit(0))
 
 
 def is_line(points: Column) -> Column:

@@ -32,9 +32,13 @@ def tag_map(text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(_PAIR), F.lit(2)),
         lambda v: F.when(v != "NULL", _unescape(F.substring(v, F.lit(2), F.length(v) - 2))),
     )
-    pairs = F.arrays_zip(keys.alias("key"), values.alias("value"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
-    return F.map_from_entries(firsts)
+
+    def firsts(pairs: Column) -> Column:
+        return F.filter(pairs, lambda p, i: F.array_position(pairs["key"], p["key"]) == i + 1)
+
+    # the one-element array binds the parsed pairs to a name, so the text is parsed once, not per pair
+    pairs = F.array(F.arrays_zip(keys.alias("key"), values.alias("value")))
+    return F.map_from_entries(F.get(F.transform(pairs, firsts), F.lit(0)))
 
 
 def lane_count(text: Column) -> Column:

@@ -9,8 +9,6 @@ from tarmac.functions.numbers import EXACT, half_away
 # Source tag written at landing and the pattern that reads the station back.
 SOURCE_PREFIX = "meteostat_hourly_"
 STATION_PATTERN = r"(D?\d+)$"
-# Every field is read as text first, so numbers and numeric strings convert alike.
-RECORD_FIELDS = "time string, temp string, prcp string, snow string, wdir string, wspd string"
 
 
 def station_code(source: Column) -> Column:
@@ -19,22 +17,22 @@ def station_code(source: Column) -> Column:
 
 
 def hour_columns(payload: Column, source: Column) -> list[Column]:
-    """Silver columns of one hourly record held as JSON text, parsed once per record."""
-    record = F.from_json(payload, RECORD_FIELDS)
+    """Silver columns of one hourly record held as VARIANT; numbers and numeric text convert alike."""
 
-    def text(key: str) -> Column:
-        return record[key]
+    def number(key: str, to: str) -> Column:
+        return F.try_variant_get(payload, f"$.{key}", to)
 
-    wall_clock = text("time").try_cast("timestamp_ntz")
+    wall_clock = F.try_variant_get(payload, "$.time", "string").try_cast("timestamp_ntz")
     return [
         station_code(source).alias("station_id"),
         wall_clock.cast("date").alias("date"),
-        F.date_format(wall_clock, "HH:mm:ss").alias("time"),
-        text("temp").try_cast("decimal(5,2)").alias("temp_c"),
-        text("prcp").try_cast("decimal(6,2)").alias("precipitation_mm"),
-        half_away(text("snow").try_cast(EXACT), "int").alias("snow"),
-        half_away(text("wdir").try_cast(EXACT), "int").alias("wind_dir"),
-        text("wspd").try_cast("decimal(5,2)").alias("wind_speed"),
+        # the text form of a zone-less timestamp; formatting functions would pass through the session zone
+        F.substring(wall_clock.cast("string"), 12, 8).alias("time"),
+        number("temp", "decimal(5,2)").alias("temp_c"),
+        number("prcp", "decimal(6,2)").alias("precipitation_mm"),
+        half_away(number("snow", EXACT), "int").alias("snow"),
+        half_away(number("wdir", EXACT), "int").alias("wind_dir"),
+        number("wspd", "decimal(5,2)").alias("wind_speed"),
     ]
 
 

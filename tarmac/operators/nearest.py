@@ -58,14 +58,11 @@ def _usable(x: str, y: str) -> Column:
 
 
 def _best(x: str, y: str, candidates: Column) -> Column:
-    """Closest candidate as struct<distance, winner>; unusable distances rank last."""
+    """Closest candidate as struct<distance, winner>."""
 
     def scored(c: Column) -> Column:
         d = segment_distance(F.col(x), F.col(y), c["ax"], c["ay"], c["bx"], c["by"])
-        return F.struct(
-            F.when(_usable(x, y), d).otherwise(F.lit(float("inf"))).alias("distance"),
-            c["winner"].alias("winner"),
-        )
+        return F.struct(d.alias("distance"), c["winner"].alias("winner"))
 
     return F.array_min(F.transform(candidates, scored))
 
@@ -169,17 +166,45 @@ def _only_used(pairs: DataFrame, used: DataFrame, used_depth: int, depth: int) -
     return pairs.join(cells.distinct(), ["cx", "cy"], "left_semi")
 
 
-def _first_pairs(pieces: DataFrame, depth: int) -> DataFrame:
-    """Every cell of a coarse grid with every occupied one: 4**depth squared at most, whatever the data."""
-    side = F.sequence(F.lit(0), F.lit((1 << depth) - 1))
+def _first_pairs(pieces: DataFrame, used: DataFrame, used_depth: int, grid: Grid, depth: int) -> DataFrame:
+    """Pruned pairs at ``depth``, reached from a coarse grid without looking at single shapes.
+
+    The coarsest pairs are 4**FIRST_DEPTH squared at most, whatever the data; from there on both cells of
+    a pair are quartered and pruned, using only which cells are occupied.
+    """
     occupied = pieces.groupBy("sx", "sy").agg(F.count("*").alias("n"))
-    return (
-        occupied.withColumn("cx", F.explode(side))
-        .withColumn("cy", F.explode(side))
-        .select(
-            F.col("cx").cast("bigint").alias("cx"), F.col("cy").cast("bigint").alias("cy"),
-            "sx", "sy", "n", F.lit(None).cast("bigint").alias("was"),
-        )
+
+    def occupied_at(level: int) -> DataFrame:
+        up = depth - level
+        return occupied.groupBy(
+            F.shiftright("sx", up).alias("sx"), F.shiftright("sy", up).alias("sy")
+        ).agg(F.sum("n").alias("n"))
+
+    side = F.sequence(F.lit(0).cast("bigint"), F.lit((1 << FIRST_DEPTH) - 1).cast("bigint"))
+    pairs = occupied_at(FIRST_DEPTH).select("*", F.explode(side).alias("cx")).select(
+        "*", F.explode(side).alias("cy"), F.lit(None).cast("bigint").alias("was")
+    )
+    for level in range(FIRST_DEPTH, depth + 1):
+        if level > FIRST_DEPTH:
+            children = occupied_at(level).select(
+                F.shiftright("sx", 1).alias("ux"), F.shiftright("sy", 1).alias("uy"), "sx", "sy", "n"
+            )
+            pairs = _quartered(pairs).join(children, ["ux", "uy"])
+        pairs = _pruned_pairs(_only_used(pairs, used, used_depth, level), grid, level)
+    return pairs
+
+
+def _quartered(pairs: DataFrame) -> DataFrame:
+    """The four children of each cell, paired with the shape cells ``ux, uy`` of their parent."""
+    quarters = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]
+    )
+    return pairs.select("*", F.explode(quarters).alias("q")).select(
+        (F.col("cx") * 2 + F.col("q.i")).alias("cx"),
+        (F.col("cy") * 2 + F.col("q.j")).alias("cy"),
+        F.col("sx").alias("ux"),
+        F.col("sy").alias("uy"),
+        F.col("weight").alias("was"),
     )
 
 
@@ -187,38 +212,28 @@ def _child_pairs(open_pairs: DataFrame, pieces: DataFrame) -> DataFrame:
     """Quarter each unfinished cell and replace its shape cells by the cells their pieces moved to."""
     moved = pieces.groupBy("ux", "uy", "sx", "sy").agg(F.count("*").alias("moved"))
     moved = moved.withColumn("n", F.sum("moved").over(Window.partitionBy("sx", "sy"))).drop("moved")
-    quarters = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]
-    )
-    return (
-        open_pairs.select(
-            "cx", "cy", F.col("sx").alias("ux"), F.col("sy").alias("uy"), F.col("weight").alias("was")
-        )
-        .withColumn("q", F.explode(quarters))
-        .withColumn("cx", F.col("cx") * 2 + F.col("q.i"))
-        .withColumn("cy", F.col("cy") * 2 + F.col("q.j"))
-        .join(moved, ["ux", "uy"])
-        .select("cx", "cy", "sx", "sy", "n", "was")
-    )
+    return _quartered(open_pairs).join(moved, ["ux", "uy"]).select("cx", "cy", "sx", "sy", "n", "was")
 
 
 def _pruned_pairs(pairs: DataFrame, grid: Grid, depth: int) -> DataFrame:
     """Keep, per cell, the shape cells that may hold its nearest shape; add their total weight.
 
-    A piece reaches at most half a cell from its middle, and its middle lies within ``reach`` of the
-    centre of its cell, which gives a lower and an upper bound per pair of cells.
+    Two cells are at least their gap and at most their far corners apart.  A piece has its middle inside
+    its cell and reaches half a cell from there at most.
     """
     own = Window.partitionBy("cx", "cy")
     # two cells may hand their pieces to the same child; one partitioning serves this and the window
     pairs = pairs.repartition("cx", "cy").dropDuplicates(["cx", "cy", "sx", "sy"])
-    size, reach = grid.size(depth), grid.reach(depth)
-    dx = (F.col("cx") - F.col("sx")).cast("double")
-    dy = (F.col("cy") - F.col("sy")).cast("double")
-    room = 4 * reach + 0.5 * size * (1 + SLACK)
+    dx = F.abs(F.col("cx") - F.col("sx")).cast("double")
+    dy = F.abs(F.col("cy") - F.col("sy")).cast("double")
+    zero, one = F.lit(0.0), F.lit(1.0)
+    gap_x, gap_y = F.greatest(dx - one, zero), F.greatest(dy - one, zero)
+    room = 0.5 + 1e-6 + grid.side * 1e-12 / grid.size(depth)  # rounding included
     return (
-        pairs.withColumn("gap", F.sqrt(dx * dx + dy * dy) * F.lit(size))
-        .withColumn("closest", F.min("gap").over(own))
-        .where(F.col("gap") <= F.col("closest") * (1 + SLACK) + F.lit(room))
+        pairs.withColumn("least", F.sqrt(gap_x * gap_x + gap_y * gap_y))
+        .withColumn("most", F.sqrt((dx + one) * (dx + one) + (dy + one) * (dy + one)))
+        .withColumn("closest", F.min("most").over(own))
+        .where(F.col("least") <= F.col("closest") * (1 + SLACK) + F.lit(room))
         .withColumn("weight", F.sum("n").over(own))
         .select("cx", "cy", "sx", "sy", "weight", "was")
     )
@@ -248,13 +263,17 @@ def _lists(pairs: DataFrame, pieces: DataFrame, grid: Grid, depth: int) -> DataF
     )
 
 
-def build_index(shapes: DataFrame, points: DataFrame, x: str, y: str, grid: Grid) -> NearestIndex:
+def build_index(
+    shapes: DataFrame, n_shapes: int, points: DataFrame, x: str, y: str, grid: Grid
+) -> NearestIndex:
     """Refine the cells that hold points until each has few candidates.
 
     Work is done on cells and their counts; shapes themselves are only moved down while they lie under
     an unfinished cell, and met with a cell once it is finished.
     """
-    depth, used_depth = FIRST_DEPTH, FIRST_DEPTH + LOOK_AHEAD
+    # no cell is fine enough before there are about as many cells as shapes
+    depth = min(max(int(math.log(max(n_shapes / 4, 1), 4)), FIRST_DEPTH), FIRST_DEPTH + LOOK_AHEAD)
+    used_depth = depth + LOOK_AHEAD // 2
     points = points.where(_usable(x, y)).select(x, y)
     used = cut_lineage(_used_cells(points, x, y, grid, used_depth))
     whole = shapes.select(
@@ -262,18 +281,23 @@ def build_index(shapes: DataFrame, points: DataFrame, x: str, y: str, grid: Grid
         F.lit(0.0).alias("t0"), F.lit(1.0).alias("t1"),
     )
     pieces = cut_lineage(_pieces(whole, grid, depth))
-    pairs = _first_pairs(pieces, depth)
-    budget = PIECE_BUDGET * (shapes.count() + 4**depth)
+    pairs = _first_pairs(pieces, used, used_depth, grid, depth)
+    budget = PIECE_BUDGET * n_shapes + 4**FIRST_DEPTH
     finished: list[DataFrame] = []
     depths: list[int] = []
+    total_done = 0
     while True:
-        pairs = _only_used(pairs, used, used_depth, depth)
-        pairs = cut_lineage(_pruned_pairs(pairs, grid, depth))
-        done = F.lit(True)
-        if depth < LAST_DEPTH and pieces.count() <= budget:
-            stuck = (F.col("weight") <= STUCK_LIMIT) & (F.col("weight") > F.col("was") * 0.8)
-            done = (F.col("weight") <= LIST_LIMIT) | F.coalesce(stuck, F.lit(False))
-        n_done, n_open = pairs.agg(F.count_if(done), F.count_if(~done)).first()
+        pairs = cut_lineage(pairs)
+        stuck = (F.col("weight") <= STUCK_LIMIT) & (F.col("weight") > F.col("was") * 0.8)
+        done = (F.col("weight") <= LIST_LIMIT) | F.coalesce(stuck, F.lit(False))
+        n_done, n_open, heaviest = pairs.agg(
+            F.count_if(done), F.count_if(~done), F.max("weight")
+        ).first()
+        # a small remainder with short enough lists is not worth another round
+        enough = (heaviest or 0) <= STUCK_LIMIT and n_open * 10 < total_done + n_done
+        if enough or depth >= LAST_DEPTH or pieces.count() > budget:
+            done, n_done, n_open = F.lit(True), n_done + n_open, 0
+        total_done += n_done
         if n_done:
             lists = _lists(pairs.where(done), pieces, grid, depth)
             finished.append(lists.withColumn("depth", F.lit(depth)))
@@ -291,7 +315,8 @@ def build_index(shapes: DataFrame, points: DataFrame, x: str, y: str, grid: Grid
         depth += 1
         below = pieces.join(open_pairs.select("sx", "sy").distinct(), ["sx", "sy"], "left_semi")
         pieces = cut_lineage(_pieces(below, grid, depth))
-        pairs = _child_pairs(open_pairs, pieces)
+        pairs = _only_used(_child_pairs(open_pairs, pieces), used, used_depth, depth)
+        pairs = _pruned_pairs(pairs, grid, depth)
     if not finished:  # no usable point: nothing will be looked up
         finished, depths = [_lists(pairs, pieces, grid, depth).withColumn("depth", F.lit(depth))], [depth]
     cells = finished[0]
@@ -309,21 +334,30 @@ def build_index(shapes: DataFrame, points: DataFrame, x: str, y: str, grid: Grid
 
 
 def _probe(points: DataFrame, x: str, y: str, index: NearestIndex, broadcast: bool) -> DataFrame:
-    """Usable points with ``best``, each meeting the list of the one finished cell around it."""
+    """Points with ``best``, each meeting the list of the one finished cell around it.
+
+    A point without usable coordinates meets an empty list, so one pass serves all points.
+    """
     grid = index.grid
-    places = F.array(*[
-        F.struct(
-            F.lit(d).alias("depth"),
-            grid.cell(F.col(x), "x", d).alias("cx"),
-            grid.cell(F.col(y), "y", d).alias("cy"),
-        )
-        for d in index.depths
-    ])
-    cells = F.broadcast(index.cells) if broadcast else index.cells
+
+    def at(depth: int, cx: Column, cy: Column) -> Column:
+        return F.struct(F.lit(depth).alias("depth"), cx.alias("cx"), cy.alias("cy"))
+
+    places = F.array(
+        *[at(d, grid.cell(F.col(x), "x", d), grid.cell(F.col(y), "y", d)) for d in index.depths]
+    )
+    nowhere = F.array(at(-1, F.lit(0).cast("bigint"), F.lit(0).cast("bigint")))
+    cells = index.cells
+    kind = cells.schema["candidates"].dataType
+    empty = cells.sparkSession.range(1).select(
+        F.lit(-1).alias("depth"), F.col("id").alias("cx"), F.col("id").alias("cy"),
+        F.array().cast(kind).alias("candidates"),
+    )
+    cells = cells.unionByName(empty)
     return (
-        points.select("*", F.explode(places).alias("_at"))
+        points.select("*", F.explode(F.when(_usable(x, y), places).otherwise(nowhere)).alias("_at"))
         .select(*points.columns, "_at.*")
-        .join(cells, ["depth", "cx", "cy"])
+        .join(F.broadcast(cells) if broadcast else cells, ["depth", "cx", "cy"])
         .select(*points.columns, _best(x, y, F.col("candidates")).alias("best"))
     )
 
@@ -338,32 +372,36 @@ def nearest_join(
     shapes: DataFrame,
     names: dict[str, str],
     *,
+    places: DataFrame | None = None,
     array_limit: int = ARRAY_LIMIT,
     broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """``points`` plus the columns of its nearest shape.
 
     ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
+    ``places`` may name a cheaper frame with the same coordinates, to be read while indexing.
     """
+    places = points if places is None else places
     outputs = [
         (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
         for name, source in names.items()
     ]
     known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
-    if known.limit(array_limit + 1).count() <= array_limit:
-        everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
-        matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
-        return matched.withColumn("best", _best(x, y, F.col("_all"))).select(*points.columns, *outputs)
-
-    index = build_index(known, points, x, y, _extent(known, points, x, y))
     fallback = known.agg(F.min("winner")).scalar()
     lost = F.struct(F.lit(float("inf")).alias("distance"), fallback.alias("winner"))
 
+    n_shapes = known.count()
+    if n_shapes <= array_limit:
+        everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
+        matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
+        best = F.when(_usable(x, y), _best(x, y, F.col("_all"))).otherwise(lost)
+        return matched.withColumn("best", best).select(*points.columns, *outputs)
+
+    index = build_index(known, n_shapes, places, x, y, _extent(known, places, x, y))
     if index.cell_count <= broadcast_cells and not index.split_lists:
         # every list reaches every task, so the points are neither shuffled nor copied
-        found = _probe(points.where(_usable(x, y)), x, y, index, broadcast=True)
-        rest = points.where(~_usable(x, y)).withColumn("best", lost)
-        return found.unionByName(rest).select(*points.columns, *outputs)
+        found = _probe(points, x, y, index, broadcast=True)
+        return found.withColumn("best", F.coalesce("best", lost)).select(*points.columns, *outputs)
 
     # Look up each distinct location once, on two columns only, then hand the answer back.
     located = points.where(_usable(x, y)).select(x, y).distinct()

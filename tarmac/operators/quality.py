@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.functions.geometry import is_line
@@ -32,15 +34,11 @@ def geom_violations(df: DataFrame, geom: str = "geom") -> DataFrame:
     return df.where(~is_line(F.col(geom)))
 
 
-def with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``reasons``: the names of the rules a row breaks, empty for a good row."""
-    tested = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
-    return df.withColumn("reasons", F.array_compact(tested))
-
-
-def split_by_reasons(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the reasons column, and the quarantine with it."""
-    return df.where(F.size("reasons") == 0).drop("reasons"), df.where(F.size("reasons") > 0)
+def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows that break no rule, and the others with the names of the rules they break in ``reasons``."""
+    broken = reduce(lambda a, b: a | b, rules.values())
+    reasons = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+    return df.where(~broken), df.where(broken).withColumn("reasons", reasons)
 
 
 class ConstraintError(RuntimeError):

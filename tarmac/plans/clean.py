@@ -8,7 +8,7 @@ from tarmac.functions.accidents import accident_columns
 from tarmac.functions.geometry import is_line
 from tarmac.functions.roads import lane_count, max_speed, one_way
 from tarmac.functions.weather import hour_columns
-from tarmac.operators.quality import with_reasons
+from tarmac.operators.quality import quarantine
 from tarmac.sources.bronze import choose
 
 # An accident keeps its id when its file is landed again: the file's first raw id and the feature's
@@ -29,14 +29,14 @@ def clean_accidents(files: DataFrame, features: DataFrame, backfill: bool = Fals
     )
 
 
-def clean_weather(raw: DataFrame) -> DataFrame:
-    """Typed hours with ``raw_id`` and ``reasons``; rows without a key are for the quarantine."""
+def clean_weather(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed hours with ``raw_id``, and the quarantine of rows without a full key."""
     hours = raw.select("raw_id", *hour_columns(F.col("payload"), F.col("source")))
-    return with_reasons(
+    return quarantine(
         hours,
         {
             "no station code": F.col("station_id").isNull(),
-            "no readable time": F.col("date").isNull() | F.col("time").isNull(),
+            "no readable time": F.col("date").isNull(),
         },
     )
 
@@ -56,9 +56,9 @@ def road_columns(ways: DataFrame) -> DataFrame:
     )
 
 
-def clean_roads(ways: DataFrame) -> DataFrame:
-    """Typed roads with ``reasons``; ways without an id or a line are for the quarantine."""
-    return with_reasons(
+def clean_roads(ways: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed roads, and the quarantine of ways without an id or a line."""
+    return quarantine(
         road_columns(ways),
         {"no id": F.col("road_id").isNull(), "no line": ~is_line(F.col("geom"))},
     )

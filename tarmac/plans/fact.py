@@ -62,7 +62,9 @@ def assemble_fact(
 ) -> DataFrame:
     """One row per accident; none at all when there is no city or no road."""
     needed = accidents.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
-    placed = nearest_road(nearest_city(needed, cities, **options), roads, **options)
+    where = needed.select("lon", "lat")
+    placed = nearest_city(needed, cities, places=where, **options)
+    placed = nearest_road(placed, roads, places=where, **options)
     dated = with_date_id(placed, dates)
     return with_weather_id(dated, weather, "accident_id").select(
         "accident_id",

@@ -17,7 +17,6 @@ from tarmac.operators.quality import (
     not_null_violations,
     pk_violations,
     require_empty,
-    split_by_reasons,
 )
 from tarmac.plans import clean, dims
 from tarmac.plans.fact import assemble_fact
@@ -102,7 +101,7 @@ class Warehouse:
 
     def clean_weather(self) -> DataFrame:
         """Insert-only load; returns the quarantined rows."""
-        good, bad = split_by_reasons(clean.clean_weather(self.table("bronze.meteostat_raw").read()))
+        good, bad = clean.clean_weather(self.table("bronze.meteostat_raw").read())
         self.table("silver.weather_clean").merge(
             good, ["station_id", "date", "time"], [F.col("raw_id")]
         )
@@ -110,7 +109,7 @@ class Warehouse:
 
     def clean_roads(self) -> DataFrame:
         """Insert-only load; returns the quarantined rows."""
-        good, bad = split_by_reasons(clean.clean_roads(self.table("bronze.osm_ways").read()))
+        good, bad = clean.clean_roads(self.table("bronze.osm_ways").read())
         order = [F.col(c) for c in ("road_type", "name", "max_speed", "lanes")]
         self.table("silver.osm_roads_clean").merge(good, ["road_id"], order)
         return bad
@@ -148,11 +147,11 @@ class Warehouse:
     def load_fact(self) -> None:
         """Accidents not yet in the fact are placed and joined; the others are left out first."""
         fact = self.table("gold.fact_traffic_accidents")
-        accidents = new_rows(
-            self.table("silver.traffic_accident_clean").read(),
-            fact.read(),
-            ["accident_id"],
-            [F.col("raw_id").desc()],
+        silver = self.table("silver.traffic_accident_clean").read()
+        added = new_rows(silver, fact.read(), ["accident_id"], [F.col("raw_id").desc()])
+        # the spatial joins read these rows several times
+        accidents = cut_lineage(
+            added.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
         )
         fact.append(
             assemble_fact(

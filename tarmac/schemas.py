@@ -10,7 +10,7 @@ SCHEMAS = {
     # so that no document ever has to fit into one row.
     "bronze.traffic_accidents_raw": "raw_id bigint, source string, load_date timestamp_ntz",
     "bronze.traffic_accident_features": "raw_id bigint, ordinal bigint, payload variant",
-    "bronze.meteostat_raw": "raw_id bigint, payload string, source string, load_date timestamp_ntz",
+    "bronze.meteostat_raw": "raw_id bigint, payload variant, source string, load_date timestamp_ntz",
     # highway repeats one tag as a plain column, so that scans can push the filter down
     "bronze.osm_ways": (
         f"osm_id bigint, highway string, geom {POINTS}, tags map<string,string>, "

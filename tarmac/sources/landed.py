@@ -27,12 +27,12 @@ def hour_records(response: Column) -> Column:
 
 
 def explode_hours(responses: DataFrame, response: str, station: str, *keep: str) -> DataFrame:
-    """One bronze row per hourly record: JSON text and the source tag of its station."""
+    """One bronze row per hourly record: its payload and the source tag of its station."""
     return responses.select(
         *keep,
+        F.explode(hour_records(F.col(response))).alias("payload"),
         F.concat(F.lit(SOURCE_PREFIX), F.col(station)).alias("source"),
-        F.explode(hour_records(F.col(response))).alias("record"),
-    ).select(*keep, F.to_json("record").alias("payload"), "source")
+    )
 
 
 def weather_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -43,16 +43,13 @@ def weather_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def road_lines(extract: DataFrame) -> DataFrame:
-    """Highway lines of an extract with ``osm_id``, ``wkt`` and ``all_tags`` text."""
-    columns = extract.columns
-    if "highway" in columns:  # a plain column lets the file scan skip the other lines
-        extract = extract.where(F.col("highway").isNotNull())
-    parsed = extract.select(
+    """Highway lines of an extract with ``osm_id``, ``highway``, ``wkt`` and ``all_tags`` text.
+
+    The filter reads the plain column, so a scan can skip the other lines before any tag is parsed.
+    """
+    return extract.where(F.col("highway").isNotNull()).select(
         F.col("osm_id").cast("bigint").alias("osm_id"),
+        "highway",
         line_points(F.col("wkt")).alias("geom"),
-        F.col("wkt"),
         tag_map(F.col("all_tags")).alias("tags"),
     )
-    return parsed.select(
-        "osm_id", F.col("tags")["highway"].alias("highway"), "geom", "tags", "wkt"
-    ).where(F.col("highway").isNotNull())

@@ -68,7 +68,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return load(spark, sf_dir, "events").select(
         F.col("event_id").alias("raw_id"),
-        record.alias("payload"),
+        F.parse_json(record).alias("payload"),
         F.concat(F.lit("meteostat_hourly_"), _tag()).alias("source"),
     )
 
@@ -134,7 +134,7 @@ def _tag_text(key: str, selector: Column, options: list[str | None]) -> Column:
 
 
 def way_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Road-line extract ``osm_id, wkt, all_tags`` built from part."""
+    """Road-line extract ``osm_id, highway, wkt, all_tags`` built from part."""
     key = F.col("p_partkey")
     tags = F.concat(
         _tag_text("highway", key, HIGHWAYS),
@@ -166,7 +166,8 @@ def way_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
     )
     return load(spark, sf_dir, "part").select(
-        key.alias("osm_id"), wkt.alias("wkt"), tags.alias("all_tags")
+        key.alias("osm_id"), pick(key, [F.lit(h) for h in HIGHWAYS]).alias("highway"),
+        wkt.alias("wkt"), tags.alias("all_tags"),
     )
 
 

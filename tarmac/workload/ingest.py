@@ -183,7 +183,8 @@ def payload_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
     )
     events = load(spark, sf_dir, "events").select("event_id", "event_type", responses.alias("response"))
-    return landed.explode_hours(events, "response", "event_type", "event_id")
+    hours = landed.explode_hours(events, "response", "event_type", "event_id")
+    return hours.select("event_id", "source", F.to_json("payload").alias("payload"))
 
 
 PAYLOAD_UNNEST = """

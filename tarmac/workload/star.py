@@ -7,12 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tarmac.operators.keys import dense_ids
 from tarmac.operators.merge import first_per_key
 from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes
-from tarmac.operators.quality import (
-    fk_violations,
-    not_null_violations,
-    pk_violations,
-    split_by_reasons,
-)
+from tarmac.functions.weather import hour_columns
+from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
 from tarmac.plans import clean, dims, fact
 from tarmac.sources.calendar import date_spine
 from tarmac.sources.landed import road_lines
@@ -37,7 +33,7 @@ from tarmac.workload.common import (
 
 
 def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split_by_reasons(clean.clean_weather(weather_raw(spark, sf_dir)))
+    good, _ = clean.clean_weather(weather_raw(spark, sf_dir))
     return first_per_key(good, ["station_id", "date", "time"], [F.col("raw_id")])
 
 
@@ -96,12 +92,24 @@ def weather_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unplaced_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours whose required columns are not all filled."""
-    hours = clean.clean_weather(weather_raw(spark, sf_dir))
+    columns = hour_columns(F.col("payload"), F.col("source"))
+    hours = weather_raw(spark, sf_dir).select("raw_id", *columns)
     broken = not_null_violations(hours, ["station_id", "date", "time"])
-    return broken.select("raw_id", F.array_join("reasons", "; ").alias("reasons"))
+    return broken.select("raw_id", "station_id", "time")
 
 
 UNPLACED_HOURS = with_sql(WEATHER_SQL) + """
+SELECT event_id AS raw_id, station_id, t AS time FROM hours WHERE station_id IS NULL
+"""
+
+
+def quarantined_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours kept out of silver, with the reason."""
+    _, bad = clean.clean_weather(weather_raw(spark, sf_dir))
+    return bad.select("raw_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
+QUARANTINED_HOURS = with_sql(WEATHER_SQL) + """
 SELECT event_id AS raw_id, 'no station code' AS reasons FROM hours WHERE station_id IS NULL
 """
 
@@ -125,7 +133,9 @@ FROM orders
 
 def left_join_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events against their station's day; clear days are missing from the dimension here."""
-    station = clean.clean_weather(weather_raw(spark, sf_dir)).select("raw_id", "station_id", "date")
+    columns = hour_columns(F.col("payload"), F.col("source"))
+    hours = weather_raw(spark, sf_dir).select("raw_id", *columns)
+    station = hours.select("raw_id", "station_id", "date")
     weather = weather_dim(spark, sf_dir).where(F.col("weather_category") != "Clear")
     return fact.with_weather_id(station, weather, "raw_id").select(
         F.col("raw_id").alias("event_id"), "station_id", "weather_id"
@@ -140,7 +150,7 @@ FROM cents c LEFT JOIN (SELECT * FROM dim_weather WHERE category <> 'Clear') w
 
 
 def _road_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split_by_reasons(clean.clean_roads(road_lines(way_extract(spark, sf_dir))))
+    good, _ = clean.clean_roads(road_lines(way_extract(spark, sf_dir)))
     return good
 
 
@@ -257,6 +267,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "daily_weather": (daily_weather, DAILY_WEATHER),
     "weather_category": (weather_category, WEATHER_CATEGORY),
     "not_null_violations": (unplaced_hours, UNPLACED_HOURS),
+    "quarantined_hours": (quarantined_hours, QUARANTINED_HOURS),
     "left_join_date": (left_join_date, LEFT_JOIN_DATE),
     "left_join_weather": (left_join_weather, LEFT_JOIN_WEATHER),
     "nearest_point": (nearest_point, NEAREST_POINT),
