@@ -23,7 +23,7 @@ from tarmac.session import cut_lineage
 ARRAY_LIMIT = 128  # shapes compared one by one from a single array
 LIST_LIMIT = 64  # candidate weight at which a cell is fine enough
 STUCK_LIMIT = 256  # weight at which a cell is also finished when halving it no longer helps
-BROADCAST_CELLS = 20_000  # cells, so at most this many lists, sent to every task
+BROADCAST_CANDIDATES = 500_000  # list entries, some 50 bytes each, sent to every task at most
 FIRST_DEPTH, LAST_DEPTH = 4, 36
 LOOK_AHEAD = 8  # depths for which one pass over the points tells which cells are in use
 PIECE_BUDGET = 8  # stop refining once cutting long segments makes this many pieces per shape
@@ -111,7 +111,7 @@ class NearestIndex:
     grid: Grid
     cells: DataFrame  # depth, cx, cy, candidates: array<struct<ax,ay,bx,by,winner>>
     depths: list[int]
-    cell_count: int
+    entries: int  # candidates over all lists
     split_lists: bool  # some cells own several lists
 
 
@@ -323,12 +323,12 @@ def build_index(
     for more in finished[1:]:
         cells = cells.unionByName(more)
     cells = cut_lineage(cells)
-    size = cells.agg(F.count("*"), F.max("weight")).first()
+    size = cells.agg(F.sum(F.size("candidates")), F.max("weight")).first()
     return NearestIndex(
         grid,
         cells.select("depth", "cx", "cy", "candidates"),
         depths,
-        size[0],
+        size[0] or 0,
         (size[1] or 0) > STUCK_LIMIT,
     )
 
@@ -374,7 +374,7 @@ def nearest_join(
     *,
     places: DataFrame | None = None,
     array_limit: int = ARRAY_LIMIT,
-    broadcast_cells: int = BROADCAST_CELLS,
+    broadcast_limit: int = BROADCAST_CANDIDATES,
 ) -> DataFrame:
     """``points`` plus the columns of its nearest shape.
 
@@ -398,7 +398,7 @@ def nearest_join(
         return matched.withColumn("best", best).select(*points.columns, *outputs)
 
     index = build_index(known, n_shapes, places, x, y, _extent(known, places, x, y))
-    if index.cell_count <= broadcast_cells and not index.split_lists:
+    if index.entries <= broadcast_limit and not index.split_lists:
         # every list reaches every task, so the points are neither shuffled nor copied
         found = _probe(points, x, y, index, broadcast=True)
         return found.withColumn("best", F.coalesce("best", lost)).select(*points.columns, *outputs)

@@ -14,15 +14,21 @@ from tarmac.sources.bronze import choose
 # An accident keeps its id when its file is landed again: the file's first raw id and the feature's
 # position, packed side by side.  Unlike a hash, two accidents can never share one.
 _ORDINAL_BITS = 36
+_FEW_LOADS = 1_000_000  # two ids each, so 16 MB to every task at most
 
 
 def clean_accidents(files: DataFrame, features: DataFrame, backfill: bool = False) -> DataFrame:
     """Typed accidents of the newest file, or of every file's newest load for a backfill.
 
-    ``files`` holds one row per load.  Only its chosen ids reach the features, as a small join.
+    ``files`` holds one row per load.  For the newest file its id is pushed into the feature scan; for a
+    backfill the chosen loads are joined, without moving the features while the loads are few.
     """
     first = files.groupBy("source").agg(F.min("raw_id").alias("first_id"))
     chosen = choose(files, backfill).join(first, "source").select("raw_id", "first_id")
+    if not backfill:
+        features = features.where(F.col("raw_id") == files.agg(F.max("raw_id")).scalar())
+    if chosen.limit(_FEW_LOADS + 1).count() <= _FEW_LOADS:
+        chosen = F.broadcast(chosen)
     accident_id = F.shiftleft("first_id", _ORDINAL_BITS).bitwiseOR(F.col("ordinal"))
     return features.join(chosen, "raw_id").select(
         accident_id.alias("accident_id"), "raw_id", *accident_columns(F.col("payload"))

@@ -37,11 +37,16 @@ class Warehouse:
     # ------------------------------------------------------------------------------- ingest
 
     def ingest_accidents(
-        self, paths: list[str], layout: str = "document", allow_reload: bool = False
+        self,
+        paths: list[str],
+        layout: str = "document",
+        opening: str | None = None,
+        allow_reload: bool = False,
     ) -> None:
         """Land accident files: one row per file, one row per feature.
 
-        ``layout`` is ``document`` for one JSON value per file or ``lines`` for one feature per line.
+        ``layout`` is ``document`` for any JSON value, read by one task per file, or ``split`` for files
+        read by many tasks: one feature per line, or each feature starting with the text ``opening``.
         """
         files, features = (
             self.table("bronze.traffic_accidents_raw"),
@@ -60,9 +65,9 @@ class Warehouse:
         todo = [row.path for row in loads.select("path").toLocalIterator()]
         if not todo:
             return
-        if layout == "lines":
-            require_empty(geojson.broken_lines(self.spark, todo), "unreadable feature lines")
-            found = geojson.line_features(self.spark, todo)
+        if layout == "split":
+            require_empty(geojson.broken_features(self.spark, todo, opening), "unreadable features")
+            found = geojson.split_features(self.spark, todo, opening)
         else:
             found = geojson.document_features(self.spark, todo)
         # features first: without its file row, no feature is ever read
@@ -123,7 +128,9 @@ class Warehouse:
         target = self.table(name)
         present = target.read()
         added = new_rows(batch, present, keys, [F.col(c) for c in order], **options)
-        target.append(dense_ids(added, keys, id_column, start=max_id(present, id_column) + 1))
+        # the further columns tell rows without a natural key apart
+        by = list(dict.fromkeys(keys + order))
+        target.append(dense_ids(added, by, id_column, start=max_id(present, id_column) + 1))
 
     def load_city_dim(self, path: str) -> None:
         rows = dims.city_rows(landed.cities(self.spark, path))

@@ -1,15 +1,15 @@
 """Accident GeoJSON scans.
 
 A document is one JSON value, so one task has to read it.  ``document_features`` does that and spreads
-the features at once.  Files that keep one feature per line, as large exports do, are split across tasks
-by ``line_features``.  Both number features by position in their file.
+the features at once.  Large exports keep one feature per line, or start every feature with the same
+text; ``split_features`` lets many tasks read one such file.  Both number features by their position.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
-from tarmac.functions.payload import is_object
+from tarmac.functions.payload import field, is_object
 
 _FEATURES = "features array<variant>"
 
@@ -46,28 +46,47 @@ def document_features(spark: SparkSession, paths: list[str]) -> DataFrame:
     return explode_features(documents, "document", "source").hint("rebalance")
 
 
-def line_features(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``source, ordinal, payload`` of files with one feature per line, each file read by many tasks.
+def _feature_texts(spark: SparkSession, paths: list[str], opening: str | None) -> DataFrame:
+    """Candidate feature texts with file, block and place, read in splits.
 
-    Ordinals are prefix sums over the file's blocks plus the row's place in its block, so they do not
-    depend on how a run happens to split the file.
+    Without ``opening`` a text is a line.  With it, a text is what lies between two occurrences of that
+    string, the way one-line documents start every feature, and the string is put back in front.
     """
-    lines = spark.read.text(paths).select(
+    reader = spark.read.option("lineSep", opening) if opening else spark.read
+    raw = F.trim(F.regexp_replace(F.col("value"), r"^\s+|\s+$", ""))
+    if opening:
+        body = F.regexp_replace(raw, r",$", "")
+        # the first piece is the head of the document, the last one carries its end
+        text = F.when(~body.rlike(r'"features"\s*:\s*\[$'), F.concat(F.lit(opening), body))
+    else:
+        text = F.when(raw.startswith("{"), F.regexp_replace(raw, r",$", ""))
+    closed = F.regexp_replace(F.col("text"), r"\](\s*,[^\[\]]*)?\s*\}$", "")
+    return reader.text(paths).select(
         _stem(F.col("_metadata.file_name")).alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        F.regexp_replace(F.trim("value"), r",$", "").alias("text"),
-    )
-    features = (
-        lines.where(F.col("text").startswith("{"))
-        .select("source", "block", "place", F.try_parse_json("text").alias("payload"))
-        .where(is_object(F.col("payload")) & F.col("payload").isNotNull())
-        .where(F.expr("try_variant_get(payload, '$.properties', 'variant') is not null")
-               | F.expr("try_variant_get(payload, '$.geometry', 'variant') is not null"))
-    )
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
+        text.alias("text"),
+    ).where(F.col("text").isNotNull()).select(
+        "source", "block", "place", "text",
+        F.coalesce(F.try_parse_json("text"), F.try_parse_json(closed)).alias("payload"),
     )
+
+
+def _is_feature(payload: Column) -> Column:
+    present = field(payload, "$.properties").isNotNull() | field(payload, "$.geometry").isNotNull()
+    return is_object(payload) & present
+
+
+def split_features(spark: SparkSession, paths: list[str], opening: str | None = None) -> DataFrame:
+    """``source, ordinal, payload`` of files whose features many tasks read at once.
+
+    Ordinals are prefix sums over the file's blocks plus the row's place in its block, so they do not
+    depend on how a run happens to split the file.
+    """
+    features = _feature_texts(spark, paths, opening).where(_is_feature(F.col("payload")))
+    features = features.select("source", "block", "place", "payload")
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file block
     offsets = (
         features.groupBy("source", "block")
         .agg(F.count("*").alias("rows"))
@@ -81,11 +100,8 @@ def line_features(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def broken_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines that open like a feature but do not parse: ``source, value``."""
-    return spark.read.text(paths).select(
-        _stem(F.col("_metadata.file_name")).alias("source"), "value"
-    ).where(
-        F.col("value").contains('"properties"')
-        & F.try_parse_json(F.regexp_replace(F.trim("value"), r",$", "")).isNull()
-    )
+def broken_features(spark: SparkSession, paths: list[str], opening: str | None = None) -> DataFrame:
+    """Texts that hold feature members but do not parse: ``source, text``."""
+    texts = _feature_texts(spark, paths, opening)
+    member = F.col("text").contains('"properties"') | F.col("text").contains('"geometry"')
+    return texts.where(F.col("payload").isNull() & member).select("source", "text")

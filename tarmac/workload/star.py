@@ -274,7 +274,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "nearest_of_many_points": (nearest_of_many_points, NEAREST_OF_MANY_POINTS),
     "nearest_segment": (_nearest_road(), NEAREST_SEGMENT),
     # the path for indexes too large to send to every task
-    "nearest_segment_shuffled": (_nearest_road(broadcast_cells=0), NEAREST_SEGMENT),
+    "nearest_segment_shuffled": (_nearest_road(broadcast_limit=0), NEAREST_SEGMENT),
     "fact_accidents": (fact_accidents, FACT_ACCIDENTS),
     "pk_violations": (repeated_lines, REPEATED_LINES),
     "fk_violations": (orphan_lines, ORPHAN_LINES),

@@ -51,14 +51,14 @@ def cases():
 
 
 @pytest.mark.parametrize("name,points,segs", list(cases()), ids=lambda v: v if isinstance(v, str) else "")
-@pytest.mark.parametrize("broadcast_cells", [20_000, 0])
-def test_index_equals_brute_force(spark, name, points, segs, broadcast_cells):
+@pytest.mark.parametrize("broadcast_limit", [500_000, 0])
+def test_index_equals_brute_force(spark, name, points, segs, broadcast_limit):
     pts = spark.createDataFrame(pd.DataFrame({"p": range(len(points)), "x": points[:, 0], "y": points[:, 1]}))
     frame = pd.DataFrame(segs, columns=["ax", "ay", "bx", "by"])
     frame.insert(0, "id", range(len(segs)))
     found = nearest_join(
         pts, "x", "y", spark.createDataFrame(frame), {"road": "id", "d": "distance"},
-        array_limit=10, broadcast_cells=broadcast_cells,
+        array_limit=10, broadcast_limit=broadcast_limit,
     ).toPandas().sort_values("p")
     want = brute(points, segs)
     assert len(found) == len(points)
@@ -69,7 +69,7 @@ def test_index_equals_brute_force(spark, name, points, segs, broadcast_cells):
 PLACES = [(0.1, 0.1), (5.0, 5.0), (None, 1.0), (None, None), (float("nan"), 2.0)]
 
 
-@pytest.mark.parametrize("options", [{}, {"array_limit": 0}, {"array_limit": 0, "broadcast_cells": 0}])
+@pytest.mark.parametrize("options", [{}, {"array_limit": 0}, {"array_limit": 0, "broadcast_limit": 0}])
 def test_places_without_coordinates_get_the_smallest_id(spark, options):
     accidents = spark.createDataFrame([(i, *p) for i, p in enumerate(PLACES)], "p int, x double, y double")
     cities = spark.createDataFrame(

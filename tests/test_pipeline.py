@@ -147,36 +147,48 @@ def test_empty_input_keeps_the_old_accidents(spark, landed):
     assert house.table("silver.traffic_accident_clean").read().count() == 5
 
 
-def test_lines_layout_equals_document_layout(spark, landed):
-    lines = landed / "lines"
-    lines.mkdir()
-    features = [feature(i / 10, 1.0, damage=i) for i in range(2000)]
-    body = ",\n".join(json.dumps(f) for f in features)
-    (lines / "nehody_202401-202412.geojson").write_text(
-        '{\n"type": "FeatureCollection",\n"features": [\n' + body + "\n]\n}\n"
-    )
-    path = str(lines / "nehody_202401-202412.geojson")
+def _written(features, style):
+    if style == "line per feature":
+        body = ",\n".join(json.dumps(f) for f in features)
+        return '{\n"type": "FeatureCollection",\n"features": [\n' + body + "\n]\n}\n"
+    document = {"type": "FeatureCollection", "features": features}
+    if style == "one line, members after":
+        document["crs"] = "x"
+    return json.dumps(document)
+
+
+OPENING = '{"type": "Feature", '
+STYLES = [("line per feature", None), ("one line", OPENING), ("one line, members after", OPENING)]
+
+
+@pytest.mark.parametrize("style,opening", STYLES)
+def test_split_layout_equals_document_layout(spark, landed, style, opening):
+    folder = landed / "large"
+    folder.mkdir()
+    features = [feature(i / 10, 1.0, damage=i, pricina="a, [b] }") for i in range(2000)]
+    path = folder / "nehody_202401-202412.geojson"
+    path.write_text(_written(features, style))
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     found = {}
-    for layout in ("document", "lines"):
+    for layout in ("document", "split"):
         house = Warehouse(spark, scratch_path(spark, layout))
-        if layout == "lines":
+        if layout == "split":
             spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")  # many tasks read the one file
         try:
-            house.ingest_accidents([path], layout=layout)
+            house.ingest_accidents([str(path)], layout=layout, opening=opening)
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         house.clean_accidents()
         found[layout] = content(house, "silver.traffic_accident_clean")
-    assert len(found["lines"]) == 2000
-    assert found["lines"] == found["document"]
+    assert len(found["split"]) == 2000
+    assert found["split"] == found["document"]
 
 
 def test_broken_line_is_reported(spark, landed):
     path = landed / "broken.geojson"
     path.write_text('{"features": [\n{"properties": {"a": 1}, "geometry": \n]}\n')
     with pytest.raises(ConstraintError):
-        Warehouse(spark, scratch_path(spark, "house")).ingest_accidents([str(path)], layout="lines")
+        Warehouse(spark, scratch_path(spark, "house")).ingest_accidents([str(path)], layout="split")
 
 
 def test_year_files_are_read_by_name(spark, landed):
