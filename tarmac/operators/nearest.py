@@ -25,6 +25,7 @@ LIST_LIMIT = 64  # candidate weight at which a cell is fine enough
 STUCK_LIMIT = 256  # weight at which a cell is also finished when halving it no longer helps
 BROADCAST_CANDIDATES = 500_000  # list entries, some 50 bytes each, sent to every task at most
 FIRST_DEPTH, LAST_DEPTH = 4, 36
+SMALL_INDEX = 1_000_000  # up to here a first grid somewhat too fine is cheaper than another round
 LOOK_AHEAD = 8  # depths for which one pass over the points tells which cells are in use
 PIECE_BUDGET = 8  # stop refining once cutting long segments makes this many pieces per shape
 SLACK = 1e-9  # relative room for rounding in the pruning bounds; extra candidates do no harm
@@ -58,13 +59,41 @@ def _usable(x: str, y: str) -> Column:
 
 
 def _best(x: str, y: str, candidates: Column) -> Column:
-    """Closest candidate as struct<distance, winner>."""
+    """Closest candidate as struct<distance, winner>.
 
-    def scored(c: Column) -> Column:
-        d = segment_distance(F.col(x), F.col(y), c["ax"], c["ay"], c["bx"], c["by"])
-        return F.struct(d.alias("distance"), c["winner"].alias("winner"))
-
-    return F.array_min(F.transform(candidates, scored))
+    Lambdas do not share common sub-expressions, so the distance is built in steps that each compute
+    their values once.
+    """
+    px, py, zero, one = F.col(x), F.col(y), F.lit(0.0), F.lit(1.0)
+
+    def directed(c: Column) -> Column:
+        return F.struct(
+            c["ax"].alias("ax"), c["ay"].alias("ay"), c["winner"].alias("winner"),
+            (c["bx"] - c["ax"]).alias("dx"), (c["by"] - c["ay"]).alias("dy"),
+        )
+
+    def placed(c: Column) -> Column:
+        dx, dy = c["dx"], c["dy"]
+        along = F.try_divide((px - c["ax"]) * dx + (py - c["ay"]) * dy, dx * dx + dy * dy)
+        t = F.coalesce(F.least(one, F.greatest(zero, along)), zero)
+        return F.struct(c.alias("c"), t.alias("t"))
+
+    def offset(p: Column) -> Column:
+        c, t = p["c"], p["t"]
+        return F.struct(
+            (px - (c["ax"] + t * c["dx"])).alias("ex"),
+            (py - (c["ay"] + t * c["dy"])).alias("ey"),
+            c["winner"].alias("winner"),
+        )
+
+    def scored(o: Column) -> Column:
+        d = F.sqrt(o["ex"] * o["ex"] + o["ey"] * o["ey"])
+        return F.struct(d.alias("distance"), o["winner"].alias("winner"))
+
+    steps = candidates
+    for step in (directed, placed, offset, scored):
+        steps = F.transform(steps, step)
+    return F.array_min(steps)
 
 
 def _unique_shapes(shapes: DataFrame) -> DataFrame:
@@ -117,14 +146,10 @@ class NearestIndex:
 
 def _extent(shapes: DataFrame, points: DataFrame, x: str, y: str) -> Grid:
     """Grid over everything; one pass of minima and maxima on two columns."""
-    ends = shapes.agg(
-        F.min(F.least("ax", "bx")), F.min(F.least("ay", "by")),
-        F.max(F.greatest("ax", "bx")), F.max(F.greatest("ay", "by")),
-    ).first()
-    probe = points.where(_usable(x, y)).agg(F.min(x), F.min(y), F.max(x), F.max(y)).first()
-    known = [box for box in (ends, probe) if box[0] is not None]
-    x0, y0 = min(b[0] for b in known), min(b[1] for b in known)
-    x1, y1 = max(b[2] for b in known), max(b[3] for b in known)
+    corners = points.where(_usable(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
+    for end in ("a", "b"):
+        corners = corners.unionByName(shapes.select(F.col(f"{end}x").alias("x"), F.col(f"{end}y").alias("y")))
+    x0, y0, x1, y1 = corners.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
     return Grid(float(x0), float(y0), max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-6))
 
 
@@ -264,16 +289,26 @@ def _lists(pairs: DataFrame, pieces: DataFrame, grid: Grid, depth: int) -> DataF
 
 
 def build_index(
-    shapes: DataFrame, n_shapes: int, points: DataFrame, x: str, y: str, grid: Grid
+    shapes: DataFrame,
+    n_shapes: int,
+    total_length: float,
+    points: DataFrame,
+    x: str,
+    y: str,
+    grid: Grid,
 ) -> NearestIndex:
     """Refine the cells that hold points until each has few candidates.
 
     Work is done on cells and their counts; shapes themselves are only moved down while they lie under
     an unfinished cell, and met with a cell once it is finished.
     """
-    # no cell is fine enough before there are about as many cells as shapes
-    depth = min(max(int(math.log(max(n_shapes / 4, 1), 4)), FIRST_DEPTH), FIRST_DEPTH + LOOK_AHEAD)
-    used_depth = depth + LOOK_AHEAD // 2
+    # start where there are about as many cells as shapes; single shapes are not looked at before
+    level = math.log(max(n_shapes, 1), 4)
+    level = math.ceil(level) if n_shapes <= SMALL_INDEX else math.floor(level)
+    if total_length > 0:  # and where shapes are not cut into many pieces yet
+        level = min(level, int(math.log2(max(4 * n_shapes * grid.side / total_length, 1))))
+    depth = min(max(level, FIRST_DEPTH), FIRST_DEPTH + LOOK_AHEAD)
+    first_depth, used_depth = depth, depth + LOOK_AHEAD // 2
     points = points.where(_usable(x, y)).select(x, y)
     used = cut_lineage(_used_cells(points, x, y, grid, used_depth))
     whole = shapes.select(
@@ -295,7 +330,9 @@ def build_index(
         ).first()
         # a small remainder with short enough lists is not worth another round
         enough = (heaviest or 0) <= STUCK_LIMIT and n_open * 10 < total_done + n_done
-        if enough or depth >= LAST_DEPTH or pieces.count() > budget:
+        # pieces can only have multiplied a few rounds in
+        overcut = depth > first_depth + 2 and pieces.count() > budget
+        if enough or depth >= LAST_DEPTH or overcut:
             done, n_done, n_open = F.lit(True), n_done + n_open, 0
         total_done += n_done
         if n_done:
@@ -390,14 +427,15 @@ def nearest_join(
     fallback = known.agg(F.min("winner")).scalar()
     lost = F.struct(F.lit(float("inf")).alias("distance"), fallback.alias("winner"))
 
-    n_shapes = known.count()
+    length = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    n_shapes, total_length = known.agg(F.count("*"), F.sum(length)).first()
     if n_shapes <= array_limit:
         everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
         matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
         best = F.when(_usable(x, y), _best(x, y, F.col("_all"))).otherwise(lost)
         return matched.withColumn("best", best).select(*points.columns, *outputs)
 
-    index = build_index(known, n_shapes, places, x, y, _extent(known, places, x, y))
+    index = build_index(known, n_shapes, total_length or 0.0, places, x, y, _extent(known, places, x, y))
     if index.entries <= broadcast_limit and not index.split_lists:
         # every list reaches every task, so the points are neither shuffled nor copied
         found = _probe(points, x, y, index, broadcast=True)
@@ -411,5 +449,7 @@ def nearest_join(
     # points without coordinates are spread by a salt that no location carries, and keep no match
     spread = F.when(_usable(x, y), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1024 + 1)
     salted = points.withColumn("_salt", spread)
-    joined = salted.join(best.withColumn("_salt", F.lit(0).cast("bigint")), [x, y, "_salt"], "left")
+    # always 0, but not a literal: the optimizer would take a literal out of the join keys again
+    best = best.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(1)))
+    joined = salted.join(best, [x, y, "_salt"], "left")
     return joined.withColumn("best", F.coalesce("best", lost)).select(*points.columns, *outputs)
