@@ -160,6 +160,8 @@ class Warehouse:
         accidents = cut_lineage(
             added.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
         )
+        if accidents.isEmpty():
+            return
         fact.append(
             assemble_fact(
                 accidents,

@@ -324,6 +324,34 @@ WHERE NOT EXISTS (SELECT 1 FROM target t
 """
 
 
+def merge_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as cities named by nation: few names, many rows each, and some without a name.
+
+    Rows without a name never conflict; nations of one region are in the target before.
+    """
+    customers = load(spark, sf_dir, "customer")
+    named = F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("NATION_"), text("c_nationkey")))
+    batch = customers.select(named.alias("city_name"), "c_custkey", F.lit("new").alias("load"))
+    target = load(spark, sf_dir, "nation").where(F.col("n_regionkey") == 1).select(
+        F.col("n_name").alias("city_name"),
+        F.lit(None).cast("bigint").alias("c_custkey"),
+        F.lit("old").alias("load"),
+    )
+    return insert_only_merge(batch, target, ["city_name"], [F.col("c_custkey")], nullable_keys=True)
+
+
+MERGE_WITH_NULL_KEYS = """
+WITH batch AS (
+  SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN 'NATION_' || c_nationkey END AS city_name, c_custkey
+  FROM customer),
+target AS (SELECT n_name AS city_name FROM nation WHERE n_regionkey = 1)
+SELECT city_name, CAST(NULL AS BIGINT) AS c_custkey, 'old' AS load FROM target
+UNION ALL SELECT city_name, c_custkey, 'new' FROM batch WHERE city_name IS NULL
+UNION ALL SELECT city_name, min(c_custkey), 'new' FROM batch
+WHERE city_name IS NOT NULL AND city_name NOT IN (SELECT city_name FROM target) GROUP BY city_name
+"""
+
+
 def first_writer_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events").select(
         "event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("date"),
@@ -361,6 +389,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "bronze_append": (bronze_append, BRONZE_APPEND),
     "full_refresh": (full_refresh, FULL_REFRESH),
     "insert_only_merge": (merge_of_lines, MERGE_OF_LINES),
+    "insert_only_merge_null_keys": (merge_with_null_keys, MERGE_WITH_NULL_KEYS),
     "first_writer_dedupe": (first_writer_dedupe, FIRST_WRITER_DEDUPE),
     "surrogate_keys": (surrogate_keys, SURROGATE_KEYS),
 }

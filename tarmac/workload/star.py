@@ -90,6 +90,21 @@ def weather_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_ids(dims.daily_weather(_hours(spark, sf_dir)), ["station_id", "date"], "weather_id")
 
 
+def dim_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = weather_dim(spark, sf_dir)
+    return rows.select(
+        "weather_id", "station_id", F.col("date").cast("string").alias("date"),
+        *_measures(rows), "weather_category",
+    )
+
+
+DIM_WEATHER = with_sql(WEATHER_SQL) + f"""
+SELECT weather_id, station_id, strftime(d, '%Y-%m-%d') AS date,
+       {_MEASURES_SQL.format(snow='snow / CAST(100 AS DOUBLE)')}, category AS weather_category
+FROM dim_weather
+"""
+
+
 def unplaced_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours whose required columns are not all filled."""
     columns = hour_columns(F.col("payload"), F.col("source"))
@@ -266,6 +281,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "weather_clean": (weather_clean, WEATHER_CLEAN),
     "daily_weather": (daily_weather, DAILY_WEATHER),
     "weather_category": (weather_category, WEATHER_CATEGORY),
+    "dim_weather": (dim_weather, DIM_WEATHER),
     "not_null_violations": (unplaced_hours, UNPLACED_HOURS),
     "quarantined_hours": (quarantined_hours, QUARANTINED_HOURS),
     "left_join_date": (left_join_date, LEFT_JOIN_DATE),
