@@ -26,6 +26,8 @@ from tarmac.sources import geojson, landed
 from tarmac.sources.calendar import date_spine, year_file_paths
 from tarmac.sources.tables import Table
 
+DOCUMENT_LIMIT = 512 << 20  # bytes one task may read as a single document
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -55,16 +57,21 @@ class Warehouse:
         listed = self.spark.read.format("binaryFile").load(paths).select(
             F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("source"),
             "path",
+            "length",
         )
         known = files.read()
         fresh = listed if allow_reload else unseen_sources(listed, known)
         # a load that stopped halfway leaves features without a file row; its ids are not given again
         last = max(max_id(known, "raw_id"), max_id(features.read(), "raw_id"))
         loads = cut_lineage(dense_ids(fresh, ["source"], "raw_id", start=last + 1))
-        # file names only; one entry per file
-        todo = [row.path for row in loads.select("path").toLocalIterator()]
+        # names and sizes only; one entry per file
+        found_files = list(loads.select("path", "length").toLocalIterator())
+        todo = [row.path for row in found_files]
         if not todo:
             return
+        large = [row.path for row in found_files if row.length > DOCUMENT_LIMIT]
+        if large and layout == "document":
+            raise ValueError(f"too large for one task, use layout='split': {large}")
         if layout == "split":
             require_empty(geojson.broken_features(self.spark, todo, opening), "unreadable features")
             found = geojson.split_features(self.spark, todo, opening)
@@ -172,6 +179,10 @@ class Warehouse:
             )
         )
 
+    def unplaced_accidents(self) -> DataFrame:
+        """Accidents whose city and road are only stand-ins, for want of coordinates."""
+        return not_null_violations(self.table("silver.traffic_accident_clean").read(), ["lat", "lon"])
+
     def check(self) -> None:
         """Raise on the first broken constraint of any table."""
         for name in SCHEMAS:

@@ -109,6 +109,7 @@ def test_load_and_repeat(spark, landed):
         ("B", None, 1, None, 13),  # day before the spine
         ("B", "2024-01-01", 2, "D22", None),
     ], key=repr)
+    assert house.unplaced_accidents().count() == 1
     assert len(weather) == 2
     day = next(iter(weather.values()))
     assert (str(day.temp_c), day.wind_dir, day.weather_category) == ("-1.23", 180, "Freezing")
@@ -191,6 +192,15 @@ def test_broken_line_is_reported(spark, landed):
         Warehouse(spark, scratch_path(spark, "house")).ingest_accidents([str(path)], layout="split")
 
 
+def test_large_documents_are_refused(spark, landed, monkeypatch):
+    monkeypatch.setattr("tarmac.plans.pipeline.DOCUMENT_LIMIT", 10)
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    path = str(landed / "accidents" / "nehody_202401-202412.geojson")
+    with pytest.raises(ValueError, match="split"):
+        house.ingest_accidents([path])
+    assert house.table("bronze.traffic_accidents_raw").read().isEmpty()
+
+
 def test_year_files_are_read_by_name(spark, landed):
     house = Warehouse(spark, scratch_path(spark, "house"))
     house.ingest_accident_years(str(landed / "accidents"), dt.date(2025, 6, 1))
