@@ -20,7 +20,14 @@ from tarmac.operators.quality import (
 )
 from tarmac.plans import clean, dims
 from tarmac.plans.fact import assemble_fact
-from tarmac.schemas import REFERENCES, REQUIRED, SCHEMAS, UNIQUE_KEYS
+from tarmac.schemas import (
+    PROGRESS,
+    PROGRESS_SCHEMA,
+    REFERENCES,
+    REQUIRED,
+    SCHEMAS,
+    UNIQUE_KEYS,
+)
 from tarmac.session import cut_lineage
 from tarmac.sources import geojson, landed
 from tarmac.sources.calendar import date_spine, year_file_paths
@@ -111,12 +118,25 @@ class Warehouse:
         if not rows.isEmpty():
             self.table("silver.traffic_accident_clean").replace(rows)
 
-    def clean_weather(self) -> DataFrame:
-        """Insert-only load; returns the quarantined rows."""
-        good, bad = clean.clean_weather(self.table("bronze.meteostat_raw").read())
-        self.table("silver.weather_clean").merge(
-            good, ["station_id", "date", "time"], [F.col("raw_id")]
+    def clean_weather(self, everything: bool = False) -> DataFrame:
+        """Insert-only load; returns the quarantined rows.
+
+        Rows up to the id absorbed before cannot add anything, since earlier ids win, so only later ones
+        are read.  The id is noted after the merge: a failure in between repeats work, never loses it.
+        """
+        name = "bronze.meteostat_raw"
+        progress = Table(self.spark, self.root, PROGRESS, PROGRESS_SCHEMA)
+        raw = self.table(name).read()
+        known = progress.read().where(F.col("source_table") == name)
+        after, upto = (0 if everything else max_id(known, "raw_id")), max_id(raw, "raw_id")
+        good, bad = clean.clean_weather(
+            raw.where((F.col("raw_id") > after) & (F.col("raw_id") <= upto))
         )
+        if upto > after:
+            self.table("silver.weather_clean").merge(
+                good, ["station_id", "date", "time"], [F.col("raw_id")]
+            )
+            progress.replace(self.spark.createDataFrame([(name, upto)], PROGRESS_SCHEMA))
         return bad
 
     def clean_roads(self) -> DataFrame:

@@ -48,6 +48,10 @@ SCHEMAS = {
     ),
 }
 
+# How far a raw table has been absorbed; read by the incremental cleaning step.
+PROGRESS = "silver.cleaning_progress"
+PROGRESS_SCHEMA = "source_table string, raw_id bigint"
+
 # Unique keys, one list per constraint.
 UNIQUE_KEYS = {
     "bronze.traffic_accidents_raw": [["raw_id"]],

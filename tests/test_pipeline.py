@@ -137,6 +137,24 @@ def test_quarantine(spark, landed):
     assert {(r.road_id, tuple(r.reasons)) for r in house.clean_roads().collect()} == {(4, ("no line",))}
 
 
+def test_weather_is_absorbed_once(spark, landed):
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    house.ingest_weather(str(landed / "weather"))
+    house.clean_weather()
+    before = content(house, "silver.weather_clean")
+    assert house.clean_weather().isEmpty()  # nothing new to read
+    later = landed / "later" / "station=11518"
+    later.mkdir(parents=True)
+    more = [HOURS[0] | {"temp": 33}, HOURS[0] | {"time": "2024-01-01 02:00:00"}, HOURS[3]]
+    (later / "2024-04.json").write_text(json.dumps({"data": more}))
+    house.ingest_weather(str(landed / "later"))
+    assert house.clean_weather().count() == 1
+    after = content(house, "silver.weather_clean")
+    assert len(after) == len(before) + 1 and set(before) <= set(after)
+    house.clean_weather(everything=True)
+    assert content(house, "silver.weather_clean") == after
+
+
 def test_empty_input_keeps_the_old_accidents(spark, landed):
     house = Warehouse(spark, scratch_path(spark, "house"))
     ingest(house, spark, landed)
