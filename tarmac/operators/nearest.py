@@ -13,6 +13,7 @@ shape farther from c than the closest one by more than 2h is never nearest insid
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
@@ -25,7 +26,6 @@ LIST_LIMIT = 64  # candidate weight at which a cell is fine enough
 STUCK_LIMIT = 256  # weight at which a cell is also finished when halving it no longer helps
 BROADCAST_CANDIDATES = 500_000  # list entries, some 50 bytes each, sent to every task at most
 FIRST_DEPTH, LAST_DEPTH = 4, 36
-SMALL_INDEX = 1_000_000  # up to here a first grid somewhat too fine is cheaper than another round
 LOOK_AHEAD = 8  # depths for which one pass over the points tells which cells are in use
 PIECE_BUDGET = 8  # stop refining once cutting long segments makes this many pieces per shape
 SLACK = 1e-9  # relative room for rounding in the pruning bounds; extra candidates do no harm
@@ -303,8 +303,7 @@ def build_index(
     an unfinished cell, and met with a cell once it is finished.
     """
     # start where there are about as many cells as shapes; single shapes are not looked at before
-    level = math.log(max(n_shapes, 1), 4)
-    level = math.ceil(level) if n_shapes <= SMALL_INDEX else math.floor(level)
+    level = int(math.log(max(n_shapes, 1), 4))
     if total_length > 0:  # and where shapes are not cut into many pieces yet
         level = min(level, int(math.log2(max(4 * n_shapes * grid.side / total_length, 1))))
     depth = min(max(level, FIRST_DEPTH), FIRST_DEPTH + LOOK_AHEAD)
@@ -403,53 +402,71 @@ def _probe(points: DataFrame, x: str, y: str, index: NearestIndex, broadcast: bo
 
 
 def nearest_join(
-    points: DataFrame,
+    points: DataFrame, x: str, y: str, shapes: DataFrame, names: dict[str, str], **options
+) -> DataFrame:
+    """``points`` plus the columns of its nearest shape.
+
+    ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
+    """
+    return prepare_nearest(points, x, y, shapes, names, **options)(points)
+
+
+def prepare_nearest(
+    places: DataFrame,
     x: str,
     y: str,
     shapes: DataFrame,
     names: dict[str, str],
     *,
-    places: DataFrame | None = None,
     array_limit: int = ARRAY_LIMIT,
     broadcast_limit: int = BROADCAST_CANDIDATES,
-) -> DataFrame:
-    """``points`` plus the columns of its nearest shape.
-
-    ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
-    ``places`` may name a cheaper frame with the same coordinates, to be read while indexing.
-    """
-    places = points if places is None else places
+) -> Callable[[DataFrame], DataFrame]:
+    """Index ``shapes`` for the positions in ``places``; returns the join for frames with those positions."""
     outputs = [
         (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
         for name, source in names.items()
     ]
     known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
-    fallback = known.agg(F.min("winner")).scalar()
-    lost = F.struct(F.lit(float("inf")).alias("distance"), fallback.alias("winner"))
-
     length = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
     n_shapes, total_length = known.agg(F.count("*"), F.sum(length)).first()
-    if n_shapes <= array_limit:
+    index = None
+    if n_shapes > array_limit:
+        extent = _extent(known, places, x, y)
+        index = build_index(known, n_shapes, total_length or 0.0, places, x, y, extent)
+
+    def lost() -> Column:
+        smallest = known.agg(F.min("winner")).scalar()
+        return F.struct(F.lit(float("inf")).alias("distance"), smallest.alias("winner"))
+
+    def compare_all(points: DataFrame) -> DataFrame:
         everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
         matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
-        best = F.when(_usable(x, y), _best(x, y, F.col("_all"))).otherwise(lost)
-        return matched.withColumn("best", best).select(*points.columns, *outputs)
+        best = F.when(_usable(x, y), _best(x, y, F.col("_all"))).otherwise(lost())
+        return matched.withColumn("best", best)
 
-    index = build_index(known, n_shapes, total_length or 0.0, places, x, y, _extent(known, places, x, y))
-    if index.entries <= broadcast_limit and not index.split_lists:
-        # every list reaches every task, so the points are neither shuffled nor copied
+    def probe_in_place(points: DataFrame) -> DataFrame:
+        """Every list reaches every task, so the points are not shuffled."""
         found = _probe(points, x, y, index, broadcast=True)
-        return found.withColumn("best", F.coalesce("best", lost)).select(*points.columns, *outputs)
-
-    # Look up each distinct location once, on two columns only, then hand the answer back.
-    located = points.where(_usable(x, y)).select(x, y).distinct()
-    best = _probe(located, x, y, index, broadcast=False)
-    if index.split_lists:
-        best = best.groupBy(x, y).agg(F.min("best").alias("best"))
-    # points without coordinates are spread by a salt that no location carries, and keep no match
-    spread = F.when(_usable(x, y), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1024 + 1)
-    salted = points.withColumn("_salt", spread)
-    # always 0, but not a literal: the optimizer would take a literal out of the join keys again
-    best = best.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(1)))
-    joined = salted.join(best, [x, y, "_salt"], "left")
-    return joined.withColumn("best", F.coalesce("best", lost)).select(*points.columns, *outputs)
+        return found.withColumn("best", F.coalesce("best", lost()))
+
+    def probe_locations(points: DataFrame) -> DataFrame:
+        """Look up each distinct location once, on two columns only, then hand the answer back."""
+        located = points.where(_usable(x, y)).select(x, y).distinct()
+        best = _probe(located, x, y, index, broadcast=False)
+        if index.split_lists:
+            best = best.groupBy(x, y).agg(F.min("best").alias("best"))
+        # points without coordinates are spread by a salt that no location carries, and keep no match
+        spread = F.when(_usable(x, y), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1024 + 1)
+        salted = points.withColumn("_salt", spread)
+        # always 0, but not a literal: the optimizer would take a literal out of the join keys again
+        best = best.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(1)))
+        joined = salted.join(best, [x, y, "_salt"], "left")
+        return joined.withColumn("best", F.coalesce("best", lost()))
+
+    if index is None:
+        find = compare_all
+    elif index.entries <= broadcast_limit and not index.split_lists:
+        find = probe_in_place
+    else:
+        find = probe_locations
+    return lambda points: find(points).select(*points.columns, *outputs)

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes
+from tarmac.operators.nearest import line_shapes, point_shapes, prepare_nearest
 
 # The date dimension is generated with a fixed number of days; beyond this it is not broadcast.
 _SPINE_LIMIT = 50_000
 
 
-def nearest_city(accidents: DataFrame, cities: DataFrame, **options) -> DataFrame:
-    """Adds ``city_id`` and ``station_id`` of the closest city."""
+def nearest_city(places: DataFrame, cities: DataFrame, **options) -> Callable[[DataFrame], DataFrame]:
+    """Join that adds ``city_id`` and ``station_id`` of the closest city."""
     shapes = point_shapes(cities, "city_id", "lon", "lat", "station_id")
     names = {"city_id": "id", "station_id": "station_id"}
-    return nearest_join(accidents, "lon", "lat", shapes, names, **options)
+    return prepare_nearest(places, "lon", "lat", shapes, names, **options)
 
 
-def nearest_road(accidents: DataFrame, roads: DataFrame, **options) -> DataFrame:
-    """Adds ``road_id`` of the closest road line."""
+def nearest_road(places: DataFrame, roads: DataFrame, **options) -> Callable[[DataFrame], DataFrame]:
+    """Join that adds ``road_id`` of the closest road line."""
     shapes = line_shapes(roads, "road_id", "geom")
-    return nearest_join(accidents, "lon", "lat", shapes, {"road_id": "id"}, **options)
+    return prepare_nearest(places, "lon", "lat", shapes, {"road_id": "id"}, **options)
 
 
 def with_date_id(rows: DataFrame, dates: DataFrame, day: str = "date") -> DataFrame:
@@ -63,9 +66,11 @@ def assemble_fact(
 ) -> DataFrame:
     """One row per accident; none at all when there is no city or no road."""
     needed = accidents.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
-    where = needed.select("lon", "lat")
-    placed = nearest_city(needed, cities, places=where, **options)
-    placed = nearest_road(placed, roads, places=where, **options)
+    places = needed.select("lon", "lat")
+    with ThreadPoolExecutor(2) as both:  # two series of small jobs that do not depend on each other
+        city = both.submit(nearest_city, places, cities, **options)
+        road = both.submit(nearest_road, places, roads, **options)
+        placed = road.result()(city.result()(needed))
     dated = with_date_id(placed, dates)
     return with_weather_id(dated, weather, "accident_id").select(
         "accident_id",
