@@ -14,7 +14,7 @@ from tarmac.sources.bronze import choose
 # An accident keeps its id when its file is landed again: the file's first raw id and the feature's
 # position, packed side by side.  Unlike a hash, two accidents can never share one.
 _ORDINAL_BITS = 36
-_FEW_LOADS = 1_000_000  # two ids each, so 16 MB to every task at most
+FEW_LOADS = 1_000_000  # an id and a name or two ids each, some tens of MB to every task at most
 
 
 def clean_accidents(files: DataFrame, features: DataFrame, backfill: bool = False) -> DataFrame:
@@ -27,7 +27,7 @@ def clean_accidents(files: DataFrame, features: DataFrame, backfill: bool = Fals
     chosen = choose(files, backfill).join(first, "source").select("raw_id", "first_id")
     if not backfill:
         features = features.where(F.col("raw_id") == files.agg(F.max("raw_id")).scalar())
-    if chosen.limit(_FEW_LOADS + 1).count() <= _FEW_LOADS:
+    if chosen.limit(FEW_LOADS + 1).count() <= FEW_LOADS:
         chosen = F.broadcast(chosen)
     accident_id = F.shiftleft("first_id", _ORDINAL_BITS).bitwiseOR(F.col("ordinal"))
     return features.join(chosen, "raw_id").select(

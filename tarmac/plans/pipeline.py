@@ -80,15 +80,14 @@ class Warehouse:
         if large and layout == "document":
             raise ValueError(f"too large for one task, use layout='split': {large}")
         if layout == "split":
-            require_empty(geojson.broken_features(self.spark, todo, opening), "unreadable features")
             found = geojson.split_features(self.spark, todo, opening)
         else:
             found = geojson.document_features(self.spark, todo)
         # features first: without its file row, no feature is ever read
         ids = loads.select("raw_id", "source")
-        features.append(
-            found.join(ids, "source").select("raw_id", "ordinal", "payload")
-        )
+        # one row per file: broadcast while they are few, so that features stay where they were read
+        small = F.broadcast(ids) if len(todo) <= clean.FEW_LOADS else ids
+        features.append(found.join(small, "source").select("raw_id", "ordinal", "payload"))
         files.append(ids.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
 
     def ingest_accident_years(self, folder: str, as_of: dt.date, backfill: bool = False) -> None:

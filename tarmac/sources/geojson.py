@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
-from tarmac.functions.payload import field, is_object
+from tarmac.functions.payload import is_object
 
 _FEATURES = "features array<variant>"
 
@@ -46,62 +46,64 @@ def document_features(spark: SparkSession, paths: list[str]) -> DataFrame:
     return explode_features(documents, "document", "source").hint("rebalance")
 
 
-def _feature_texts(spark: SparkSession, paths: list[str], opening: str | None) -> DataFrame:
-    """Candidate feature texts with file, block and place, read in splits.
+def _texts(spark: SparkSession, paths: list[str], opening: str | None) -> DataFrame:
+    """Every text of the files with file, block and place, read in splits; NULL where no feature starts.
 
     Without ``opening`` a text is a line.  With it, a text is what lies between two occurrences of that
     string, the way one-line documents start every feature, and the string is put back in front.
     """
     reader = spark.read.option("lineSep", opening) if opening else spark.read
-    raw = F.trim(F.regexp_replace(F.col("value"), r"^\s+|\s+$", ""))
+    raw = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    body = F.rtrim(raw, F.lit(","))
     if opening:
-        body = F.regexp_replace(raw, r",$", "")
-        # the first piece is the head of the document, the last one carries its end
+        # the first text is the head of the document
         text = F.when(~body.rlike(r'"features"\s*:\s*\[$'), F.concat(F.lit(opening), body))
     else:
-        text = F.when(raw.startswith("{"), F.regexp_replace(raw, r",$", ""))
-    closed = F.regexp_replace(F.col("text"), r"\](\s*,[^\[\]]*)?\s*\}$", "")
+        text = F.when(raw.startswith("{"), body)
+    member = text.contains('"properties"') | text.contains('"geometry"')
     return reader.text(paths).select(
         _stem(F.col("_metadata.file_name")).alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        text.alias("text"),
-    ).where(F.col("text").isNotNull()).select(
-        "source", "block", "place", "text",
-        F.coalesce(F.try_parse_json("text"), F.try_parse_json(closed)).alias("payload"),
+        F.when(member, text).alias("text"),
     )
 
 
-def _is_feature(payload: Column) -> Column:
-    present = field(payload, "$.properties").isNotNull() | field(payload, "$.geometry").isNotNull()
-    return is_object(payload) & present
+def _parsed(text: Column, source: Column) -> Column:
+    """The feature as VARIANT; text that does not parse stops the job, so nothing of it is published."""
+    # the last text of a one-line document carries the document's end
+    closed = F.regexp_replace(text, r"\](\s*,[^\[\]]*)?\s*\}$", "")
+    payload = F.coalesce(F.try_parse_json(text), F.try_parse_json(closed))
+    broken = F.raise_error(F.concat(F.lit("unreadable feature in "), source)).cast("variant")
+    return F.coalesce(payload, broken)
 
 
 def split_features(spark: SparkSession, paths: list[str], opening: str | None = None) -> DataFrame:
     """``source, ordinal, payload`` of files whose features many tasks read at once.
 
-    Ordinals are prefix sums over the file's blocks plus the row's place in its block, so they do not
-    depend on how a run happens to split the file.
+    A first pass counts texts per file block without parsing them; their prefix sums number the features
+    by position, however a run happens to split the file, and the features stay where they are read.
     """
-    features = _feature_texts(spark, paths, opening).where(_is_feature(F.col("payload")))
-    features = features.select("source", "block", "place", "payload")
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    texts = _texts(spark, paths, opening)
+    blocks = texts.groupBy("source", "block").agg(
+        F.count("*").alias("n"),
+        F.min("place").alias("first"),
+        F.min(F.when(F.col("text").isNotNull(), F.col("place"))).alias("first_feature"),
+    )
     # one row per file block
-    offsets = (
-        features.groupBy("source", "block")
-        .agg(F.count("*").alias("rows"))
-        .select("source", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    in_file = Window.partitionBy("source")
+    before = in_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("head", F.min(F.col("before") + F.col("first_feature") - F.col("first")).over(in_file))
+        .select("source", "block", (F.col("before") - F.col("first") - F.col("head")).alias("shift"))
     )
-    in_block = F.row_number().over(Window.partitionBy("source", "block").orderBy("place"))
     return (
-        features.withColumn("n", in_block)
-        .join(offsets, ["source", "block"])
-        .select("source", (F.col("offset") + F.col("n") - 1).cast("bigint").alias("ordinal"), "payload")
+        texts.where(F.col("text").isNotNull())
+        .join(blocks, ["source", "block"])
+        .select(
+            "source",
+            (F.col("shift") + F.col("place")).alias("ordinal"),
+            _parsed(F.col("text"), F.col("source")).alias("payload"),
+        )
     )
-
-
-def broken_features(spark: SparkSession, paths: list[str], opening: str | None = None) -> DataFrame:
-    """Texts that hold feature members but do not parse: ``source, text``."""
-    texts = _feature_texts(spark, paths, opening)
-    member = F.col("text").contains('"properties"') | F.col("text").contains('"geometry"')
-    return texts.where(F.col("payload").isNull() & member).select("source", "text")

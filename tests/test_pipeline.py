@@ -203,11 +203,14 @@ def test_split_layout_equals_document_layout(spark, landed, style, opening):
     assert found["split"] == found["document"]
 
 
-def test_broken_line_is_reported(spark, landed):
+def test_broken_feature_stops_the_load(spark, landed):
     path = landed / "broken.geojson"
-    path.write_text('{"features": [\n{"properties": {"a": 1}, "geometry": \n]}\n')
-    with pytest.raises(ConstraintError):
-        Warehouse(spark, scratch_path(spark, "house")).ingest_accidents([str(path)], layout="split")
+    path.write_text('{"features": [\n{"properties": {"a": 1}},\n{"properties": {"a": 1}, "geometry": \n]}\n')
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    with pytest.raises(Exception, match="unreadable feature in broken"):
+        house.ingest_accidents([str(path)], layout="split")
+    assert house.table("bronze.traffic_accidents_raw").read().isEmpty()
+    assert house.table("bronze.traffic_accident_features").read().isEmpty()
 
 
 def test_large_documents_are_refused(spark, landed, monkeypatch):
