@@ -57,11 +57,14 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value").cast("decimal(10,2)")
     day = F.day("ts")
     cold = F.lit(10) - day  # colder as the month goes on
+    rain = k.cast("decimal(10,1)") * F.lit("0.1").cast("decimal(2,1)") * F.pmod(day, F.lit(4))
+    half_day = F.concat(F.pmod(day, F.lit(3)).cast("string"), F.lit(".5"))
+    snow = F.when(k < 50, F.lit("null")).otherwise(half_day)
     record = F.concat(
         F.lit('{"time":"'), F.date_format("ts", "yyyy-MM-dd HH:00:00"),
         F.lit('","temp":'), (value + cold).cast("string"),
-        F.lit(',"prcp":'), (k.cast("decimal(10,1)") * F.lit("0.1").cast("decimal(2,1)") * F.pmod(day, F.lit(4))).cast("decimal(10,1)").cast("string"),
-        F.lit(',"snow":'), F.when(k < 50, F.lit("null")).otherwise(F.concat(F.pmod(day, F.lit(3)).cast("string"), F.lit(".5"))),
+        F.lit(',"prcp":'), rain.cast("decimal(10,1)").cast("string"),
+        F.lit(',"snow":'), snow,
         F.lit(',"wdir":"'), (k * 3).cast("string"),
         F.lit('","wspd":'), (value * F.pmod(day, F.lit(5))).cast("decimal(10,2)").cast("string"),
         F.lit("}"),
