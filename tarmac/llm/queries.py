@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import mixing, pii, sharding, url_rules
+from tarmac.llm import byte_bpe, mixing, pii, sharding, simhash, token_counts, url_rules, winnowing
 from tarmac.llm.oracles import MIXING_SQL, PII_SQL, URL_SQL
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHARDS = 40
 URL_RULES = "('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"
 
@@ -15,6 +17,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    grouped = simhash.near_duplicates(simhash.add_fingerprints(docs, words=3))
+    return grouped.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_with_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules (host, path, verdict)")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -29,6 +41,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digest_documents(docs, RANKS, public_tokenizers.PATTERN)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs, SHARDS).select(
@@ -61,8 +83,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": (op1_simhash, None),
+    "op2_winnowing": (op2_winnowing, None),
     "op3_url_filters": (op3_url_filters, URL_SQL),
     "op4_mixing": (op4_mixing, MIXING_SQL),
+    "op5_byte_bpe": (op5_byte_bpe, None),
+    "op7_token_counts": (op7_token_counts, None),
     "op9_sharding": (op9_sharding, None),
     "op10_pii": (op10_pii, PII_SQL),
 }
