@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import byte_bpe, mixing, pii, sharding, simhash, token_counts, url_rules, winnowing
-from tarmac.llm.oracles import MIXING_SQL, PII_SQL, URL_SQL
+from tarmac.llm import byte_bpe, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
+from tarmac.llm.oracles import MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHARDS = 40
@@ -46,11 +46,29 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(docs, RANKS, public_tokenizers.PATTERN)
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("bigint").alias("id"), topk.scaled(F.col("embedding")).alias("vector")
+    )
+    return topk.top_k(rows, F.col("id") % 100 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.add_scores(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT_FOLD).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs, SHARDS).select(
@@ -88,7 +106,9 @@ QUERIES = {
     "op3_url_filters": (op3_url_filters, URL_SQL),
     "op4_mixing": (op4_mixing, MIXING_SQL),
     "op5_byte_bpe": (op5_byte_bpe, None),
+    "op6_top_k": (op6_top_k, TOP_K_SQL),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_sharding": (op9_sharding, None),
     "op10_pii": (op10_pii, PII_SQL),
 }
