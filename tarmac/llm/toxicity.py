@@ -1,12 +1,12 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon of words and word beginnings is drawn from labelled texts: those whose share of toxic texts stands out by log
-odds over their standard error.  Features are densities of the lexicon, nearness of its hits to the second person,
+A lexicon of words and word beginnings is drawn from labelled texts: those whose share of toxic texts stands out, by the
+likelihood ratio against the share of all texts.  Features are densities of the lexicon, nearness of its hits to the second person,
 capitals, punctuation and obfuscated spellings.  The trees are fitted on part of the labelled rows and calibrated on the rest,
 so a score is the share of toxic texts to expect.
 
-Lexicon and trees are fitted on at most ``MAX_LABELLED`` labelled ids (those with the smallest hashes); every text is
-scored, whole.  Labels of held-out ids are never read.
+Lexicon and trees are fitted on at most ``MAX_LABELLED`` labelled ids (those with the smallest hashes), near copies once;
+every text is scored, whole.  Labels of held-out ids are never read.
 
 Defined cases: null and empty texts have features of zero and get a score like any other; without usable labels every
 score is 0.  Repeated labels of one id count as toxic if one is; labels other than 0 and 1 are ignored.
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -31,7 +32,8 @@ from tarmac.session import cut_lineage
 THRESHOLD = 0.3
 MAX_LABELLED = 20_000
 MAX_LEXICON = 2_000
-LEAST_Z = 2.9
+LEAST_WEIGHT = 3.5  # signed root of the likelihood ratio
+LEAST_SHARE = 0.2  # of the greatest weight
 HELD_OUT_FOLD, CALIBRATION_FOLD = 2, 3
 _NEAR = 5  # words between a hit and the second person
 _CACHED = 200_000
@@ -140,12 +142,25 @@ def _sample(docs: DataFrame, labels: DataFrame, text: str, key: str, limit: int)
     chosen = one.orderBy(F.xxhash64("_id"), "_id").limit(limit)  # so its broadcast is bounded
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     joined = rows.join(F.broadcast(chosen), F.col("_key") == F.col("_id"))
-    once = joined.groupBy("text").agg(F.max("toxic").cast("double").alias("toxic"), F.min(fold(F.col("_id"))).alias("fold"))
+
+    @F.arrow_udf("bigint")
+    def sketch(texts: pa.Array) -> pa.Array:
+        return pa.array([_sketch(t.as_py()) for t in texts], pa.int64())
+
+    once = joined.groupBy(sketch("text").alias("sketch")).agg(
+        F.min("text").alias("text"), F.max("toxic").cast("double").alias("toxic"), F.min(fold(F.col("_id"))).alias("fold")
+    )
     return cut_lineage(once)
 
 
+def _sketch(text: str) -> int:
+    """Smallest hash of the runs of five words; near copies mostly share it."""
+    words = _WORD.findall(text.lower())
+    return min(xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))) >> 1
+
+
 def _lexicon(sample: DataFrame) -> dict[str, float]:
-    """Forms by weight: how many standard errors their log odds of being in a toxic text lie above zero."""
+    """Forms by weight: the root of the likelihood ratio of their share of toxic texts, where that is above the mean."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,10 +173,13 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
     counted = sample.select("text", "toxic").mapInArrow(count, "form string, toxic double").groupBy("form").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("c")
     )
-    odds = F.log((F.col("a") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
-    z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("c") + 0.5))
-    top = counted.select("form", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "form").limit(MAX_LEXICON)
-    return {row.form: row.z for row in top.collect()}
+    a, c, n = F.col("a"), F.col("c"), F.col("a") + F.col("c")
+    mean = n_toxic / (n_toxic + n_clean)
+    clean_part = F.when(c > 0, c * F.log(c / (n * max(1 - mean, 1e-9)))).otherwise(F.lit(0.0))
+    weight = F.sqrt(F.greatest(2 * (a * F.log(a / (n * mean)) + clean_part), F.lit(0.0)))
+    weighed = counted.where((a > 0) & (a > n * mean)).select("form", weight.alias("weight"))
+    top = weighed.where(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "form").limit(MAX_LEXICON).collect()
+    return {row.form: row.weight for row in top if row.weight >= LEAST_SHARE * top[0].weight}
 
 
 def fit_toxicity(
@@ -193,7 +211,7 @@ def add_scores(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``."""
-    kept = docs.columns
-    named = docs.select([F.struct(*kept).alias("_row"), F.col("text").alias("_text"), F.col("doc_id").alias("_key")])
-    scored = add_scores(named, labels, "_text", "_key", **options)
-    return scored.where(F.col("score") < threshold).select("_row.*")
+    numbered = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))  # no clash with columns added here
+    body, key = (f"_c{docs.columns.index(c)}" for c in ("text", "doc_id"))
+    scored = add_scores(numbered, labels, body, key, **options)
+    return scored.where(F.col("score") < threshold).drop("score").toDF(*docs.columns)
