@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarmac.llm.names import numbered
 from tarmac.operators.keys import dense_ids
 from tarmac.session import cut_lineage
 
@@ -74,8 +75,8 @@ def plan_mix(
     light = cut_lineage(docs.select("source", "size", *keys))
     sizes = light.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     order = [F.col("source").asc_nulls_last(), F.col("size"), *[F.col(k).asc_nulls_last() for k in keys]]
-    numbered = dense_ids(light, order, "position", start=0)
-    first = numbered.groupBy("source").agg(F.min("position").alias("first"))
+    ordered = dense_ids(light, order, "position", start=0)
+    first = ordered.groupBy("source").agg(F.min("position").alias("first"))
     sources = source_targets(sizes, weights, cap)
     of_source = sources.join(first.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     of_source = of_source.withColumnRenamed("source", "s")
@@ -83,29 +84,31 @@ def plan_mix(
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     index = F.col("position") - F.col("first")
     crossed = F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset)
-    return numbered.join(of_source, F.col("source").eqNullSafe(F.col("s"))).select(
+    return ordered.join(of_source, F.col("source").eqNullSafe(F.col("s"))).select(
         *keys, "source", "size", "source_size", "target", F.least(crossed, F.lit(cap)).cast("bigint").alias("copies")
     )
 
 
 def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as its plan says, with the columns of ``docs``."""
-    row = F.xxhash64(*docs.columns).alias("_hash")
-    sized = docs.select("source", word_count(F.col(text)).alias("size"), F.col(key).alias("_key"), row)
-    plan = plan_mix(sized, ["_key", "_hash"], **options)
-    units = plan.groupBy("_key", "_hash").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_equal"))
-    units = units.withColumnsRenamed({"_key": "_k", "_hash": "_r"})
-    own = docs.withColumns({"_key": F.col(key), "_hash": F.xxhash64(*docs.columns)})
-    joined = own.join(units, (F.col("_hash") == F.col("_r")) & F.col("_key").eqNullSafe(F.col("_k")))
+    plain, names = numbered(docs)
+    own = plain.withColumns({"key": F.col(names[key]), "hash": F.xxhash64(*plain.columns)})
+    sized = own.select(F.col(names["source"]).alias("source"), word_count(F.col(names[text])).alias("size"), "key", "hash")
+    plan = plan_mix(sized, ["key", "hash"], **options)
+    units = plan.groupBy(F.col("key").alias("k"), F.col("hash").alias("h")).agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("equal")
+    )
+    joined = own.join(units.where("copies > 0"), (F.col("hash") == F.col("h")) & F.col("key").eqNullSafe(F.col("k")))
     # equal rows divide the copies of their group
-    n = F.row_number().over(Window.partitionBy("_hash", "_key").orderBy("_hash", "_key"))
-    shared = joined.where("_copies > 0").withColumn("_n", n)
-    copies = F.floor(F.col("_copies") * F.col("_n") / F.col("_equal")) - F.floor(
-        F.col("_copies") * (F.col("_n") - 1) / F.col("_equal")
+    nth = F.row_number().over(Window.partitionBy("hash", "key").orderBy("hash", "key"))
+    shared = joined.withColumn("nth", nth)
+    copies = F.floor(F.col("copies") * F.col("nth") / F.col("equal")) - F.floor(
+        F.col("copies") * (F.col("nth") - 1) / F.col("equal")
     )
     return (
-        shared.withColumn("_times", copies.cast("int"))
-        .where("_times > 0")
-        .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*docs.columns)
+        shared.withColumn("times", copies.cast("int"))
+        .where("times > 0")
+        .withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .select(*plain.columns)
+        .toDF(*docs.columns)
     )

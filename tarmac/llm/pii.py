@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarmac.llm.names import numbered
+
 LEAST_SCORE = 50
 NEARBY = 40  # code points before a span in which a word counts
 WORD_BONUS = 30
@@ -133,9 +135,14 @@ def spans_of(kind: Kind, text: str) -> Column:
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``spans``: all spans, kinds in the order of ``KINDS``, each by start.  Offsets are code points."""
-    filled = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    return filled.withColumn("spans", F.concat(*[spans_of(kind, "_text") for kind in KINDS])).drop("_text")
+    """``docs`` with ``spans``: all spans, kinds in the order of ``KINDS``, each by start.  Offsets are code points.
+
+    A column ``spans`` of ``docs`` is replaced.
+    """
+    plain, names = numbered(docs.drop("spans"))
+    filled = plain.withColumn("body", F.coalesce(F.col(names[text]), F.lit("")))
+    found = filled.withColumn("spans", F.concat(*[spans_of(kind, "body") for kind in KINDS])).drop("body")
+    return found.toDF(*names, "spans")
 
 
 def joined(spans: Column, *parts: str) -> Column:
@@ -148,7 +155,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Texts without a span keep their very content, null included.
     """
-    found = find_spans(docs, text)
+    plain, names = numbered(docs)
+    found, text = find_spans(plain, names[text]), names[text]
     body = F.expr(
         f"""
         aggregate(
@@ -160,4 +168,4 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             'parts', concat(a.parts, array(substr({text}, a.at + 1, s.start - a.at), concat('[', upper(s.kind), ']'))))),
           a -> concat(array_join(a.parts, ''), substr({text}, a.at + 1)))"""
     )
-    return found.withColumn(text, F.when(F.size("spans") > 0, body).otherwise(F.col(text))).drop("spans")
+    return found.withColumn(text, F.when(F.size("spans") > 0, body).otherwise(F.col(text))).drop("spans").toDF(*docs.columns)

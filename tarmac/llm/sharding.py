@@ -15,6 +15,7 @@ import heapq
 
 from pyspark.sql import DataFrame, functions as F
 
+from tarmac.llm.names import numbered
 from tarmac.operators.keys import dense_ids
 from tarmac.session import cut_lineage
 
@@ -69,22 +70,24 @@ def shard_documents(docs: DataFrame, shards: int = 40, text: str = "text", key:
     )
     assigned = cut_lineage(assign_shards(light, shards, bundles))
     order = [F.col("shard"), F.col("group"), F.col(key).asc_nulls_last(), F.col("text_crc32")]
-    numbered = dense_ids(assigned, order, "position", start=0)
-    first = numbered.groupBy("shard").agg(F.min("position").alias("first"))  # one row per shard
-    return numbered.join(F.broadcast(first), "shard").select(
+    placed = dense_ids(assigned, order, "position", start=0)
+    first = placed.groupBy("shard").agg(F.min("position").alias("first"))  # one row per shard
+    return placed.join(F.broadcast(first), "shard").select(
         key, "size", "text_crc32", "shard", (F.col("position") - F.col("first")).alias("slot")
     )
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, text: str = "text", **options) -> None:
     """Write the rows of ``docs`` as Parquet folders ``shard=<n>`` by the same assignment."""
-    hashed = docs.withColumns(
+    plain, names = numbered(docs)
+    body = F.col(names[text])
+    hashed = plain.withColumns(
         {
-            "group": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.xxhash64(text)),
-            "size": (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint"),
+            "group": F.when(body.isNull(), F.lit(0)).otherwise(F.xxhash64(body)),
+            "size": (F.coalesce(F.octet_length(body), F.lit(0)) + ROW_BYTES).cast("bigint"),
         }
     )
-    light = cut_lineage(hashed.select("group", "size"))
-    of_group = assign_shards(light, shards, **options).select("group", "shard").distinct()
-    placed = hashed.join(of_group, "group").select(*docs.columns, "shard")
-    placed.write.partitionBy("shard").parquet(path)
+    light = cut_lineage(hashed.groupBy("group").agg(F.sum("size").cast("bigint").alias("size")))
+    of_group = assign_shards(light, shards, **options).select("group", "shard")
+    placed = hashed.join(of_group, "group").drop("group", "size")
+    placed.toDF(*docs.columns, "shard").write.partitionBy("shard").parquet(path)

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarmac.llm.components import components
+from tarmac.llm.names import numbered
 from tarmac.session import cut_lineage
 
 MAX_BITS = 2
@@ -124,11 +125,12 @@ def near_duplicates(prints: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest ``key`` (null last)."""
-    rows = docs.select(F.col(text).alias("_text"), F.col(key).alias("_key"), F.xxhash64(*docs.columns).alias("_hash"))
-    grouped = near_duplicates(add_fingerprints(rows, "_text", words), "_key")
-    first = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("k"), F.col("_hash").alias("h"))
+    plain, names = numbered(docs)
+    own = plain.withColumns({"key": F.col(names[key]), "hash": F.xxhash64(*plain.columns)})
+    rows = own.select("key", "hash", F.col(names[text]).alias("text"))
+    grouped = near_duplicates(add_fingerprints(rows, "text", words), "key")
+    first = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("k"), F.col("hash").alias("h"))
     kept = grouped.groupBy("root").agg(F.min(first).alias("first")).select("first.k", "first.h")
-    own = docs.withColumns({"_key": F.col(key), "_hash": F.xxhash64(*docs.columns)})
-    joined = own.join(kept, (F.col("_hash") == F.col("h")) & F.col("_key").eqNullSafe(F.col("k")))
-    n = F.row_number().over(Window.partitionBy("_hash", "_key").orderBy("_hash", "_key"))
-    return joined.withColumn("_n", n).where("_n = 1").select(*docs.columns)
+    joined = own.join(kept, (F.col("hash") == F.col("h")) & F.col("key").eqNullSafe(F.col("k")))
+    nth = F.row_number().over(Window.partitionBy("hash", "key").orderBy("hash", "key"))  # of rows equal in all columns
+    return joined.withColumn("nth", nth).where("nth = 1").select(*plain.columns).toDF(*docs.columns)

@@ -27,6 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarmac.llm.names import numbered
 from tarmac.session import cut_lineage
 
 THRESHOLD = 0.3
@@ -211,7 +212,6 @@ def add_scores(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``."""
-    numbered = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))  # no clash with columns added here
-    body, key = (f"_c{docs.columns.index(c)}" for c in ("text", "doc_id"))
-    scored = add_scores(numbered, labels, body, key, **options)
+    plain, names = numbered(docs)
+    scored = add_scores(plain, labels, names["text"], names["doc_id"], **options)
     return scored.where(F.col("score") < threshold).drop("score").toDF(*docs.columns)

@@ -84,7 +84,7 @@ def test_nulls_repeats_and_clashing_names(make_docs):
     ]
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 9]
+    assert sorted((r.doc_id, r.component_id, r._hash) for r in kept.collect()) == [(3, 1, 2), (5, 1, 2), (9, 1, 2)]
 
 
 def test_group_of_null_ids_keeps_one(make_docs):
