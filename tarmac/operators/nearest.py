@@ -13,7 +13,6 @@ shape farther from c than the closest one by more than 2h is never nearest insid
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
@@ -25,6 +24,7 @@ ARRAY_LIMIT = 128  # shapes compared one by one from a single array
 LIST_LIMIT = 64  # candidate weight at which a cell is fine enough
 STUCK_LIMIT = 256  # weight at which a cell is also finished when halving it no longer helps
 BROADCAST_CANDIDATES = 500_000  # list entries, some 50 bytes each, sent to every task at most
+MAP_CELLS = 1_000_000  # finished cells whose numbers, 24 bytes each, are sent to every task at most
 FIRST_DEPTH, LAST_DEPTH = 4, 36
 LOOK_AHEAD = 8  # depths for which one pass over the points tells which cells are in use
 PIECE_BUDGET = 8  # stop refining once cutting long segments makes this many pieces per shape
@@ -115,6 +115,8 @@ class Grid:
 
     x0: float
     y0: float
+    x1: float
+    y1: float
     side: float
 
     def size(self, depth: int) -> float:
@@ -130,6 +132,9 @@ class Grid:
         last = F.lit((1 << depth) - 1)
         return F.least(F.greatest(index, F.lit(0)), last).cast("bigint")
 
+    def holds(self, x: Column, y: Column) -> Column:
+        return x.between(self.x0, self.x1) & y.between(self.y0, self.y1)
+
     def centre(self, index: Column, axis: str, depth: int) -> Column:
         low = self.x0 if axis == "x" else self.y0
         return F.lit(low) + (index + F.lit(0.5)) * F.lit(self.size(depth))
@@ -150,7 +155,7 @@ def _extent(shapes: DataFrame, points: DataFrame, x: str, y: str) -> Grid:
     for end in ("a", "b"):
         corners = corners.unionByName(shapes.select(F.col(f"{end}x").alias("x"), F.col(f"{end}y").alias("y")))
     x0, y0, x1, y1 = corners.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    return Grid(float(x0), float(y0), max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-6))
+    return Grid(float(x0), float(y0), float(x1), float(y1), max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-6))
 
 
 def _pieces(shapes: DataFrame, grid: Grid, depth: int) -> DataFrame:
@@ -264,27 +269,69 @@ def _pruned_pairs(pairs: DataFrame, grid: Grid, depth: int) -> DataFrame:
     )
 
 
+def _behind(grid: Grid, depth: int) -> Column:
+    """Whether shape ``a, b`` lies behind the cell's front shape ``fax .. fby`` from everywhere in the cell.
+
+    Two tests on the corners, either of which proves it.  Places nearer to one point than to a whole shape
+    form a convex set, so that point of the front shape may stand in for it.  And while a cell sees a segment
+    from one side, with all its feet inside the segment, the distance to it is linear there, and the distance to
+    the front shape is convex.
+    """
+    half = grid.size(depth) / 2 * (1 + SLACK) + grid.side * 1e-12
+    room = F.lit(grid.side * 1e-12)
+    x, y = grid.centre(F.col("cx"), "x", depth), grid.centre(F.col("cy"), "y", depth)
+    fx, fy = F.col("fbx") - F.col("fax"), F.col("fby") - F.col("fay")
+    along = F.try_divide((x - F.col("fax")) * fx + (y - F.col("fay")) * fy, fx * fx + fy * fy)
+    t = F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), along)), F.lit(0.0))
+    px, py = F.col("fax") + t * fx, F.col("fay") + t * fy
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    nearer_point = nearer_front = inside = left = right = F.lit(True)
+    # no position lies outside the extent, so a cell on its border ends there
+    sides_x = F.greatest(x - half, F.lit(grid.x0)), F.least(x + half, F.lit(grid.x1))
+    sides_y = F.greatest(y - half, F.lit(grid.y0)), F.least(y + half, F.lit(grid.y1))
+    for qx in sides_x:
+        for qy in sides_y:
+            own = segment_distance(qx, qy, *[F.col(c) for c in _ENDS]) * (1 - SLACK) - room
+            nearer_point &= point_distance(qx, qy, px, py) < own
+            nearer_front &= segment_distance(qx, qy, *[F.col(f"f{c}") for c in _ENDS]) < own
+            foot = (qx - F.col("ax")) * dx + (qy - F.col("ay")) * dy
+            inside &= (foot >= 0) & (foot <= dx * dx + dy * dy)
+            side = (qx - F.col("ax")) * dy - (qy - F.col("ay")) * dx
+            left, right = left & (side > 0), right & (side < 0)
+    return nearer_point | (nearer_front & inside & (left | right))
+
+
 def _lists(pairs: DataFrame, pieces: DataFrame, grid: Grid, depth: int) -> DataFrame:
     """Candidate lists of finished cells.
 
-    Cells that had to stop with more than ``STUCK_LIMIT`` pieces get several lists, by hash, so that no
-    list grows with the data and nothing is left out.
+    Long lists lose the shapes that lie behind another one from the whole cell.  A cell that still keeps more than ``STUCK_LIMIT`` candidates gets several lists, by hash, so that no list grows
+    with the data and nothing is left out.
     """
-    met = pairs.select("cx", "cy", "sx", "sy", "weight").join(pieces, ["sx", "sy"])
-    candidate = F.struct(*_ENDS, "winner")
-    slices = F.ceil(F.col("weight") / F.lit(STUCK_LIMIT)).cast("bigint")
-    met = met.withColumn("slice", F.pmod(F.xxhash64(*_ENDS), slices))
-    own = Window.partitionBy("cx", "cy", "slice")
+    met = pairs.select("cx", "cy", "sx", "sy").join(pieces, ["sx", "sy"]).select("cx", "cy", *_ENDS, "winner")
     reached = segment_distance(
         grid.centre(F.col("cx"), "x", depth), grid.centre(F.col("cy"), "y", depth),
         *[F.col(c) for c in _ENDS],
     )
+    met = met.withColumn("d", reached)
+    own = ["cx", "cy"]
+    closest = met.groupBy(*own).agg(F.min("d").alias("closest"))
+    near = F.col("d") <= F.col("closest") * (1 + SLACK) + F.lit(2 * grid.reach(depth))
+    kept = cut_lineage(met.join(closest, own).where(near).select(*own, *_ENDS, "winner", "d").distinct())
+    weights = kept.groupBy(*own).agg(F.count("*").alias("weight"), F.min(F.struct("d", *_ENDS)).alias("front"))
+    weights = cut_lineage(weights)
+    long = F.col("weight") > STUCK_LIMIT
+    if not weights.where(long).isEmpty():
+        fronts = weights.where(long).select(*own, *[F.col(f"front.{c}").alias(f"f{c}") for c in _ENDS])
+        visible = kept.join(fronts, own).where(~_behind(grid, depth)).select(kept.columns)
+        kept = cut_lineage(kept.join(fronts, own, "left_anti").unionByName(visible))
+        weights = kept.groupBy(*own).agg(F.count("*").alias("weight"))
+    weights = weights.select(*own, "weight")
+    slices = F.ceil(F.col("weight") / F.lit(STUCK_LIMIT)).cast("bigint")
     return (
-        met.withColumn("d", reached)
-        .withColumn("closest", F.min("d").over(own))
-        .where(F.col("d") <= F.col("closest") * (1 + SLACK) + F.lit(2 * grid.reach(depth)))
+        kept.join(weights, own)
+        .withColumn("slice", F.pmod(F.xxhash64(*_ENDS), slices))
         .groupBy("cx", "cy", "slice")
-        .agg(F.collect_set(candidate).alias("candidates"), F.max("weight").alias("weight"))
+        .agg(F.collect_list(F.struct(*_ENDS, "winner")).alias("candidates"), F.max("weight").alias("weight"))
     )
 
 
@@ -369,33 +416,34 @@ def build_index(
     )
 
 
-def _probe(points: DataFrame, x: str, y: str, index: NearestIndex, broadcast: bool) -> DataFrame:
-    """Points with ``best``, each meeting the list of the one finished cell around it.
+def _place_at(grid: Grid, x: str, y: str, depth: int) -> tuple[Column, Column]:
+    return grid.cell(F.col(x), "x", depth), grid.cell(F.col(y), "y", depth)
+
+
+def _lookup(points: DataFrame, x: str, y: str, index: NearestIndex, cells: DataFrame, take: str) -> DataFrame:
+    """``points`` with column ``take`` of the one finished cell around them, NULL where there is none.
 
-    A point without usable coordinates meets an empty list, so one pass serves all points.
+    One broadcast join per depth in use; rows are neither multiplied nor moved.
     """
-    grid = index.grid
+    found = points.withColumn(f"_{take}", F.lit(None).cast(cells.schema[take].dataType))
+    for depth in index.depths:
+        level = F.broadcast(
+            cells.where(F.col("depth") == depth).select(
+                F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col(take).alias("_here")
+            )
+        )
+        cx, cy = _place_at(index.grid, x, y, depth)
+        found = found.join(level, (F.col("_cx") == cx) & (F.col("_cy") == cy), "left").select(
+            *points.columns, F.coalesce(f"_{take}", "_here").alias(f"_{take}")
+        )
+    return found
 
-    def at(depth: int, cx: Column, cy: Column) -> Column:
-        return F.struct(F.lit(depth).alias("depth"), cx.alias("cx"), cy.alias("cy"))
 
-    places = F.array(
-        *[at(d, grid.cell(F.col(x), "x", d), grid.cell(F.col(y), "y", d)) for d in index.depths]
-    )
-    nowhere = F.array(at(-1, F.lit(0).cast("bigint"), F.lit(0).cast("bigint")))
-    cells = index.cells
-    kind = cells.schema["candidates"].dataType
-    empty = cells.sparkSession.range(1).select(
-        F.lit(-1).alias("depth"), F.col("id").alias("cx"), F.col("id").alias("cy"),
-        F.array().cast(kind).alias("candidates"),
-    )
-    cells = cells.unionByName(empty)
-    return (
-        points.select("*", F.explode(F.when(_usable(x, y), places).otherwise(nowhere)).alias("_at"))
-        .select(*points.columns, "_at.*")
-        .join(F.broadcast(cells) if broadcast else cells, ["depth", "cx", "cy"])
-        .select(*points.columns, _best(x, y, F.col("candidates")).alias("best"))
-    )
+def _covered(best: Column, x: str, y: str) -> Column:
+    """``best``; a usable position without a list stops the job instead of losing or inventing a match."""
+    text = F.concat(F.lit("position outside the prepared index: "), F.col(x).cast("string"), F.lit(" "), F.col(y).cast("string"))
+    stop = F.when(best.isNull() & _usable(x, y), F.raise_error(text).cast("string"))
+    return F.when(stop.isNull(), best)
 
 
 # ----------------------------------------------------------------------------------------- join
@@ -408,65 +456,138 @@ def nearest_join(
 
     ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
     """
-    return prepare_nearest(points, x, y, shapes, names, **options)(points)
+    return prepare_nearest(points, x, y, shapes, names, **options).same(points)
 
 
-def prepare_nearest(
-    places: DataFrame,
-    x: str,
-    y: str,
-    shapes: DataFrame,
-    names: dict[str, str],
-    *,
-    array_limit: int = ARRAY_LIMIT,
-    broadcast_limit: int = BROADCAST_CANDIDATES,
-) -> Callable[[DataFrame], DataFrame]:
-    """Index ``shapes`` for the positions in ``places``; returns the join for frames with those positions."""
-    outputs = [
-        (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
-        for name, source in names.items()
-    ]
-    known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
-    length = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    n_shapes, total_length = known.agg(F.count("*"), F.sum(length)).first()
-    index = None
-    if n_shapes > array_limit:
-        extent = _extent(known, places, x, y)
-        index = build_index(known, n_shapes, total_length or 0.0, places, x, y, extent)
-
-    def lost() -> Column:
-        smallest = known.agg(F.min("winner")).scalar()
+class NearestJoin:
+    """Join of frames with their nearest shape.
+
+    Called with any frame, it first looks for positions the index was not built for and, if there are some,
+    builds one for that frame.  ``same`` skips that look for frames whose positions were given; should
+    one be missing after all, the job stops.
+    """
+
+    def __init__(self, x: str, y: str, known: DataFrame, names: dict[str, str], array_limit: int, broadcast_limit: int):
+        self.x, self.y, self.known, self.broadcast_limit = x, y, known, broadcast_limit
+        self.outputs = [
+            (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
+            for name, source in names.items()
+        ]
+        length = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+        self.n_shapes, self.total_length = known.agg(F.count("*"), F.sum(length)).first()
+        self.indexed = self.n_shapes > array_limit
+
+    def index_for(self, places: DataFrame) -> NearestIndex | None:
+        if not self.indexed:
+            return None
+        extent = _extent(self.known, places, self.x, self.y)
+        return build_index(self.known, self.n_shapes, self.total_length or 0.0, places, self.x, self.y, extent)
+
+    def prepare(self, places: DataFrame) -> NearestJoin:
+        self.index = self.index_for(places)
+        return self
+
+    def __call__(self, points: DataFrame) -> DataFrame:
+        index = self.index
+        if index is not None and not self._unseen(points).isEmpty():
+            index = self.index_for(points)
+        return self._find(points, index)
+
+    def same(self, points: DataFrame) -> DataFrame:
+        return self._find(points, self.index)
+
+    def _unseen(self, points: DataFrame) -> DataFrame:
+        """Usable positions outside the indexed extent or in cells without a list."""
+        x, y, index = self.x, self.y, self.index
+        located = points.where(_usable(x, y)).select(x, y)
+        cells = index.cells.select("depth", "cx", "cy").distinct()
+        at = F.array(
+            *[F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy"))
+              for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]]
+        )
+        where = located.select(
+            F.when(index.grid.holds(F.col(x), F.col(y)), at).alias("_at"), F.xxhash64(x, y).alias("_place")
+        ).distinct()
+        hit = where.select("_place", F.explode("_at").alias("_cell")).select("_place", "_cell.*").join(
+            cells, ["depth", "cx", "cy"], "left_semi"
+        )
+        return where.join(hit.select("_place").distinct(), "_place", "left_anti")
+
+    def _find(self, points: DataFrame, index: NearestIndex | None) -> DataFrame:
+        if index is None:
+            found = self._compare_all(points)
+        elif index.entries <= self.broadcast_limit and not index.split_lists:
+            found = self._probe_in_place(points, index)
+        else:
+            found = self._probe_locations(points, index)
+        return found.select(*points.columns, *self.outputs)
+
+    def _lost(self) -> Column:
+        smallest = self.known.agg(F.min("winner")).scalar()
         return F.struct(F.lit(float("inf")).alias("distance"), smallest.alias("winner"))
 
-    def compare_all(points: DataFrame) -> DataFrame:
-        everything = known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
+    def _compare_all(self, points: DataFrame) -> DataFrame:
+        everything = self.known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
         matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
-        best = F.when(_usable(x, y), _best(x, y, F.col("_all"))).otherwise(lost())
+        best = F.when(_usable(self.x, self.y), _best(self.x, self.y, F.col("_all"))).otherwise(self._lost())
         return matched.withColumn("best", best)
 
-    def probe_in_place(points: DataFrame) -> DataFrame:
+    def _or_lost(self, found: DataFrame, best: Column) -> DataFrame:
+        """Points without coordinates get the smallest id of all; without shapes there are no rows."""
+        if not self.n_shapes:
+            return found.where(F.lit(False)).withColumn("best", self._lost())
+        usable = _usable(self.x, self.y)
+        return found.withColumn("best", F.when(usable, _covered(best, self.x, self.y)).otherwise(self._lost()))
+
+    def _probe_in_place(self, points: DataFrame, index: NearestIndex) -> DataFrame:
         """Every list reaches every task, so the points are not shuffled."""
-        found = _probe(points, x, y, index, broadcast=True)
-        return found.withColumn("best", F.coalesce("best", lost()))
+        found = _lookup(points, self.x, self.y, index, index.cells, "candidates")
+        return self._or_lost(found, _best(self.x, self.y, F.col("_candidates")))
 
-    def probe_locations(points: DataFrame) -> DataFrame:
-        """Look up each distinct location once, on two columns only, then hand the answer back."""
+    def _probe_locations(self, points: DataFrame, index: NearestIndex) -> DataFrame:
+        """Look up each distinct location once, on two columns only, then hand the answer back.
+
+        While the map of finished cells is small enough for every task, it tells each location its cell before
+        the shuffle; beyond that a location asks at every depth in use.
+        """
+        x, y = self.x, self.y
         located = points.where(_usable(x, y)).select(x, y).distinct()
-        best = _probe(located, x, y, index, broadcast=False)
+        keys = cut_lineage(index.cells.select("depth", "cx", "cy").distinct())
+        if keys.limit(MAP_CELLS + 1).count() <= MAP_CELLS:
+            own = _lookup(located, x, y, index, keys.withColumn("level", F.col("depth")), "level")
+            cell = F.coalesce(
+                *[F.when(F.col("_level") == d, F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy")))
+                  for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]]
+            )
+            asked = own.where("_level IS NOT NULL").select(x, y, cell.alias("_cell"))
+        else:
+            cells = [
+                F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy"))
+                for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]
+            ]
+            asked = located.select(x, y, F.explode(F.array(*cells)).alias("_cell"))
+        met = asked.select(x, y, "_cell.*").join(index.cells, ["depth", "cx", "cy"])
+        best = met.select(x, y, _best(x, y, F.col("candidates")).alias("_best"))
         if index.split_lists:
-            best = best.groupBy(x, y).agg(F.min("best").alias("best"))
+            best = best.groupBy(x, y).agg(F.min("_best").alias("_best"))
         # points without coordinates are spread by a salt that no location carries, and keep no match
         spread = F.when(_usable(x, y), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1024 + 1)
         salted = points.withColumn("_salt", spread)
         # always 0, but not a literal: the optimizer would take a literal out of the join keys again
         best = best.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(1)))
-        joined = salted.join(best, [x, y, "_salt"], "left")
-        return joined.withColumn("best", F.coalesce("best", lost()))
-
-    if index is None:
-        find = compare_all
-    elif index.entries <= broadcast_limit and not index.split_lists:
-        find = probe_in_place
-    else:
-        find = probe_locations
-    return lambda points: find(points).select(*points.columns, *outputs)
+        return self._or_lost(salted.join(best, [x, y, "_salt"], "left"), F.col("_best"))
+
+
+def prepare_nearest(
+    places: DataFrame,
+    x: str,
+    y: str,
+    shapes: DataFrame,
+    names: dict[str, str],
+    *,
+    array_limit: int = ARRAY_LIMIT,
+    broadcast_limit: int = BROADCAST_CANDIDATES,
+) -> NearestJoin:
+    """Index ``shapes`` for the positions in ``places``; the join takes frames with any positions."""
+    known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
+    return NearestJoin(x, y, known, names, array_limit, broadcast_limit).prepare(places)

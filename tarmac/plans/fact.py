@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.operators.nearest import line_shapes, point_shapes, prepare_nearest
+from tarmac.operators.nearest import NearestJoin, line_shapes, point_shapes, prepare_nearest
 
 # The date dimension is generated with a fixed number of days; beyond this it is not broadcast.
 _SPINE_LIMIT = 50_000
 
 
-def nearest_city(places: DataFrame, cities: DataFrame, **options) -> Callable[[DataFrame], DataFrame]:
+def nearest_city(places: DataFrame, cities: DataFrame, **options) -> NearestJoin:
     """Join that adds ``city_id`` and ``station_id`` of the closest city."""
     shapes = point_shapes(cities, "city_id", "lon", "lat", "station_id")
     names = {"city_id": "id", "station_id": "station_id"}
     return prepare_nearest(places, "lon", "lat", shapes, names, **options)
 
 
-def nearest_road(places: DataFrame, roads: DataFrame, **options) -> Callable[[DataFrame], DataFrame]:
+def nearest_road(places: DataFrame, roads: DataFrame, **options) -> NearestJoin:
     """Join that adds ``road_id`` of the closest road line."""
     shapes = line_shapes(roads, "road_id", "geom")
     return prepare_nearest(places, "lon", "lat", shapes, {"road_id": "id"}, **options)
@@ -70,7 +69,7 @@ def assemble_fact(
     with ThreadPoolExecutor(2) as both:  # two series of small jobs that do not depend on each other
         city = both.submit(nearest_city, places, cities, **options)
         road = both.submit(nearest_road, places, roads, **options)
-        placed = road.result()(city.result()(needed))
+        placed = road.result().same(city.result().same(needed))
     dated = with_date_id(placed, dates)
     return with_weather_id(dated, weather, "accident_id").select(
         "accident_id",

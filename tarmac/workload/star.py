@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids
 from tarmac.operators.merge import first_per_key
-from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes
+from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes, prepare_nearest
 from tarmac.functions.weather import hour_columns
 from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
 from tarmac.plans import clean, dims, fact
@@ -221,6 +221,20 @@ def _nearest_road(**options) -> Query:
     return run
 
 
+def _unseen_positions(**options) -> Query:
+    """The nearest road of all accidents from an index prepared for half of them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        shapes = line_shapes(_road_table(spark, sf_dir), "road_id", "geom")
+        names = {"road_id": "id", "distance": "distance"}
+        points = accident_points(spark, sf_dir)
+        half = points.where(F.col("accident_id") % 2 == 0)
+        join = prepare_nearest(half, "lon", "lat", shapes, names, **options)
+        return join(points).select("accident_id", "road_id", "distance")
+
+    return run
+
+
 NEAREST_SEGMENT = with_sql(POINTS_SQL, WAYS_SQL, NEAREST_ROAD_SQL) + """
 SELECT accident_id, road_id, d AS distance FROM near_road
 """
@@ -291,6 +305,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "nearest_segment": (_nearest_road(), NEAREST_SEGMENT),
     # the path for indexes too large to send to every task
     "nearest_segment_shuffled": (_nearest_road(broadcast_limit=0), NEAREST_SEGMENT),
+    "nearest_unseen_positions": (_unseen_positions(), NEAREST_SEGMENT),
+    "nearest_unseen_positions_shuffled": (_unseen_positions(broadcast_limit=0), NEAREST_SEGMENT),
     "fact_accidents": (fact_accidents, FACT_ACCIDENTS),
     "pk_violations": (repeated_lines, REPEATED_LINES),
     "fk_violations": (orphan_lines, ORPHAN_LINES),

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes
+from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes, prepare_nearest
 
 RNG = np.random.default_rng(7)
 
@@ -97,3 +97,44 @@ def test_distance_is_to_the_segment_not_its_vertices(spark):
     accidents = spark.createDataFrame([(1, 5.0, 1.0)], "p int, x double, y double")
     found = nearest_join(accidents, "x", "y", line_shapes(lines, "road_id", "geom"), {"r": "id", "d": "distance"})
     assert tuple(found.first())[-2:] == (1, 1.0)
+
+
+def frames(spark, points, segs):
+    pts = spark.createDataFrame(pd.DataFrame({"p": range(len(points)), "x": points[:, 0], "y": points[:, 1]}))
+    frame = pd.DataFrame(segs, columns=["ax", "ay", "bx", "by"])
+    frame.insert(0, "id", range(len(segs)))
+    return pts, spark.createDataFrame(frame)
+
+
+@pytest.mark.parametrize(
+    "options", [{"array_limit": 1000}, {"array_limit": 10}, {"array_limit": 10, "broadcast_limit": 0}]
+)
+def test_positions_the_index_was_not_built_for(spark, options):
+    """Prepared for a third of the positions, the join is exact for all, far outside ones included."""
+    points, segs = RNG.random((300, 2)) * 10, short_segments(300)
+    points[-2:] = [[400.0, -90.0], [-30.0, 5.0]]
+    pts, shapes = frames(spark, points, segs)
+    names = {"road": "id", "d": "distance"}
+    join = prepare_nearest(pts.where("p < 100"), "x", "y", shapes, names, **options)
+    want = brute(points, segs)
+    for part in (pts, pts.where("p < 100"), pts.where("p >= 298")):
+        found = join(part).toPandas().sort_values("p")
+        assert len(found) == part.count()
+        assert list(found.road) == [want[p][0] for p in found.p]
+    if options["array_limit"] < 300:
+        with pytest.raises(Exception, match="outside the prepared index"):
+            join.same(pts).collect()
+
+
+def test_parallel_lines_do_not_meet_every_point(spark):
+    """Of long lines side by side only the few in front are kept, however many there are."""
+    points = np.stack([RNG.random(400) * 100, 20 + RNG.random(400) * 60], 1)
+    entries = []
+    for n in (300, 900):
+        level = np.arange(n) * 1e-6
+        segs = np.stack([0 * level, level, 0 * level + 100, level], 1)
+        pts, shapes = frames(spark, points, segs)
+        join = prepare_nearest(pts, "x", "y", shapes, {"road": "id"}, array_limit=10)
+        assert {r.road for r in join.same(pts).collect()} == {n - 1}
+        entries.append(join.index.entries)
+    assert entries[1] <= 1.5 * entries[0] and entries[1] < 400 * 20
