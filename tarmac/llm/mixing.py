@@ -20,6 +20,7 @@ from tarmac.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _OFFSET_STEPS = 1 << 20  # offsets are multiples of 2^-20, so adding one to a whole number is exact
+_SALTS = 32
 _WIDE = "decimal(38,0)"
 
 
@@ -79,12 +80,14 @@ def plan_mix(
     first = ordered.groupBy("source").agg(F.min("position").alias("first"))
     sources = source_targets(sizes, weights, cap)
     of_source = sources.join(first.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    of_source = of_source.withColumnRenamed("source", "s")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))  # a hot source is joined by many tasks
+    of_source = of_source.withColumnRenamed("source", "s").withColumn("salt", salts)
     offset = F.pmod(F.col("place") * 668265263 + seed, F.lit(_OFFSET_STEPS)) / F.lit(float(_OFFSET_STEPS))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     index = F.col("position") - F.col("first")
     crossed = F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset)
-    return ordered.join(of_source, F.col("source").eqNullSafe(F.col("s"))).select(
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.pmod("position", F.lit(_SALTS)) == F.col("salt"))
+    return ordered.join(of_source, same).select(
         *keys, "source", "size", "source_size", "target", F.least(crossed, F.lit(cap)).cast("bigint").alias("copies")
     )
 
