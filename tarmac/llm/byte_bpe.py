@@ -27,6 +27,8 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.llm.batches import small_batches
+
 _LEAF_BYTES = 5
 _LEAF_CHARS = 1 << 15
 _LOOKAHEAD = 3  # code points after its end that a piece may depend on; more than the split pattern looks at
@@ -135,6 +137,12 @@ class ByteBpe:
             self._tokens.clear()
         return list(chain.from_iterable(map(self._tokens.__getitem__, pieces)))
 
+    def forget(self) -> None:
+        """Free the pieces seen; a worker lives on after its task."""
+        self._tokens.clear()
+        self._short.cache_clear()
+        self._fits.cache_clear()
+
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= 1 << 12:
             return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -164,6 +172,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
     """``docs`` without ``text``, with ``ids`` (array of int); a column ``ids`` of ``docs`` is replaced."""
     kept = [c for c in docs.columns if c not in (text, "ids")]
     ranks = _vocabulary(docs.sparkSession, ranks_path)
+    small_batches(docs.sparkSession)
     schema = docs.selectExpr(*(f"`{c}`" for c in kept), "array(0) AS ids").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +180,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
         for batch in batches:
             ids = pa.array([coder.encode(t.as_py() or "") for t in batch.column(text)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
+        coder.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -178,6 +188,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
 def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per text: number of tokens, SHA-256 of the ids (decimal, joined by a space) and of the bytes decoded from them."""
     ranks = _vocabulary(docs.sparkSession, ranks_path)
+    small_batches(docs.sparkSession)
     rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
     names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
     schema = rows.selectExpr("key", "0L AS n_tokens", "'' AS ids_sha256", "'' AS decoded_sha256").schema
@@ -194,5 +205,6 @@ def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
             columns = list(zip(*(digest(coder, t.as_py() or "") for t in batch.column("text")))) or [()] * 3
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *arrays], names=names)
+        coder.forget()
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)

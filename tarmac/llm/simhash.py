@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarmac.llm.batches import small_batches
 from tarmac.llm.components import components
 from tarmac.llm.names import numbered
 from tarmac.session import cut_lineage
@@ -62,6 +63,7 @@ def add_fingerprints(docs: DataFrame, text: str = "text", words: int = 3) -> Dat
     """``docs`` without ``text``, with ``fp`` (bigint)."""
     kept = [c for c in docs.columns if c != text]
     schema = docs.select(*kept, F.lit(0).cast("bigint").alias("fp")).schema
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,6 +19,8 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.llm.batches import small_batches
+
 #: The split of byte-level pre-tokenizers of this kind (fixed by the format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _ROWS = 256
@@ -89,6 +91,10 @@ class TokenCounter:
             symbols, owner = symbols[stays], owner[stays]
         return counts
 
+    def forget(self) -> None:
+        """Free the pieces seen; a worker lives on after its task."""
+        self._cache.clear()
+
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text."""
         totals, listed = [0] * len(texts), []
@@ -130,6 +136,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limi
     added = ["n_bytes", "n_tokens", "over_limit"]
     kept = [c for c in docs.columns if c not in (text, *added)]
     vocabulary = _vocabulary(docs.sparkSession, vocabulary_path)
+    small_batches(docs.sparkSession)
     schema = docs.selectExpr(*(f"`{c}`" for c in kept), "0L AS n_bytes", "0L AS n_tokens", "true AS over_limit").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,5 +149,6 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limi
                 tokens = counter.count(texts)
                 columns = [sizes, pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], names=[*kept, *added])
+        counter.forget()
 
     return docs.mapInArrow(run, schema)

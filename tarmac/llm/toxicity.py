@@ -27,6 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarmac.llm.batches import small_batches
 from tarmac.llm.names import numbered
 from tarmac.session import cut_lineage
 
@@ -124,10 +125,12 @@ class ToxicityModel:
 
 
 def _add_features(docs: DataFrame, text: str, lexicon: dict[str, float]) -> DataFrame:
+    small_batches(docs.sparkSession)
     @F.arrow_udf("array<double>")
-    def features(texts: pa.Array) -> pa.Array:
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = Features(lexicon)
-        return pa.array([made.of(t.as_py()) for t in texts], pa.list_(pa.float64()))
+        for texts in batches:
+            yield pa.array([made.of(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return docs.withColumn("_tox_features", array_to_vector(features(F.col(text))))
 

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tarmac.llm.batches import small_batches
+
 GRAM = 16
 WINDOW = 24
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -84,6 +86,7 @@ def add_fingerprints(docs: DataFrame, text: str = "text", gram: int = GRAM, wind
     kept = [c for c in docs.columns if c not in ("hashes", "positions")]
     added = [F.array(F.lit(0).cast("bigint")).alias(c) for c in ("hashes", "positions")]
     schema = docs.select(*kept, *added).schema
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,6 +146,7 @@ def compare_with_next(docs: DataFrame, text: str = "text", key: str = "doc_id")
     order of ``key``.  Rows that share a key follow each other by text hash; null keys come last.
     """
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    small_batches(docs.sparkSession)
     schema = (
         "key bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
