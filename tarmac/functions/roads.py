@@ -43,7 +43,7 @@ def tag_map(text: Column) -> Column:
 
 def lane_count(text: Column) -> Column:
     """Absolute whole lane count; lists and fractions give NULL."""
-    return F.abs(text.try_cast("int")).try_cast("smallint")
+    return F.abs(text.try_cast("int").cast("bigint")).try_cast("smallint")
 
 
 def max_speed(limit: Column, road_type: Column) -> Column:

@@ -14,6 +14,7 @@ from tarmac.sources.bronze import choose
 # An accident keeps its id when its file is landed again: the file's first raw id and the feature's
 # position, packed side by side.  Unlike a hash, two accidents can never share one.
 _ORDINAL_BITS = 36
+_ID_BITS = 63 - _ORDINAL_BITS
 FEW_LOADS = 1_000_000  # an id and a name or two ids each, some tens of MB to every task at most
 
 
@@ -29,7 +30,9 @@ def clean_accidents(files: DataFrame, features: DataFrame, backfill: bool = Fals
         features = features.where(F.col("raw_id") == files.agg(F.max("raw_id")).scalar())
     if chosen.limit(FEW_LOADS + 1).count() <= FEW_LOADS:
         chosen = F.broadcast(chosen)
-    accident_id = F.shiftleft("first_id", _ORDINAL_BITS).bitwiseOR(F.col("ordinal"))
+    fits = (F.col("first_id") < F.lit(1 << _ID_BITS)) & (F.col("ordinal") < F.lit(1 << _ORDINAL_BITS))
+    packed = F.shiftleft("first_id", _ORDINAL_BITS).bitwiseOR(F.col("ordinal"))
+    accident_id = F.when(fits, packed).otherwise(F.raise_error(F.lit("accident id out of range")).cast("bigint"))
     return features.join(chosen, "raw_id").select(
         accident_id.alias("accident_id"), "raw_id", *accident_columns(F.col("payload"))
     )

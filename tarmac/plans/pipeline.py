@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids, max_id, spread_ids
 from tarmac.operators.merge import new_rows, unseen_sources
@@ -23,6 +23,7 @@ from tarmac.plans.fact import assemble_fact
 from tarmac.schemas import (
     PROGRESS,
     PROGRESS_SCHEMA,
+    QUARANTINE_SCHEMA,
     REFERENCES,
     REQUIRED,
     SCHEMAS,
@@ -36,6 +37,11 @@ from tarmac.sources.tables import Table
 DOCUMENT_LIMIT = 512 << 20  # bytes one task may read as a single document
 
 
+def _without_scheme(path: Column) -> Column:
+    """Scans write the scheme and the slashes after it in different ways."""
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -43,6 +49,10 @@ class Warehouse:
     def table(self, name: str) -> Table:
         return Table(self.spark, self.root, name)
 
+    def quarantined(self, what: str) -> Table:
+        """Ids of raw rows kept out of silver (``weather`` hours, ``roads``) and the reasons."""
+        return Table(self.spark, self.root, f"silver.{what}_quarantine", QUARANTINE_SCHEMA)
+
     # ------------------------------------------------------------------------------- ingest
 
     def ingest_accidents(
@@ -56,6 +66,7 @@ class Warehouse:
 
         ``layout`` is ``document`` for any JSON value, read by one task per file, or ``split`` for files
         read by many tasks: one feature per line, or each feature starting with the text ``opening``.
+        A file's stem is its identity: a known one is left out, and two files of one call must not share it.
         """
         files, features = (
             self.table("bronze.traffic_accidents_raw"),
@@ -70,6 +81,7 @@ class Warehouse:
         fresh = listed if allow_reload else unseen_sources(listed, known)
         # a load that stopped halfway leaves features without a file row; its ids are not given again
         last = max(max_id(known, "raw_id"), max_id(features.read(), "raw_id"))
+        require_empty(pk_violations(fresh, ["source"]), "several files of one name")
         loads = cut_lineage(dense_ids(fresh, ["source"], "raw_id", start=last + 1))
         # names and sizes only; one entry per file
         found_files = list(loads.select("path", "length").toLocalIterator())
@@ -84,11 +96,14 @@ class Warehouse:
         else:
             found = geojson.document_features(self.spark, todo)
         # features first: without its file row, no feature is ever read
-        ids = loads.select("raw_id", "source")
+        ids = loads.select("raw_id", _without_scheme(F.col("path")).alias("file"))
         # one row per file: broadcast while they are few, so that features stay where they were read
         small = F.broadcast(ids) if len(todo) <= clean.FEW_LOADS else ids
-        features.append(found.join(small, "source").select("raw_id", "ordinal", "payload"))
-        files.append(ids.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
+        decoded = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))  # scans report escaped paths
+        placed = found.withColumn("file", _without_scheme(decoded)).join(small, "file", "left")
+        unknown = F.raise_error(F.concat(F.lit("feature of an unknown file: "), "file")).cast("bigint")
+        features.append(placed.select(F.coalesce("raw_id", unknown).alias("raw_id"), "ordinal", "payload"))
+        files.append(loads.select("raw_id", "source").withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
 
     def ingest_accident_years(self, folder: str, as_of: dt.date, backfill: bool = False) -> None:
         self.ingest_accidents(year_file_paths(folder, as_of, backfill))
@@ -101,8 +116,9 @@ class Warehouse:
         raw.append(numbered.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
 
     def ingest_roads(self, extract: DataFrame) -> None:
-        """Replace the road lines."""
+        """Replace the road lines; a repeated id leaves the old ones in place."""
         ways = landed.road_lines(extract).withColumn("nodes", F.lit(None).cast("array<bigint>"))
+        require_empty(pk_violations(ways, ["osm_id"]), "bronze.osm_ways repeats osm_id")
         self.table("bronze.osm_ways").replace(
             ways.withColumn("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
         )
@@ -118,7 +134,7 @@ class Warehouse:
             self.table("silver.traffic_accident_clean").replace(rows)
 
     def clean_weather(self, everything: bool = False) -> DataFrame:
-        """Insert-only load; returns the quarantined rows.
+        """Insert-only load; returns the rows quarantined now, which ``silver.weather_quarantine`` keeps.
 
         Rows up to the id absorbed before cannot add anything, since earlier ids win, so only later ones
         are read.  The id is noted after the merge: a failure in between repeats work, never loses it.
@@ -135,14 +151,16 @@ class Warehouse:
             self.table("silver.weather_clean").merge(
                 good, ["station_id", "date", "time"], [F.col("raw_id")]
             )
+            self.quarantined("weather").merge(bad.select("raw_id", "reasons"), ["raw_id"], [F.col("reasons")])
             progress.replace(self.spark.createDataFrame([(name, upto)], PROGRESS_SCHEMA))
         return bad
 
     def clean_roads(self) -> DataFrame:
-        """Insert-only load; returns the quarantined rows."""
+        """Insert-only load; returns the quarantined rows, which ``silver.roads_quarantine`` keeps."""
         good, bad = clean.clean_roads(self.table("bronze.osm_ways").read())
         order = [F.col(c) for c in ("road_type", "name", "max_speed", "lanes")]
         self.table("silver.osm_roads_clean").merge(good, ["road_id"], order)
+        self.quarantined("roads").replace(bad.select(F.col("road_id").alias("raw_id"), "reasons"))
         return bad
 
     # --------------------------------------------------------------------------- dimensions
@@ -178,7 +196,7 @@ class Warehouse:
     # --------------------------------------------------------------------------------- fact
 
     def load_fact(self) -> None:
-        """Accidents not yet in the fact are placed and joined; the others are left out first."""
+        """Accidents not yet in the fact are placed and joined, checked, and only then published."""
         fact = self.table("gold.fact_traffic_accidents")
         silver = self.table("silver.traffic_accident_clean").read()
         added = new_rows(silver, fact.read(), ["accident_id"], [F.col("raw_id").desc()])
@@ -188,7 +206,7 @@ class Warehouse:
         )
         if accidents.isEmpty():
             return
-        fact.append(
+        rows = cut_lineage(
             assemble_fact(
                 accidents,
                 self.table("gold.dim_city").read(),
@@ -197,13 +215,22 @@ class Warehouse:
                 self.table("gold.dim_weather").read(),
             )
         )
+        self.check_references(rows)
+        fact.append(rows)
 
     def unplaced_accidents(self) -> DataFrame:
         """Accidents whose city and road are only stand-ins, for want of coordinates."""
         return not_null_violations(self.table("silver.traffic_accident_clean").read(), ["lat", "lon"])
 
+    def check_references(self, rows: DataFrame) -> None:
+        """Raise when fact rows refer to a dimension row that is not there, or repeat an accident."""
+        require_empty(pk_violations(rows, ["accident_id"]), "fact repeats accident_id")
+        for column, (parent, key) in REFERENCES.items():
+            missing = fk_violations(rows, column, self.table(parent).read(), key)
+            require_empty(missing, f"fact.{column} is not in {parent}")
+
     def check(self) -> None:
-        """Raise on the first broken constraint of any table."""
+        """Raise on the first broken constraint of any table; reads all of them, so no load calls it."""
         for name in SCHEMAS:
             df = self.table(name).read()
             for keys in UNIQUE_KEYS[name]:
@@ -211,10 +238,7 @@ class Warehouse:
                 require_empty(pk_violations(keyed, keys), f"{name} repeats {keys}")
             required = REQUIRED.get(name, []) + UNIQUE_KEYS[name][0]
             require_empty(not_null_violations(df, required), f"{name} has NULL in {required}")
-        fact = self.table("gold.fact_traffic_accidents").read()
-        for column, (parent, key) in REFERENCES.items():
-            missing = fk_violations(fact, column, self.table(parent).read(), key)
-            require_empty(missing, f"fact.{column} is not in {parent}")
+        self.check_references(self.table("gold.fact_traffic_accidents").read())
 
     def build(self, cities_path: str, backfill: bool = False) -> None:
         """Everything after the ingest."""
@@ -226,4 +250,3 @@ class Warehouse:
         self.load_road_dim()
         self.load_weather_dim()
         self.load_fact()
-        self.check()

@@ -52,6 +52,9 @@ SCHEMAS = {
 PROGRESS = "silver.cleaning_progress"
 PROGRESS_SCHEMA = "source_table string, raw_id bigint"
 
+# Rows kept out of silver: the id of the raw row and why.
+QUARANTINE_SCHEMA = "raw_id bigint, reasons array<string>"
+
 # Unique keys, one list per constraint.
 UNIQUE_KEYS = {
     "bronze.traffic_accidents_raw": [["raw_id"]],

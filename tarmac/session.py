@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CHOICE = threading.Lock()
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and bench runs on one machine; a cluster brings its own."""
     return (
@@ -33,9 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="tarmac-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    with _CHOICE:  # several threads may prepare joins side by side
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tarmac-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -46,6 +53,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from the written copy."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    folder = shared_dir(spark)
+    with _CHOICE:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

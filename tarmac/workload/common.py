@@ -126,7 +126,7 @@ LIMITS = [
     "CZ:urban", "CZ:rural", "CZ:living_street", "CZ:pedestrian_zone", "walk", "none", "30 mph",
     "30mph", "50;30", "signals", None, "20 mph", "70",
 ]
-LANES = ["2", "-2", "2;3", "1.5", None]
+LANES = ["2", "-2", "2;3", "1.5", None, "-2147483648"]
 ONE_WAYS = ["yes", "alternating", "reversible", "1", "-1", "no", "0", "other", None]
 
 

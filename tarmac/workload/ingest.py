@@ -56,6 +56,49 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select(key, pick(key, shapes).alias("document"))
 
 
+def _files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Files of up to 1,000 elements each, one per line, of which some are bare features and some no objects."""
+    key = F.col("o_orderkey")
+    number = key.cast("string")
+    full = F.concat(
+        F.lit('{"type":"Feature","id":'), number, F.lit(',"properties":{"druh":"'), F.col("o_orderstatus"), F.lit('"}}')
+    )
+    bare = F.concat(F.lit('{"type":"Feature","id":'), number, F.lit("}"))
+    kind = F.pmod(key, F.lit(10))
+    element = F.when(kind == 7, F.lit("null")).when(kind == 3, bare).otherwise(full)
+    orders = load(spark, sf_dir, "orders").select((F.floor(key / 1000)).alias("doc"), key, element.alias("element"))
+    listed = F.sort_array(F.collect_list(F.struct("o_orderkey", "element")))["element"]
+    document = F.concat(
+        F.lit('{"type": "FeatureCollection",\n\n"features": [\n'),
+        F.array_join(listed, ",\n\n"),
+        F.lit('\n],\n"crs": {"x": [1, 2]}\n}'),
+    )
+    path = scratch_path(spark, "geojson")
+    orders.groupBy("doc").agg(document.alias("value")).write.partitionBy("doc").text(path)
+    return [path]
+
+
+def _from_files(scan) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = scan(spark, _files(spark, sf_dir))
+        return found.select(
+            F.regexp_extract("path", "doc=([0-9]+)", 1).cast("bigint").alias("doc"),
+            "ordinal",
+            F.try_variant_get("payload", "$.id", "bigint").alias("id"),
+            F.try_variant_get("payload", "$.properties.druh", "string").alias("druh"),
+        )
+
+    return run
+
+
+FROM_FILES = """
+SELECT o_orderkey // 1000 AS doc, place AS ordinal, o_orderkey AS id,
+       CASE WHEN o_orderkey % 10 <> 3 THEN o_orderstatus END AS druh
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey // 1000 ORDER BY o_orderkey) - 1 AS place FROM orders)
+WHERE o_orderkey % 10 <> 7
+"""
+
+
 def geojson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = geojson.explode_features(_documents(spark, sf_dir), "document", "o_orderkey")
     rows = found.select("o_orderkey", "ordinal", *accident_columns(F.col("payload")))
@@ -377,6 +420,8 @@ SELECT 100 + row_number() OVER (ORDER BY c_mktsegment, c_name) AS id, c_mktsegme
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "geojson_file_scan": (_from_files(geojson.document_features), FROM_FILES),
+    "geojson_split_scan": (_from_files(geojson.split_features), FROM_FILES),
     "geojson_scan": (geojson_scan, GEOJSON_SCAN),
     "year_file_plan": (year_file_plan, YEAR_FILE_PLAN),
     "range_chunks": (range_chunks, RANGE_CHUNKS),
