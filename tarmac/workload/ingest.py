@@ -313,6 +313,31 @@ FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 """
 
 
+def city_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers written as city files, each one array, and read back; some lack a station or a place."""
+    key = F.col("s_suppkey")
+    city = F.struct(
+        F.col("s_name").alias("city"),
+        F.col("s_nationkey").cast("string").alias("region"),
+        F.col("s_acctbal").alias("lat"),
+        F.when(key % 7 != 0, F.col("s_nationkey").cast("double")).alias("lon"),
+        F.when(key % 5 != 0, F.format_string("%d", key)).alias("station_id"),
+    )
+    suppliers = load(spark, sf_dir, "supplier").select(F.floor(key / 1000).alias("part"), city.alias("city"))
+    arrays = suppliers.groupBy("part").agg(F.to_json(F.collect_list("city")).alias("value"))
+    path = scratch_path(spark, "cities")
+    arrays.write.partitionBy("part").text(path)
+    return landed.cities(spark, path).select("city", "region", "lat", "lon", "station_id")
+
+
+CITY_SCAN = """
+SELECT s_name AS city, CAST(s_nationkey AS VARCHAR) AS region, s_acctbal AS lat,
+       CASE WHEN s_suppkey % 7 <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS lon,
+       CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS station_id
+FROM supplier
+"""
+
+
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in debt first, then everyone, replaced by a job that reads the first version."""
     schema = "c_custkey bigint, c_name string, c_acctbal double, load string"
@@ -420,6 +445,7 @@ SELECT 100 + row_number() OVER (ORDER BY c_mktsegment, c_name) AS id, c_mktsegme
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "city_scan": (city_scan, CITY_SCAN),
     "geojson_file_scan": (_from_files(geojson.document_features), FROM_FILES),
     "geojson_split_scan": (_from_files(geojson.split_features), FROM_FILES),
     "geojson_scan": (geojson_scan, GEOJSON_SCAN),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids
-from tarmac.operators.merge import first_per_key
+from tarmac.operators.merge import first_per_key, insert_only_merge
 from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes, prepare_nearest
 from tarmac.functions.weather import hour_columns
 from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
@@ -264,6 +264,57 @@ LEFT JOIN dim_weather w ON w.station_id = c.station_id AND w.d = p.d
 """
 
 
+def _odd_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accidents of which some lack a coordinate and some lie outside the calendar."""
+    key = F.col("accident_id")
+    return accident_points(spark, sf_dir).withColumns(
+        {
+            "lon": F.when(key % 17 != 0, F.col("lon")),
+            "date": F.when(key % 19 == 0, F.to_timestamp_ntz(F.lit("1999-05-05 00:00:00"))).otherwise(F.col("date")),
+        }
+    )
+
+
+def fact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact merged into a target that holds every fifth accident already."""
+    rows = fact.assemble_fact(
+        _odd_accidents(spark, sf_dir),
+        city_dim(spark, sf_dir),
+        date_spine(spark),
+        _road_table(spark, sf_dir),
+        weather_dim(spark, sf_dir),
+    ).withColumn("date_id", F.col("date_id").cast("bigint"))
+    unknown = [F.lit(None).cast("bigint").alias(c) for c in ("city_id", "date_id", "road_id", "weather_id")]
+    target = accident_points(spark, sf_dir).where(F.col("accident_id") % 5 == 0).select(
+        "accident_id", *unknown, "total_damage", F.lit("loaded before").alias("main_cause")
+    )
+    return insert_only_merge(rows, target, ["accident_id"], [F.col("accident_id")])
+
+
+FACT_MERGE = with_sql(
+    POINTS_SQL.replace("pts AS", "plain AS"),
+    """
+pts AS (
+  SELECT accident_id, CASE WHEN accident_id % 17 <> 0 THEN lon END AS lon, lat,
+         CASE WHEN accident_id % 19 = 0 THEN DATE '1999-05-05' ELSE d END AS d, cause, total_damage
+  FROM plain)""",
+    CITY_SQL, NEAREST_CITY_SQL, WAYS_SQL, NEAREST_ROAD_SQL, WEATHER_SQL,
+) + """
+SELECT p.accident_id, c.city_id,
+       CASE WHEN p.d >= DATE '2000-01-01' AND p.d < DATE '2031-01-01'
+            THEN date_diff('day', DATE '2000-01-01', p.d) + 1 END AS date_id,
+       CASE WHEN p.lon IS NULL THEN (SELECT min(road_id) FROM segs) ELSE r.road_id END AS road_id,
+       w.weather_id, p.total_damage, p.cause AS main_cause
+FROM pts p
+JOIN near_city c USING (accident_id)
+JOIN near_road r USING (accident_id)
+LEFT JOIN dim_weather w ON w.station_id = c.station_id AND w.d = p.d
+WHERE p.accident_id % 5 <> 0
+UNION ALL
+SELECT accident_id, NULL, NULL, NULL, NULL, total_damage, 'loaded before' FROM plain WHERE accident_id % 5 = 0
+"""
+
+
 # -------------------------------------------------------------------------------------- checks
 
 
@@ -308,6 +359,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "nearest_unseen_positions": (_unseen_positions(), NEAREST_SEGMENT),
     "nearest_unseen_positions_shuffled": (_unseen_positions(broadcast_limit=0), NEAREST_SEGMENT),
     "fact_accidents": (fact_accidents, FACT_ACCIDENTS),
+    "fact_merge": (fact_merge, FACT_MERGE),
     "pk_violations": (repeated_lines, REPEATED_LINES),
     "fk_violations": (orphan_lines, ORPHAN_LINES),
 }
