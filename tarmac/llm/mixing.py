@@ -3,7 +3,8 @@
 Every document of a source is expected to appear ``target / source size`` times.  Documents are ordered by size
 within their source; the prefix sums of the expected copies, moved by one random offset per source, cross integers,
 and a document is taken once per integer crossed.  Since neighbours in that order are of like size, the words taken
-stay close to the target.  The order is numbered by range partitions and their counts, so a source with a third
+stay close to the target; of a few random offsets the one that comes closest is used, which matters where a source has
+few documents.  The order is numbered by range partitions and their counts, so a source with a third
 of all rows is spread like any other.
 
 Defined cases: a null text has size 0; null is a source of its own and comes last; a source without words has
@@ -20,6 +21,7 @@ from tarmac.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _OFFSET_STEPS = 1 << 20  # offsets are multiples of 2^-20, so adding one to a whole number is exact
+_OFFSETS = 32  # tried per source
 _SALTS = 32
 _WIDE = "decimal(38,0)"
 
@@ -66,7 +68,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
 
 
 def plan_mix(
-    docs: DataFrame, keys: list[str], weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 7
+    docs: DataFrame, keys: list[str], weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
 ) -> DataFrame:
     """``keys`` of each row of ``docs`` with ``source, size, source_size, target`` and ``copies``.
 
@@ -80,16 +82,31 @@ def plan_mix(
     first = ordered.groupBy("source").agg(F.min("position").alias("first"))
     sources = source_targets(sizes, weights, cap)
     of_source = sources.join(first.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))  # a hot source is joined by many tasks
-    of_source = of_source.withColumnRenamed("source", "s").withColumn("salt", salts)
-    offset = F.pmod(F.col("place") * 668265263 + seed, F.lit(_OFFSET_STEPS)) / F.lit(float(_OFFSET_STEPS))
+    of_source = cut_lineage(of_source.withColumnRenamed("source", "s"))  # one row per source
+    tries = _crossed(_with_sources(ordered, of_source).withColumn("try", F.explode(F.expr(f"sequence(0, {_OFFSETS - 1})"))))
+    words = tries.groupBy("s", "target", "try").agg(F.sum(F.col("size") * F.least("crossed", F.lit(cap))).alias("words"))
+    closest = words.groupBy("s").agg(F.min(F.struct(F.abs(F.col("words") - F.col("target")), "try")).alias("best"))
+    chosen = closest.select(F.col("s").alias("c"), F.col("best.try"))
+    of_source = of_source.join(chosen, F.col("s").eqNullSafe(F.col("c"))).drop("c")
+    return _crossed(_with_sources(ordered, of_source)).select(
+        *keys, "source", "size", "source_size", "target", F.least("crossed", F.lit(cap)).cast("bigint").alias("copies")
+    )
+
+
+def _with_sources(ordered: DataFrame, of_source: DataFrame) -> DataFrame:
+    """Rows with the figures of their source; a salt lets many tasks join the rows of a hot one."""
+    salted = of_source.withColumn("salt", F.explode(F.expr(f"sequence(0, {_SALTS - 1})")))
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.pmod("position", F.lit(_SALTS)) == F.col("salt"))
+    return ordered.join(salted, same)
+
+
+def _crossed(rows: DataFrame) -> DataFrame:
+    """``crossed``: integers between the prefix sums before and after each row, moved by the offset of ``try``."""
+    moved = F.col("place") * 668265263 + 7 + F.col("try") * (_OFFSET_STEPS // _OFFSETS)
+    offset = F.pmod(moved, F.lit(_OFFSET_STEPS)) / F.lit(float(_OFFSET_STEPS))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     index = F.col("position") - F.col("first")
-    crossed = F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset)
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.pmod("position", F.lit(_SALTS)) == F.col("salt"))
-    return ordered.join(of_source, same).select(
-        *keys, "source", "size", "source_size", "target", F.least(crossed, F.lit(cap)).cast("bigint").alias("copies")
-    )
+    return rows.withColumn("crossed", F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset))
 
 
 def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:

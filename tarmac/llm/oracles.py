@@ -55,14 +55,20 @@ WITH sized AS (
   SELECT source, s, place, CASE WHEN full_ THEN (3 * s)::DOUBLE ELSE (w * num)::DOUBLE / den::DOUBLE END AS target
   FROM capped, level
 ), numbered AS (
-  SELECT sized.*, s, target, ((place * 668265263 + 7) % 1048576) / 1048576.0::DOUBLE AS u,
+  SELECT sized.*, s, target, place,
          CASE WHEN s > 0 THEN target / s::DOUBLE ELSE 0::DOUBLE END AS e,
          row_number() OVER (PARTITION BY sized.source ORDER BY size, doc_id NULLS LAST) - 1 AS i
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), tried AS (
+  SELECT *, (size * least(3, floor((i + 1) * e + u) - floor(i * e + u)))::BIGINT AS taken
+  FROM (SELECT *, ((place * 668265263 + 7 + try * 32768) % 1048576) / 1048576.0::DOUBLE AS u
+        FROM numbered, (SELECT unnest(range(32)) AS try))
+), closest AS (
+  SELECT place, arg_min(try, (off, try)) AS try
+  FROM (SELECT place, try, abs(sum(taken)::DOUBLE - any_value(target)) AS off FROM tried GROUP BY place, try)
+  GROUP BY place
 )
-SELECT doc_id, size, s::BIGINT AS source_size, target,
-       (size * least(3, floor((i + 1) * e + u) - floor(i * e + u)))::BIGINT AS taken
-FROM numbered
+SELECT doc_id, size, s::BIGINT AS source_size, target, taken FROM tried JOIN closest USING (place, try)
 """
 
 
