@@ -137,12 +137,6 @@ class ByteBpe:
             self._tokens.clear()
         return list(chain.from_iterable(map(self._tokens.__getitem__, pieces)))
 
-    def forget(self) -> None:
-        """Free the pieces seen; a worker lives on after its task."""
-        self._tokens.clear()
-        self._short.cache_clear()
-        self._fits.cache_clear()
-
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= 1 << 12:
             return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -180,7 +174,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
         for batch in batches:
             ids = pa.array([coder.encode(t.as_py() or "") for t in batch.column(text)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
-        coder.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -205,6 +198,5 @@ def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
             columns = list(zip(*(digest(coder, t.as_py() or "") for t in batch.column("text")))) or [()] * 3
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *arrays], names=names)
-        coder.forget()
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
