@@ -144,3 +144,60 @@ SELECT texts.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
        coalesce(scored_spans, '') AS scored_spans
 FROM texts LEFT JOIN listed USING (doc_id)
 """
+
+
+def _leaf_sql(*fields: str) -> str:
+    parts = (f"coalesce(strlen({f}::VARCHAR)::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in fields)
+    return f"sha256({' || '.join(parts)})"
+
+
+_CRC_STEP = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), "
+    f"lambda a, b: {_CRC_STEP}), 4294967295)"
+)
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+         {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf_sql("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")}
+              ELSE {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} END AS now
+  FROM documents
+), tree AS (
+  SELECT place, 0::BIGINT AS level, pos, leaf AS node, count(*) OVER (PARTITION BY place) AS n FROM leaves
+  UNION ALL
+  SELECT place, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM tree WHERE n > 1 GROUP BY place, level, pos // 3, n
+), crown AS (
+  SELECT 0::BIGINT AS level, place AS pos, node, count(*) OVER () AS n FROM tree WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM crown WHERE n > 1 GROUP BY level, pos // 3, n
+), heights AS (
+  SELECT place, max(level) AS height FROM tree GROUP BY place
+), steps AS (
+  SELECT l.place, l.pos, t.level AS step, t.pos AS other, t.node, l.pos // (3 ** t.level)::BIGINT AS own
+  FROM leaves l JOIN tree t ON t.place = l.place AND t.n > 1 AND t.pos // 3 = l.pos // (3 ** (t.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.place, l.pos, height + c.level, c.pos, c.node, l.place // (3 ** c.level)::BIGINT
+  FROM leaves l JOIN heights USING (place) JOIN crown c ON c.n > 1 AND c.pos // 3 = l.place // (3 ** (c.level + 1))::BIGINT
+), segments AS (
+  SELECT place, pos, step, coalesce(string_agg(node, '' ORDER BY other) FILTER (other < own), '') AS ahead,
+         coalesce(string_agg(node, '' ORDER BY other) FILTER (other > own), '') AS behind
+  FROM steps GROUP BY place, pos, step
+), folds AS (
+  SELECT place, pos, 0::BIGINT AS step, now AS node FROM leaves
+  UNION ALL
+  SELECT f.place, f.pos, f.step + 1, sha256(ahead || node || behind) FROM folds f JOIN segments s USING (place, pos, step)
+), folded AS (
+  SELECT place, pos, arg_max(node, step) AS folded_root FROM folds GROUP BY place, pos
+), proofs AS (
+  SELECT place, pos, sha256(string_agg(ahead || behind, '' ORDER BY step)) AS proof_sha256 FROM segments GROUP BY place, pos
+), apex AS (
+  SELECT node AS root FROM crown WHERE n = 1
+)
+SELECT doc_id, leaf, t.node AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN tree t ON t.place = leaves.place AND t.n = 1 JOIN folded f ON f.place = leaves.place AND f.pos = leaves.pos
+LEFT JOIN proofs p ON p.place = leaves.place AND p.pos = leaves.pos, apex
+"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import byte_bpe, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
-from tarmac.llm.oracles import MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
+from tarmac.llm import byte_bpe, merkle, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
+from tarmac.llm.oracles import MERKLE_SQL, MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHARDS = 40
@@ -100,6 +100,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, sf_dir, "documents").select(*fields)
+    emptied = merkle.leaf(*map(F.col, fields[:-1]), F.translate("text", "\n", ""))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    made = merkle.manifest(docs, fields, carry={"changed": F.when(tampered, emptied)})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    return made.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op2_winnowing": (op2_winnowing, None),
@@ -111,4 +128,5 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_sharding": (op9_sharding, None),
     "op10_pii": (op10_pii, PII_SQL),
+    "op13_merkle": (op13_merkle, MERKLE_SQL),
 }
