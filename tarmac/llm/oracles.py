@@ -201,3 +201,34 @@ SELECT doc_id, leaf, t.node AS subroot, root, coalesce(proof_sha256, sha256(''))
 FROM leaves JOIN tree t ON t.place = leaves.place AND t.n = 1 JOIN folded f ON f.place = leaves.place AND f.pos = leaves.pos
 LEFT JOIN proofs p ON p.place = leaves.place AND p.pos = leaves.pos, apex
 """
+
+_TERM_LIST = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+LEXICAL_SQL = f"""
+WITH listed AS (
+  SELECT row_number() OVER () AS doc, doc_id, {_TERM_LIST} AS terms FROM documents
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM listed
+), held AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM listed) GROUP BY doc, term
+), asked AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT item, item_id, unnest(terms) AS term
+        FROM (SELECT row_number() OVER () AS item, item_id, {_TERM_LIST} AS terms FROM benchmark))
+  GROUP BY item, item_id, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, n_docs
+), scored AS (
+  SELECT item, item_id, l.doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(l.terms) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN listed l USING (doc), totals
+  GROUP BY item, item_id, l.doc, l.doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

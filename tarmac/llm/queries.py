@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import byte_bpe, merkle, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
-from tarmac.llm.oracles import MERKLE_SQL, MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
+from tarmac.llm import byte_bpe, lexical, merkle, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
+from tarmac.llm.oracles import LEXICAL_SQL, MERKLE_SQL, MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHARDS = 40
@@ -100,6 +100,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, docs = (_table(spark, sf_dir, name) for name in ("benchmark", "documents"))
+    return lexical.search(items, docs, k=10)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = _table(spark, sf_dir, "documents").select(*fields)
@@ -128,5 +133,6 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_sharding": (op9_sharding, None),
     "op10_pii": (op10_pii, PII_SQL),
+    "op11_lexical": (op11_lexical, LEXICAL_SQL),
     "op13_merkle": (op13_merkle, MERKLE_SQL),
 }
