@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import byte_bpe, lexical, merkle, mixing, pii, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
+from tarmac.llm import byte_bpe, lexical, merkle, mixing, pii, quality, sharding, simhash, token_counts, topk, toxicity, url_rules, winnowing
 from tarmac.llm.oracles import LEXICAL_SQL, MERKLE_SQL, MIXING_SQL, PII_SQL, TOP_K_SQL, URL_SQL
+from tarmac.session import cut_lineage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHARDS = 40
@@ -105,6 +106,18 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(items, docs, k=10)
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    described = cut_lineage(quality.add_statistics(docs))
+    scored = quality.fit_quality(described, labels).score_statistics(described)
+    return scored.select(
+        "doc_id",
+        F.coalesce(quality.fold(F.col("doc_id")) == quality.HELD_OUT_FOLD, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = _table(spark, sf_dir, "documents").select(*fields)
@@ -134,5 +147,6 @@ QUERIES = {
     "op9_sharding": (op9_sharding, None),
     "op10_pii": (op10_pii, PII_SQL),
     "op11_lexical": (op11_lexical, LEXICAL_SQL),
+    "op12_quality": (op12_quality, None),
     "op13_merkle": (op13_merkle, MERKLE_SQL),
 }
