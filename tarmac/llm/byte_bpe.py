@@ -6,6 +6,8 @@ encoding of its bytes exactly if every two neighbours are the encoding of their
 a border would also be made with the two tokens alone.  So a window is wide enough once its first and last token pass
 that test with their neighbours outside.
 
+Parts of pieces and pairs of neighbours come again and again: the encodings of those met last are remembered.
+
 The same holds one level up: a long text is cut in halves, and the pieces of the halves are joined by cutting the text anew
 from the last piece of the left half until a cut meets a cut of the right half; a piece depends only on the text from
 its start on, so all later cuts are equal.  Decoding concatenates up the tree.
@@ -18,9 +20,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 from itertools import chain
+from typing import Any
 
 import pyarrow as pa
 import regex
@@ -32,24 +34,28 @@ from tarmac.llm.batches import small_batches
 _LEAF_BYTES = 5
 _LEAF_CHARS = 1 << 15
 _LOOKAHEAD = 3  # code points after its end that a piece may depend on; more than the split pattern looks at
-_CACHED_PIECES = 200_000
-_CACHED_CHARS = 64
+_CACHED = 100_000  # entries that a memory gathers before it lets its older ones go
+_CACHED_LENGTH = 64
+_NO_RANK = 1 << 31
 
 
-class _Tokens(dict):
-    """Tokens of each piece seen; a new piece is encoded when it is looked up."""
+class _Recent(dict):
+    """Values of the keys seen last; a missing one is made.  The older half of the entries goes when there are too many."""
 
-    def __init__(self, coder: ByteBpe) -> None:
+    def __init__(self, make: Callable[[Any], tuple[int, ...]]) -> None:
         super().__init__()
-        self._coder = coder
+        self._make, self._older = make, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        whole = self._coder.ranks.get(data)
-        tokens = tuple(self._coder.encode_bytes(data)) if whole is None else (whole,)
-        if len(piece) <= _CACHED_CHARS:
-            self[piece] = tokens
-        return tokens
+    def __missing__(self, key: Any) -> tuple[int, ...]:
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
+        if len(key) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED:
+                self._older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class ByteBpe:
@@ -61,49 +67,63 @@ class ByteBpe:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.numerals = {rank: str(rank) for rank in self.bytes_of}
         self.cut = regex.compile(pattern)
-        self._tokens = _Tokens(self)
-        self._fits = lru_cache(1 << 16)(self._neighbours)
-        self._short = lru_cache(1 << 16)(self._leaf)
+        self._tokens = _Recent(self._piece)
+        self._parts = _Recent(self._part)
+        self._pairs = _Recent(self._pair)
+        self._leaves = _Recent(self._leaf)
 
-    def _leaf(self, data: bytes) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        data = piece.encode()
+        whole = self.ranks.get(data)
+        return self._part(data) if whole is None else (whole,)
+
+    def _leaf(self, data: bytes) -> tuple[int, ...]:
         """Merge the lowest rank, leftmost first, until no pair has one."""
-        ranks = self.ranks
+        rank = self.ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            found = [ranks.get(a + b, -1) for a, b in zip(parts, parts[1:])]
-            least = min((r for r in found if r >= 0), default=-1)
-            if least < 0:
+        joint = [rank(data[i : i + 2], _NO_RANK) for i in range(len(data) - 1)]
+        while joint:
+            least = min(joint)
+            if least == _NO_RANK:
                 break
-            merged, i, end = [], 0, len(parts) - 1
-            while i <= end:
-                if i < end and found[i] == least:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
-        return [ranks[p] for p in parts]
-
-    def _neighbours(self, left: int, right: int) -> bool:
-        return self._leaf(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            i = joint.index(least)
+            merged = parts[i] + parts.pop(i + 1)
+            parts[i] = merged
+            del joint[i]
+            if i:
+                joint[i - 1] = rank(parts[i - 1] + merged, _NO_RANK)
+            if i < len(joint):
+                joint[i] = rank(merged + parts[i + 1], _NO_RANK)
+        return tuple([self.ranks[p] for p in parts])
+
+    def _part(self, data: bytes) -> tuple[int, ...]:
+        if len(data) <= _LEAF_BYTES:
+            return self._leaves[data]
+        half = len(data) // 2
+        return self._join(self._parts[data[:half]], self._parts[data[half:]])
+
+    def _pair(self, pair: tuple[int, int]) -> tuple[int, ...]:
+        return self._leaves[self.bytes_of[pair[0]] + self.bytes_of[pair[1]]]
+
+    def _stays(self, left: int, right: int) -> bool:
+        """Whether two neighbours are the encoding of their joint bytes."""
+        return self._pairs[left, right] == (left, right)
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """Tokens of one piece."""
-        if len(data) <= _LEAF_BYTES:
-            return self._short(data)
-        half = len(data) // 2
-        return self._join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
+        return list(self._part(data))
 
-    def _join(self, left: list[int], right: list[int]) -> list[int]:
+    def _join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         before, after = 1, 1
         while True:
             before, after = min(before, len(left)), min(after, len(right))
             first = len(left) - before
-            data = b"".join(map(self.bytes_of.__getitem__, left[first:] + right[:after]))
-            window = self._short(data) if len(data) <= 2 * _LEAF_BYTES else self._leaf(data)
-            stays_left = first == 0 or self._fits(left[first - 1], window[0])
-            stays_right = after == len(right) or self._fits(window[-1], right[after])
+            if before == after == 1:
+                window = self._pairs[left[-1], right[0]]
+            else:
+                window = self._leaves[b"".join(map(self.bytes_of.__getitem__, left[first:] + right[:after]))]
+            stays_left = first == 0 or self._stays(left[first - 1], window[0])
+            stays_right = after == len(right) or self._stays(window[-1], right[after])
             if stays_left and stays_right:
                 return left[:first] + window + right[after:]
             before, after = before * (1 if stays_left else 2), after * (1 if stays_right else 2)
@@ -132,10 +152,7 @@ class ByteBpe:
         return left[:kept] + fresh
 
     def encode(self, text: str) -> list[int]:
-        pieces = self.pieces(text)
-        if len(self._tokens) > _CACHED_PIECES:
-            self._tokens.clear()
-        return list(chain.from_iterable(map(self._tokens.__getitem__, pieces)))
+        return list(chain.from_iterable(map(self._tokens.__getitem__, self.pieces(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= 1 << 12:
