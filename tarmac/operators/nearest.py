@@ -1,36 +1,52 @@
-"""Exact nearest-neighbour joins (k = 1) in planar degrees.
+"""Exact nearest-neighbour joins (k = 1) in planar degrees, over a stored index of the shapes.
 
-Shapes are segments; a point is a segment of zero length.  Ties go to the smallest id, and a point
-without usable coordinates gets the smallest id of all.
+Shapes are segments; a point is a segment of zero length.  Ties go to the smallest id, and a place without usable
+coordinates gets the smallest id of all.
 
-Few shapes (a checked bound) travel to every task as one array.  More are indexed: the plane is cut into
-square cells, finer where shapes are dense, until every cell has a short list of the shapes that can be
-nearest to any place inside it.  A point then meets only the list of its own cell.  The lists are exact
-because distance changes by at most the way travelled: for a cell with centre c and half diagonal h, a
-shape farther from c than the closest one by more than 2h is never nearest inside the cell.
+The index follows the shapes alone: long segments are cut into pieces, the pieces are sorted by size and along a space-filling
+curve, and every ``page_shapes`` neighbours make a page, one row with its bounding box and a few places on its shapes.
+A page is a packed tree: groups of ``FAN`` neighbours have a box, groups of those again, up to one.  Places descend it, first
+along the boxes whose far corner is nearest to some shape, then into every box that is not farther than that one; no shape
+outside those boxes can be nearer.
+
+While the shapes are few (counted), the whole tree is broadcast and places are answered where they are.  Beyond that only
+the boxes of the pages are, a bounded number: a place learns from them which pages may hold its nearest shape and
+meets these by a shuffle, in which pages with many places are dealt to several tasks.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tarmac.functions.geometry import point_distance, segment_distance, segments
+from tarmac.functions.geometry import point_distance, segments
+from tarmac.operators.keys import dense_ids
 from tarmac.session import cut_lineage
 
-ARRAY_LIMIT = 128  # shapes compared one by one from a single array
-LIST_LIMIT = 64  # candidate weight at which a cell is fine enough
-STUCK_LIMIT = 256  # weight at which a cell is also finished when halving it no longer helps
-BROADCAST_CANDIDATES = 500_000  # list entries, some 50 bytes each, sent to every task at most
-MAP_CELLS = 1_000_000  # finished cells whose numbers, 24 bytes each, are sent to every task at most
-FIRST_DEPTH, LAST_DEPTH = 4, 36
-LOOK_AHEAD = 8  # depths for which one pass over the points tells which cells are in use
-PIECE_BUDGET = 8  # stop refining once cutting long segments makes this many pieces per shape
-SLACK = 1e-9  # relative room for rounding in the pruning bounds; extra candidates do no harm
+FAN = 16  # neighbours under one box
+PAGE_SHAPES = 4096
+MAX_PAGES = 100_000  # whose boxes, some 170 bytes each, are sent to every task; larger indexes have larger pages
+BROADCAST_SHAPES = 500_000  # pieces, 56 bytes each, sent to every task at most
+PIECES_PER_SHAPE = 0.5  # that cutting long segments may add on average
+LEAST_PIECES = 20_000  # that it may add in any case
+SAMPLES = 8  # places on the shapes of a page that the directory holds
+PLACES_PER_TASK = 50_000
+SLACK = 1e-9  # relative room for rounding when boxes are left out; visiting more does no harm
 
 _ENDS = ["ax", "ay", "bx", "by"]
+_SHAPE = [*_ENDS, "t0", "t1", "own"]
+_CHUNK = 4096  # places that descend together
+_PAIRS = 1 << 18  # pairs of places and boxes held at once
+_CURVE_BITS = 24
+#: Stored form: the pages of an index, and the columns that its shapes hand over by id.
+PAGES_SCHEMA = (
+    "page bigint, n bigint, least bigint, x0 double, y0 double, x1 double, y1 double, rx array<double>, ry array<double>, "
+    "ax array<double>, ay array<double>, bx array<double>, by array<double>, t0 array<double>, t1 array<double>, own array<bigint>"
+)
 
 
 def line_shapes(lines: DataFrame, id_column: str, geom: str) -> DataFrame:
@@ -58,536 +74,314 @@ def _usable(x: str, y: str) -> Column:
     return F.coalesce((F.abs(F.col(x)) < limit) & (F.abs(F.col(y)) < limit), F.lit(False))
 
 
-def _best(x: str, y: str, candidates: Column) -> Column:
-    """Closest candidate as struct<distance, winner>.
-
-    Lambdas do not share common sub-expressions, so the distance is built in steps that each compute
-    their values once.
-    """
-    px, py, zero, one = F.col(x), F.col(y), F.lit(0.0), F.lit(1.0)
-
-    def directed(c: Column) -> Column:
-        return F.struct(
-            c["ax"].alias("ax"), c["ay"].alias("ay"), c["winner"].alias("winner"),
-            (c["bx"] - c["ax"]).alias("dx"), (c["by"] - c["ay"]).alias("dy"),
-        )
-
-    def placed(c: Column) -> Column:
-        dx, dy = c["dx"], c["dy"]
-        along = F.try_divide((px - c["ax"]) * dx + (py - c["ay"]) * dy, dx * dx + dy * dy)
-        t = F.coalesce(F.least(one, F.greatest(zero, along)), zero)
-        return F.struct(c.alias("c"), t.alias("t"))
-
-    def offset(p: Column) -> Column:
-        c, t = p["c"], p["t"]
-        return F.struct(
-            (px - (c["ax"] + t * c["dx"])).alias("ex"),
-            (py - (c["ay"] + t * c["dy"])).alias("ey"),
-            c["winner"].alias("winner"),
-        )
-
-    def scored(o: Column) -> Column:
-        d = F.sqrt(o["ex"] * o["ex"] + o["ey"] * o["ey"])
-        return F.struct(d.alias("distance"), o["winner"].alias("winner"))
-
-    steps = candidates
-    for step in (directed, placed, offset, scored):
-        steps = F.transform(steps, step)
-    return F.array_min(steps)
-
-
-def _unique_shapes(shapes: DataFrame) -> DataFrame:
-    """One shape per geometry: among equal ones only the smallest id can win."""
-    winner = [c for c in shapes.columns if c not in _ENDS]
-    return (
-        shapes.where(_usable("ax", "ay") & _usable("bx", "by"))
-        .groupBy(*_ENDS)
-        .agg(F.min(F.struct(*winner)).alias("winner"))
-    )
-
-
-# ---------------------------------------------------------------------------------------- index
-
-
-@dataclass
-class Grid:
-    """Square cells over the extent; depth d cuts each side into 2**d."""
-
-    x0: float
-    y0: float
-    x1: float
-    y1: float
-    side: float
-
-    def size(self, depth: int) -> float:
-        return self.side / (1 << depth)
-
-    def reach(self, depth: int) -> float:
-        """Half diagonal of a cell."""
-        return self.size(depth) * math.sqrt(0.5) * (1 + SLACK) + self.side * 1e-12
-
-    def cell(self, value: Column, axis: str, depth: int) -> Column:
-        low = self.x0 if axis == "x" else self.y0
-        index = F.floor((value - F.lit(low)) / F.lit(self.size(depth)))
-        last = F.lit((1 << depth) - 1)
-        return F.least(F.greatest(index, F.lit(0)), last).cast("bigint")
-
-    def holds(self, x: Column, y: Column) -> Column:
-        return x.between(self.x0, self.x1) & y.between(self.y0, self.y1)
-
-    def centre(self, index: Column, axis: str, depth: int) -> Column:
-        low = self.x0 if axis == "x" else self.y0
-        return F.lit(low) + (index + F.lit(0.5)) * F.lit(self.size(depth))
-
-
-@dataclass
-class NearestIndex:
-    grid: Grid
-    cells: DataFrame  # depth, cx, cy, candidates: array<struct<ax,ay,bx,by,winner>>
-    depths: list[int]
-    entries: int  # candidates over all lists
-    split_lists: bool  # some cells own several lists
-
-
-def _extent(shapes: DataFrame, points: DataFrame, x: str, y: str) -> Grid:
-    """Grid over everything; one pass of minima and maxima on two columns."""
-    corners = points.where(_usable(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
-    for end in ("a", "b"):
-        corners = corners.unionByName(shapes.select(F.col(f"{end}x").alias("x"), F.col(f"{end}y").alias("y")))
-    x0, y0, x1, y1 = corners.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    return Grid(float(x0), float(y0), float(x1), float(y1), max(x1 - x0, y1 - y0, 1e-9) * (1 + 1e-6))
-
-
-def _pieces(shapes: DataFrame, grid: Grid, depth: int) -> DataFrame:
-    """Cut each run ``t0..t1`` of a segment into pieces no longer than a cell, placed by their middle.
-
-    ``ux, uy`` is the cell the run came from; a piece of it may lie in a cell beside its children.
-    """
-    run = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) * (
-        F.col("t1") - F.col("t0")
-    )
-    count = F.greatest(F.lit(1), F.ceil(run / F.lit(grid.size(depth))).cast("int"))
-    cut = shapes.withColumn("count", count).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("count") - 1))
-    )
-    step = (F.col("t1") - F.col("t0")) / F.col("count")
-    cut = cut.select(
-        *_ENDS, "winner", F.col("sx").alias("ux"), F.col("sy").alias("uy"),
-        (F.col("t0") + step * F.col("part")).alias("t0"),
-        (F.col("t0") + step * (F.col("part") + 1)).alias("t1"),
-    )
-    middle = (F.col("t0") + F.col("t1")) / 2
-    return cut.withColumn(
-        "sx", grid.cell(F.col("ax") + middle * (F.col("bx") - F.col("ax")), "x", depth)
-    ).withColumn("sy", grid.cell(F.col("ay") + middle * (F.col("by") - F.col("ay")), "y", depth))
-
-
-def _used_cells(points: DataFrame, x: str, y: str, grid: Grid, depth: int) -> DataFrame:
-    """Distinct cells that hold a point; at most 4**LOOK_AHEAD per cell still open."""
-    return points.select(
-        grid.cell(F.col(x), "x", depth).alias("px"), grid.cell(F.col(y), "y", depth).alias("py")
-    ).distinct()
-
-
-def _only_used(pairs: DataFrame, used: DataFrame, used_depth: int, depth: int) -> DataFrame:
-    """Drop cells no point falls into."""
-    up = used_depth - depth
-    cells = used.select(F.shiftright("px", up).alias("cx"), F.shiftright("py", up).alias("cy"))
-    return pairs.join(cells.distinct(), ["cx", "cy"], "left_semi")
-
-
-def _first_pairs(pieces: DataFrame, used: DataFrame, used_depth: int, grid: Grid, depth: int) -> DataFrame:
-    """Pruned pairs at ``depth``, reached from a coarse grid without looking at single shapes.
-
-    The coarsest pairs are 4**FIRST_DEPTH squared at most, whatever the data; from there on both cells of
-    a pair are quartered and pruned, using only which cells are occupied.
-    """
-    occupied = pieces.groupBy("sx", "sy").agg(F.count("*").alias("n"))
-
-    def occupied_at(level: int) -> DataFrame:
-        up = depth - level
-        return occupied.groupBy(
-            F.shiftright("sx", up).alias("sx"), F.shiftright("sy", up).alias("sy")
-        ).agg(F.sum("n").alias("n"))
-
-    side = F.sequence(F.lit(0).cast("bigint"), F.lit((1 << FIRST_DEPTH) - 1).cast("bigint"))
-    pairs = occupied_at(FIRST_DEPTH).select("*", F.explode(side).alias("cx")).select(
-        "*", F.explode(side).alias("cy"), F.lit(None).cast("bigint").alias("was")
-    )
-    for level in range(FIRST_DEPTH, depth + 1):
-        if level > FIRST_DEPTH:
-            children = occupied_at(level).select(
-                F.shiftright("sx", 1).alias("ux"), F.shiftright("sy", 1).alias("uy"), "sx", "sy", "n"
-            )
-            pairs = _quartered(pairs).join(children, ["ux", "uy"])
-        pairs = _pruned_pairs(_only_used(pairs, used, used_depth, level), grid, level)
-    return pairs
-
-
-def _quartered(pairs: DataFrame) -> DataFrame:
-    """The four children of each cell, paired with the shape cells ``ux, uy`` of their parent."""
-    quarters = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]
-    )
-    return pairs.select("*", F.explode(quarters).alias("q")).select(
-        (F.col("cx") * 2 + F.col("q.i")).alias("cx"),
-        (F.col("cy") * 2 + F.col("q.j")).alias("cy"),
-        F.col("sx").alias("ux"),
-        F.col("sy").alias("uy"),
-        F.col("weight").alias("was"),
-    )
-
-
-def _child_pairs(open_pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Quarter each unfinished cell and replace its shape cells by the cells their pieces moved to."""
-    moved = pieces.groupBy("ux", "uy", "sx", "sy").agg(F.count("*").alias("moved"))
-    moved = moved.withColumn("n", F.sum("moved").over(Window.partitionBy("sx", "sy"))).drop("moved")
-    return _quartered(open_pairs).join(moved, ["ux", "uy"]).select("cx", "cy", "sx", "sy", "n", "was")
-
-
-def _pruned_pairs(pairs: DataFrame, grid: Grid, depth: int) -> DataFrame:
-    """Keep, per cell, the shape cells that may hold its nearest shape; add their total weight.
-
-    Two cells are at least their gap and at most their far corners apart.  A piece has its middle inside
-    its cell and reaches half a cell from there at most.
-    """
-    own = Window.partitionBy("cx", "cy")
-    # two cells may hand their pieces to the same child; one partitioning serves this and the window
-    pairs = pairs.repartition("cx", "cy").dropDuplicates(["cx", "cy", "sx", "sy"])
-    dx = F.abs(F.col("cx") - F.col("sx")).cast("double")
-    dy = F.abs(F.col("cy") - F.col("sy")).cast("double")
-    zero, one = F.lit(0.0), F.lit(1.0)
-    gap_x, gap_y = F.greatest(dx - one, zero), F.greatest(dy - one, zero)
-    room = 0.5 + 1e-6 + grid.side * 1e-12 / grid.size(depth)  # rounding included
-    return (
-        pairs.withColumn("least", F.sqrt(gap_x * gap_x + gap_y * gap_y))
-        .withColumn("most", F.sqrt((dx + one) * (dx + one) + (dy + one) * (dy + one)))
-        .withColumn("closest", F.min("most").over(own))
-        .where(F.col("least") <= F.col("closest") * (1 + SLACK) + F.lit(room))
-        .withColumn("weight", F.sum("n").over(own))
-        .select("cx", "cy", "sx", "sy", "weight", "was")
-    )
-
-
-def _behind(grid: Grid, depth: int) -> Column:
-    """Whether shape ``a, b`` lies behind the cell's front shape ``fax .. fby`` from everywhere in the cell.
-
-    Two tests on the corners, either of which proves it.  Places nearer to one point than to a whole shape
-    form a convex set, so that point of the front shape may stand in for it.  And while a cell sees a segment
-    from one side, with all its feet inside the segment, the distance to it is linear there, and the distance to
-    the front shape is convex.
-    """
-    half = grid.size(depth) / 2 * (1 + SLACK) + grid.side * 1e-12
-    room = F.lit(grid.side * 1e-12)
-    x, y = grid.centre(F.col("cx"), "x", depth), grid.centre(F.col("cy"), "y", depth)
-    fx, fy = F.col("fbx") - F.col("fax"), F.col("fby") - F.col("fay")
-    along = F.try_divide((x - F.col("fax")) * fx + (y - F.col("fay")) * fy, fx * fx + fy * fy)
-    t = F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), along)), F.lit(0.0))
-    px, py = F.col("fax") + t * fx, F.col("fay") + t * fy
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    nearer_point = nearer_front = inside = left = right = F.lit(True)
-    # no position lies outside the extent, so a cell on its border ends there
-    sides_x = F.greatest(x - half, F.lit(grid.x0)), F.least(x + half, F.lit(grid.x1))
-    sides_y = F.greatest(y - half, F.lit(grid.y0)), F.least(y + half, F.lit(grid.y1))
-    for qx in sides_x:
-        for qy in sides_y:
-            own = segment_distance(qx, qy, *[F.col(c) for c in _ENDS]) * (1 - SLACK) - room
-            nearer_point &= point_distance(qx, qy, px, py) < own
-            nearer_front &= segment_distance(qx, qy, *[F.col(f"f{c}") for c in _ENDS]) < own
-            foot = (qx - F.col("ax")) * dx + (qy - F.col("ay")) * dy
-            inside &= (foot >= 0) & (foot <= dx * dx + dy * dy)
-            side = (qx - F.col("ax")) * dy - (qy - F.col("ay")) * dx
-            left, right = left & (side > 0), right & (side < 0)
-    return nearer_point | (nearer_front & inside & (left | right))
-
-
-def _lists(pairs: DataFrame, pieces: DataFrame, grid: Grid, depth: int) -> DataFrame:
-    """Candidate lists of finished cells.
-
-    Long lists lose the shapes that lie behind another one from the whole cell.  A cell that still keeps more than ``STUCK_LIMIT`` candidates gets several lists, by hash, so that no list grows
-    with the data and nothing is left out.
-    """
-    met = pairs.select("cx", "cy", "sx", "sy").join(pieces, ["sx", "sy"]).select("cx", "cy", *_ENDS, "winner")
-    reached = segment_distance(
-        grid.centre(F.col("cx"), "x", depth), grid.centre(F.col("cy"), "y", depth),
-        *[F.col(c) for c in _ENDS],
-    )
-    met = met.withColumn("d", reached)
-    own = ["cx", "cy"]
-    closest = met.groupBy(*own).agg(F.min("d").alias("closest"))
-    near = F.col("d") <= F.col("closest") * (1 + SLACK) + F.lit(2 * grid.reach(depth))
-    kept = cut_lineage(met.join(closest, own).where(near).select(*own, *_ENDS, "winner", "d").distinct())
-    weights = kept.groupBy(*own).agg(F.count("*").alias("weight"), F.min(F.struct("d", *_ENDS)).alias("front"))
-    weights = cut_lineage(weights)
-    long = F.col("weight") > STUCK_LIMIT
-    if not weights.where(long).isEmpty():
-        fronts = weights.where(long).select(*own, *[F.col(f"front.{c}").alias(f"f{c}") for c in _ENDS])
-        visible = kept.join(fronts, own).where(~_behind(grid, depth)).select(kept.columns)
-        kept = cut_lineage(kept.join(fronts, own, "left_anti").unionByName(visible))
-        weights = kept.groupBy(*own).agg(F.count("*").alias("weight"))
-    weights = weights.select(*own, "weight")
-    slices = F.ceil(F.col("weight") / F.lit(STUCK_LIMIT)).cast("bigint")
-    return (
-        kept.join(weights, own)
-        .withColumn("slice", F.pmod(F.xxhash64(*_ENDS), slices))
-        .groupBy("cx", "cy", "slice")
-        .agg(F.collect_list(F.struct(*_ENDS, "winner")).alias("candidates"), F.max("weight").alias("weight"))
-    )
+# ---------------------------------------------------------------------------------------- tree
+
+
+class BoxTree:
+    """Boxes in the order given; every ``FAN`` neighbours have a box around them, and every ``FAN`` of those again."""
+
+    def __init__(self, low_x, low_y, high_x, high_y) -> None:
+        self.reach = float(max(np.abs(side).max() for side in (low_x, low_y, high_x, high_y)))
+        self.levels = [_padded(low_x, low_y, high_x, high_y)]
+        while len(self.levels[-1][0]) > FAN:
+            low_x, low_y, high_x, high_y = (side.reshape(-1, FAN) for side in self.levels[-1])
+            self.levels.append(_padded(low_x.min(1), low_y.min(1), high_x.max(1), high_y.max(1)))
+
+    def _gaps(self, level: int, x: np.ndarray, y: np.ndarray, box: np.ndarray) -> np.ndarray:
+        """Squared distances to boxes."""
+        low_x, low_y, high_x, high_y = (side[box] for side in self.levels[level])
+        gx = np.maximum(np.maximum(low_x - x, x - high_x), 0.0)
+        gy = np.maximum(np.maximum(low_y - y, y - high_y), 0.0)
+        return gx * gx + gy * gy
+
+    def within(self, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of places and boxes not farther from them than ``distance``, in lots; places ascend, each in one lot."""
+        bound = (distance * (1 + SLACK) + 1e-12 * (self.reach + np.abs(x) + np.abs(y))) ** 2
+
+        def descend(low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            place, box = np.repeat(np.arange(low, high), FAN), np.tile(np.arange(FAN), high - low)
+            for level in reversed(range(len(self.levels))):
+                near = self._gaps(level, x[place], y[place], box) <= bound[place]
+                place, box = place[near], box[near]
+                if not level:
+                    yield place, box
+                elif len(place) * FAN > _PAIRS and high - low > 1:  # places amid many near boxes go in smaller lots
+                    yield from descend(low, (low + high) // 2)
+                    yield from descend((low + high) // 2, high)
+                    return
+                else:
+                    place, box = np.repeat(place, FAN), (box[:, None] * FAN + np.arange(FAN)).ravel()
+
+        for low in range(0, len(x), _CHUNK):
+            yield from descend(low, min(low + _CHUNK, len(x)))
+
+
+class PackedTree(BoxTree):
+    """Pieces of segments in the order given, in a tree of boxes."""
+
+    def __init__(self, ax, ay, bx, by, t0, t1, own) -> None:
+        self.ax, self.ay, self.own = ax, ay, own
+        self.dx, self.dy = bx - ax, by - ay
+        self.squared = self.dx * self.dx + self.dy * self.dy
+        px, py, qx, qy = ax + t0 * self.dx, ay + t0 * self.dy, ax + t1 * self.dx, ay + t1 * self.dy
+        low_x, low_y, high_x, high_y = np.minimum(px, qx), np.minimum(py, qy), np.maximum(px, qx), np.maximum(py, qy)
+        super().__init__(low_x, low_y, high_x, high_y)
+
+    def distance(self, x: np.ndarray, y: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        ax, ay, dx, dy, squared = (a[shape] for a in (self.ax, self.ay, self.dx, self.dy, self.squared))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            along = ((x - ax) * dx + (y - ay) * dy) / squared
+        t = np.where(squared > 0, np.clip(along, 0.0, 1.0), 0.0)
+        ex, ey = x - (ax + t * dx), y - (ay + t * dy)
+        return np.sqrt(ex * ex + ey * ey)
+
+    def _first(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """A shape for each place, reached along the boxes whose far corner is nearest."""
+        children = np.arange(FAN)
+        at = np.zeros(len(x), dtype=np.int64)
+        for level in reversed(range(len(self.levels))):
+            block = at[:, None] * FAN + children
+            low_x, low_y, high_x, high_y = (side[block] for side in self.levels[level])
+            fx = np.maximum(x[:, None] - low_x, high_x - x[:, None])
+            fy = np.maximum(y[:, None] - low_y, high_y - y[:, None])
+            far = np.where(low_x <= high_x, fx * fx + fy * fy, np.inf)
+            at = block[np.arange(len(x)), far.argmin(axis=1)]
+        return at
+
+    def nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distance and id of the nearest shape of each place; the smallest id among equals."""
+        found = [self._nearest(x[i : i + _CHUNK], y[i : i + _CHUNK]) for i in range(0, len(x), _CHUNK)]
+        found.append((np.empty(0), np.empty(0, dtype=np.int64)))
+        return np.concatenate([d for d, _ in found]), np.concatenate([own for _, own in found])
+
+    def _nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = self._first(x, y)
+        distance, owner = self.distance(x, y, first), self.own[first]
+        for place, box in self.within(x, y, distance.copy()):
+            reached = self.distance(x[place], y[place], box)
+            starts = np.flatnonzero(np.diff(place, prepend=-1))
+            if not len(starts):  # the piece nearest to a place may lie in another tree
+                continue
+            best = np.minimum.reduceat(reached, starts)
+            own = np.where(reached == np.repeat(best, np.diff(starts, append=len(place))), self.own[box], np.iinfo(np.int64).max)
+            own, at = np.minimum.reduceat(own, starts), place[starts]
+            better = (best < distance[at]) | ((best == distance[at]) & (own < owner[at]))
+            distance[at[better]], owner[at[better]] = best[better], own[better]
+        return distance, owner
+
+
+def _padded(low_x, low_y, high_x, high_y) -> tuple[np.ndarray, ...]:
+    """Boxes filled up to a multiple of ``FAN`` with boxes that are infinitely far from everywhere."""
+    missing = -len(low_x) % FAN
+    far = np.full(missing, np.inf)
+    return tuple(np.concatenate((side, far if side is low_x or side is low_y else -far)) for side in (low_x, low_y, high_x, high_y))
+
+
+def _tree_of(pages: pa.Table) -> PackedTree:
+    """One tree over pages in their order."""
+    flat = [pages.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False) for name in _SHAPE]
+    return PackedTree(*flat)
+
+
+class Directory:
+    """Boxes of all pages, and the places on their shapes."""
+
+    def __init__(self, pages: pa.Table) -> None:
+        self.page = pages.column("page").to_numpy()
+        self.boxes = BoxTree(*(pages.column(c).to_numpy() for c in ("x0", "y0", "x1", "y1")))
+        rx, ry = (pages.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("rx", "ry"))
+        self.samples = PackedTree(rx, ry, rx, ry, np.zeros(len(rx)), np.zeros(len(rx)), np.arange(len(rx)))
+
+    def candidates(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places (by number, ascending) and the pages that may hold their nearest shape."""
+        bound, _ = self.samples.nearest(x, y)
+        lots = [(np.empty(0, dtype=np.int64),) * 2, *self.boxes.within(x, y, bound)]
+        return np.concatenate([place for place, _ in lots]), self.page[np.concatenate([box for _, box in lots])]
+
+
+# --------------------------------------------------------------------------------------- build
+
+
+def _pieces(shapes: DataFrame, length: float) -> DataFrame:
+    """Each segment as pieces ``t0..t1`` no longer than ``length``; a piece keeps the ends of its segment."""
+    run = point_distance(*[F.col(c) for c in _ENDS])
+    count = F.greatest(F.lit(1), F.ceil(run / F.lit(length)).cast("int"))
+    cut = shapes.withColumn("count", count).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    return cut.select(
+        *_ENDS, "own", (F.col("part") / F.col("count")).alias("t0"), ((F.col("part") + 1) / F.col("count")).alias("t1"),
+        (run / F.col("count")).alias("run"),
+    )
+
+
+def _spread(value: Column) -> Column:
+    """The low 24 bits of a number, a zero bit after each."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
+    return value
+
+
+def _along(t: str, axis: str) -> Column:
+    return F.col(f"a{axis}") + F.col(t) * (F.col(f"b{axis}") - F.col(f"a{axis}"))
 
 
 def build_index(
-    shapes: DataFrame,
-    n_shapes: int,
-    total_length: float,
-    points: DataFrame,
-    x: str,
-    y: str,
-    grid: Grid,
+    shapes: DataFrame, page_shapes: int = PAGE_SHAPES, carry: list[str] | None = None, max_pages: int = MAX_PAGES
 ) -> NearestIndex:
-    """Refine the cells that hold points until each has few candidates.
+    """Index of ``shapes``: ``id``, ends ``ax, ay, bx, by`` and the columns to hand over (by default all others).
 
-    Work is done on cells and their counts; shapes themselves are only moved down while they lie under
-    an unfinished cell, and met with a cell once it is finished.
+    Shapes without an id or with an end that is not finite take no part.  An id that comes with several values to
+    hand over keeps the smallest.
     """
-    # start where there are about as many cells as shapes; single shapes are not looked at before
-    level = int(math.log(max(n_shapes, 1), 4))
-    if total_length > 0:  # and where shapes are not cut into many pieces yet
-        level = min(level, int(math.log2(max(4 * n_shapes * grid.side / total_length, 1))))
-    depth = min(max(level, FIRST_DEPTH), FIRST_DEPTH + LOOK_AHEAD)
-    first_depth, used_depth = depth, depth + LOOK_AHEAD // 2
-    points = points.where(_usable(x, y)).select(x, y)
-    used = cut_lineage(_used_cells(points, x, y, grid, used_depth))
-    whole = shapes.select(
-        *_ENDS, "winner", F.lit(0).alias("sx"), F.lit(0).alias("sy"),
-        F.lit(0.0).alias("t0"), F.lit(1.0).alias("t1"),
+    carry = [c for c in shapes.columns if c not in ("id", *_ENDS)] if carry is None else carry
+    ends = [F.col(c).cast("double").alias(c) for c in _ENDS]
+    known = shapes.where(F.col("id").isNotNull() & _usable("ax", "ay") & _usable("bx", "by"))
+    carried = cut_lineage(known.groupBy("id").agg(F.min(F.struct(*carry)).alias("carried"))) if carry else None
+    # among equal shapes only the smallest id can win
+    known = cut_lineage(known.select(F.col("id").cast("bigint").alias("own"), *ends).groupBy(*_ENDS).agg(F.min("own").alias("own")))
+    length = F.sum(point_distance(*[F.col(c) for c in _ENDS]))
+    n, total, x0, y0, x1, y1 = known.agg(
+        F.count("*"), length, F.min(F.least("ax", "bx")), F.min(F.least("ay", "by")), F.max(F.greatest("ax", "bx")),
+        F.max(F.greatest("ay", "by")),
+    ).first()
+    if not n:
+        empty = shapes.sparkSession.createDataFrame([], PAGES_SCHEMA)
+        return NearestIndex(empty, carried)
+    side = max(x1 - x0, y1 - y0) or 1.0
+    longest = max((total or 0.0) / max(PIECES_PER_SHAPE * n, LEAST_PIECES), side * 1e-9)
+    pieces = _pieces(known, longest)
+    scale = F.lit(((1 << _CURVE_BITS) - 1) / side)
+    cells = [
+        F.floor(((_along("t0", axis) + _along("t1", axis)) / 2 - F.lit(low)) * scale).cast("bigint") for axis, low in (("x", x0), ("y", y0))
+    ]
+    # pieces of one size lie together, so that a long one does not widen the boxes of short ones
+    size = F.floor(F.log2(F.greatest(F.col("run") / F.lit(longest), F.lit(2.0**-20))) / 2)
+    curve = _spread(cells[0]).bitwiseOR(F.shiftleft(_spread(cells[1]), 1))
+    sorted_by = pieces.select(*_SHAPE, size.alias("size"), curve.alias("curve"))
+    placed = dense_ids(sorted_by, ["size", "curve", *_ENDS, "t0"], "place", start=0)
+    shapes_per_page = max(page_shapes, math.ceil((n + max(PIECES_PER_SHAPE * n, LEAST_PIECES)) / max_pages))
+    low_x, high_x = F.least(_along("t0", "x"), _along("t1", "x")), F.greatest(_along("t0", "x"), _along("t1", "x"))
+    low_y, high_y = F.least(_along("t0", "y"), _along("t1", "y")), F.greatest(_along("t0", "y"), _along("t1", "y"))
+    packed = placed.groupBy(F.floor(F.col("place") / shapes_per_page).alias("page")).agg(
+        F.count("*").alias("n"), F.min("own").alias("least"),
+        F.min(low_x).alias("x0"), F.min(low_y).alias("y0"), F.max(high_x).alias("x1"), F.max(high_y).alias("y1"),
+        F.sort_array(F.collect_list(F.struct("place", *_SHAPE))).alias("members"),
+    )
+    picked = F.transform(
+        F.sequence(F.lit(0), F.least(F.lit(SAMPLES), F.col("n")).cast("int") - 1),
+        lambda i: F.get("members", F.floor(i * F.col("n") / F.least(F.lit(SAMPLES), F.col("n"))).cast("int")),
     )
-    pieces = cut_lineage(_pieces(whole, grid, depth))
-    pairs = _first_pairs(pieces, used, used_depth, grid, depth)
-    budget = PIECE_BUDGET * n_shapes + 4**FIRST_DEPTH
-    finished: list[DataFrame] = []
-    depths: list[int] = []
-    total_done = 0
-    while True:
-        pairs = cut_lineage(pairs)
-        stuck = (F.col("weight") <= STUCK_LIMIT) & (F.col("weight") > F.col("was") * 0.8)
-        done = (F.col("weight") <= LIST_LIMIT) | F.coalesce(stuck, F.lit(False))
-        n_done, n_open, heaviest = pairs.agg(
-            F.count_if(done), F.count_if(~done), F.max("weight")
-        ).first()
-        # a small remainder with short enough lists is not worth another round
-        enough = (heaviest or 0) <= STUCK_LIMIT and n_open * 10 < total_done + n_done
-        # pieces can only have multiplied a few rounds in
-        overcut = depth > first_depth + 2 and pieces.count() > budget
-        if enough or depth >= LAST_DEPTH or overcut:
-            done, n_done, n_open = F.lit(True), n_done + n_open, 0
-        total_done += n_done
-        if n_done:
-            lists = _lists(pairs.where(done), pieces, grid, depth)
-            finished.append(lists.withColumn("depth", F.lit(depth)))
-            depths.append(depth)
-        if not n_open:
-            break
-        open_pairs = pairs.where(~done)
-        if depth == used_depth:
-            used_depth = min(used_depth + LOOK_AHEAD, LAST_DEPTH)
-            still = open_pairs.select("cx", "cy").distinct()
-            inside = points.withColumn("cx", grid.cell(F.col(x), "x", depth)).withColumn(
-                "cy", grid.cell(F.col(y), "y", depth)
-            ).join(still, ["cx", "cy"], "left_semi")
-            used = cut_lineage(_used_cells(inside, x, y, grid, used_depth))
-        depth += 1
-        below = pieces.join(open_pairs.select("sx", "sy").distinct(), ["sx", "sy"], "left_semi")
-        pieces = cut_lineage(_pieces(below, grid, depth))
-        pairs = _only_used(_child_pairs(open_pairs, pieces), used, used_depth, depth)
-        pairs = _pruned_pairs(pairs, grid, depth)
-    if not finished:  # no usable point: nothing will be looked up
-        finished, depths = [_lists(pairs, pieces, grid, depth).withColumn("depth", F.lit(depth))], [depth]
-    cells = finished[0]
-    for more in finished[1:]:
-        cells = cells.unionByName(more)
-    cells = cut_lineage(cells)
-    size = cells.agg(F.sum(F.size("candidates")), F.max("weight")).first()
-    return NearestIndex(
-        grid,
-        cells.select("depth", "cx", "cy", "candidates"),
-        depths,
-        size[0] or 0,
-        (size[1] or 0) > STUCK_LIMIT,
-    )
-
-
-def _place_at(grid: Grid, x: str, y: str, depth: int) -> tuple[Column, Column]:
-    return grid.cell(F.col(x), "x", depth), grid.cell(F.col(y), "y", depth)
-
-
-def _lookup(points: DataFrame, x: str, y: str, index: NearestIndex, cells: DataFrame, take: str) -> DataFrame:
-    """``points`` with column ``take`` of the one finished cell around them, NULL where there is none.
-
-    One broadcast join per depth in use; rows are neither multiplied nor moved.
-    """
-    found = points.withColumn(f"_{take}", F.lit(None).cast(cells.schema[take].dataType))
-    for depth in index.depths:
-        level = F.broadcast(
-            cells.where(F.col("depth") == depth).select(
-                F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col(take).alias("_here")
-            )
-        )
-        cx, cy = _place_at(index.grid, x, y, depth)
-        found = found.join(level, (F.col("_cx") == cx) & (F.col("_cy") == cy), "left").select(
-            *points.columns, F.coalesce(f"_{take}", "_here").alias(f"_{take}")
-        )
-    return found
 
+    def on_shape(axis: str) -> Column:
+        return F.transform(picked, lambda s: s[f"a{axis}"] + s["t0"] * (s[f"b{axis}"] - s[f"a{axis}"])).alias(f"r{axis}")
 
-def _covered(best: Column, x: str, y: str) -> Column:
-    """``best``; a usable position without a list stops the job instead of losing or inventing a match."""
-    text = F.concat(F.lit("position outside the prepared index: "), F.col(x).cast("string"), F.lit(" "), F.col(y).cast("string"))
-    stop = F.when(best.isNull() & _usable(x, y), F.raise_error(text).cast("string"))
-    return F.when(stop.isNull(), best)
-
-
-# ----------------------------------------------------------------------------------------- join
-
-
-def nearest_join(
-    points: DataFrame, x: str, y: str, shapes: DataFrame, names: dict[str, str], **options
-) -> DataFrame:
-    """``points`` plus the columns of its nearest shape.
+    pages = packed.select(
+        "page", "n", "least", "x0", "y0", "x1", "y1", on_shape("x"), on_shape("y"), *[F.col(f"members.{c}").alias(c) for c in _SHAPE]
+    )
+    return NearestIndex(cut_lineage(pages), carried)
 
-    ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
-    """
-    return prepare_nearest(points, x, y, shapes, names, **options).same(points)
 
+class NearestIndex:
+    """Pages of an index, as built or as stored, and the columns that its shapes hand over by ``id``."""
 
-class NearestJoin:
-    """Join of frames with their nearest shape.
+    def __init__(self, pages: DataFrame, carried: DataFrame | None = None) -> None:
+        self.pages, self.carried = pages, carried
 
-    Called with any frame, it first looks for positions the index was not built for and, if there are some,
-    builds one for that frame.  ``same`` skips that look for frames whose positions were given; should
-    one be missing after all, the job stops.
-    """
+    def join(
+        self, points: DataFrame, x: str, y: str, names: dict[str, str], broadcast_limit: int = BROADCAST_SHAPES,
+        places_per_task: int = PLACES_PER_TASK,
+    ) -> DataFrame:
+        """``points`` plus the columns of the nearest shape, wherever they lie.
 
-    def __init__(self, x: str, y: str, known: DataFrame, names: dict[str, str], array_limit: int, broadcast_limit: int):
-        self.x, self.y, self.known, self.broadcast_limit = x, y, known, broadcast_limit
-        self.outputs = [
-            (F.col("best.distance") if source == "distance" else F.col(f"best.winner.{source}")).alias(name)
-            for name, source in names.items()
+        ``names`` maps output names to ``id``, a carried column or ``distance``.  No shapes, no rows.
+        """
+        shapes, least = self.pages.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("least")).first()
+        if not shapes:
+            found = points.where(F.lit(False)).withColumn("_found", F.lit(None).cast("struct<distance:double,id:bigint>"))
+        elif shapes <= broadcast_limit:
+            found = self._in_place(points, x, y)
+        else:
+            found = self._by_page(points, x, y, places_per_task)
+        lost = F.struct(F.lit(float("inf")).alias("distance"), F.lit(least).cast("bigint").alias("id"))
+        best = F.when(_usable(x, y), F.col("_found")).otherwise(lost)
+        found = found.withColumn("_found", best)
+        carried = [name for name in names.values() if name not in ("id", "distance")]
+        if carried:
+            owners = self.carried.select(F.col("id").alias("_id"), "carried")
+            owners = F.broadcast(owners) if shapes <= broadcast_limit else owners  # not more ids than shapes
+            found = found.join(owners, F.col("_found.id") == F.col("_id"), "left")
+        outputs = [
+            F.col(f"carried.{source}" if source in carried else f"_found.{source}").alias(name) for name, source in names.items()
         ]
-        length = point_distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-        self.n_shapes, self.total_length = known.agg(F.count("*"), F.sum(length)).first()
-        self.indexed = self.n_shapes > array_limit
-
-    def index_for(self, places: DataFrame) -> NearestIndex | None:
-        if not self.indexed:
-            return None
-        extent = _extent(self.known, places, self.x, self.y)
-        return build_index(self.known, self.n_shapes, self.total_length or 0.0, places, self.x, self.y, extent)
-
-    def prepare(self, places: DataFrame) -> NearestJoin:
-        self.index = self.index_for(places)
-        return self
-
-    def __call__(self, points: DataFrame) -> DataFrame:
-        index = self.index
-        if index is not None and not self._unseen(points).isEmpty():
-            index = self.index_for(points)
-        return self._find(points, index)
-
-    def same(self, points: DataFrame) -> DataFrame:
-        return self._find(points, self.index)
-
-    def _unseen(self, points: DataFrame) -> DataFrame:
-        """Usable positions outside the indexed extent or in cells without a list."""
-        x, y, index = self.x, self.y, self.index
-        located = points.where(_usable(x, y)).select(x, y)
-        cells = index.cells.select("depth", "cx", "cy").distinct()
-        at = F.array(
-            *[F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy"))
-              for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]]
+        return found.select(*points.columns, *outputs)
+
+    def _in_place(self, points: DataFrame, x: str, y: str) -> DataFrame:
+        """The whole tree reaches every task, so the points stay where they are."""
+        spark = points.sparkSession
+        tree = spark.sparkContext.broadcast(_tree_of(self.pages.select("page", *_SHAPE).toArrow().sort_by("page")))
+
+        @F.arrow_udf("struct<distance:double,id:bigint>")
+        def nearest(places: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for xs, ys in places:
+                yield _answered(tree.value, xs, ys)
+
+        return points.withColumn("_found", nearest(F.col(x).cast("double"), F.col(y).cast("double")))
+
+    def _by_page(self, points: DataFrame, x: str, y: str, places_per_task: int) -> DataFrame:
+        """Each distinct location meets the pages that may hold its nearest shape."""
+        spark = points.sparkSession
+        box = ["page", "x0", "y0", "x1", "y1", "rx", "ry"]
+        directory = spark.sparkContext.broadcast(Directory(self.pages.select(box).toArrow()))
+
+        @F.arrow_udf("array<bigint>")
+        def candidates(places: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for xs, ys in places:
+                place, page = directory.value.candidates(xs.to_numpy(), ys.to_numpy())
+                ends = np.searchsorted(place, np.arange(len(xs) + 1))
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(page, pa.int64()))
+
+        usable = points.where(_usable(x, y)).select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
+        asked = cut_lineage(usable.distinct().withColumn("page", F.explode(candidates("px", "py"))))
+        # a page in a large city is asked by many places: several tasks share them, each with its copy of the page
+        tasks = asked.groupBy("page").agg(F.ceil(F.count("*") / places_per_task).cast("int").alias("tasks"))
+        tasks = F.broadcast(tasks)  # one row per page, at most MAX_PAGES
+        dealt = asked.join(tasks, "page").withColumn("task", F.pmod(F.xxhash64("px", "py"), F.col("tasks")).cast("int"))
+        copies = self.pages.select("page", *_SHAPE).join(tasks, "page").withColumn(
+            "task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))
         )
-        where = located.select(
-            F.when(index.grid.holds(F.col(x), F.col(y)), at).alias("_at"), F.xxhash64(x, y).alias("_place")
-        ).distinct()
-        hit = where.select("_place", F.explode("_at").alias("_cell")).select("_place", "_cell.*").join(
-            cells, ["depth", "cx", "cy"], "left_semi"
-        )
-        return where.join(hit.select("_place").distinct(), "_place", "left_anti")
 
-    def _find(self, points: DataFrame, index: NearestIndex | None) -> DataFrame:
-        if index is None:
-            found = self._compare_all(points)
-        elif index.entries <= self.broadcast_limit and not index.split_lists:
-            found = self._probe_in_place(points, index)
-        else:
-            found = self._probe_locations(points, index)
-        return found.select(*points.columns, *self.outputs)
-
-    def _lost(self) -> Column:
-        smallest = self.known.agg(F.min("winner")).scalar()
-        return F.struct(F.lit(float("inf")).alias("distance"), smallest.alias("winner"))
-
-    def _compare_all(self, points: DataFrame) -> DataFrame:
-        everything = self.known.agg(F.collect_list(F.struct(*_ENDS, "winner"))).scalar()
-        matched = points.withColumn("_all", everything).where(F.size("_all") > 0)
-        best = F.when(_usable(self.x, self.y), _best(self.x, self.y, F.col("_all"))).otherwise(self._lost())
-        return matched.withColumn("best", best)
-
-    def _or_lost(self, found: DataFrame, best: Column) -> DataFrame:
-        """Points without coordinates get the smallest id of all; without shapes there are no rows."""
-        if not self.n_shapes:
-            return found.where(F.lit(False)).withColumn("best", self._lost())
-        usable = _usable(self.x, self.y)
-        return found.withColumn("best", F.when(usable, _covered(best, self.x, self.y)).otherwise(self._lost()))
-
-    def _probe_in_place(self, points: DataFrame, index: NearestIndex) -> DataFrame:
-        """Every list reaches every task, so the points are not shuffled."""
-        found = _lookup(points, self.x, self.y, index, index.cells, "candidates")
-        return self._or_lost(found, _best(self.x, self.y, F.col("_candidates")))
-
-    def _probe_locations(self, points: DataFrame, index: NearestIndex) -> DataFrame:
-        """Look up each distinct location once, on two columns only, then hand the answer back.
-
-        While the map of finished cells is small enough for every task, it tells each location its cell before
-        the shuffle; beyond that a location asks at every depth in use.
-        """
-        x, y = self.x, self.y
-        located = points.where(_usable(x, y)).select(x, y).distinct()
-        keys = cut_lineage(index.cells.select("depth", "cx", "cy").distinct())
-        if keys.limit(MAP_CELLS + 1).count() <= MAP_CELLS:
-            own = _lookup(located, x, y, index, keys.withColumn("level", F.col("depth")), "level")
-            cell = F.coalesce(
-                *[F.when(F.col("_level") == d, F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy")))
-                  for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]]
-            )
-            asked = own.where("_level IS NOT NULL").select(x, y, cell.alias("_cell"))
-        else:
-            cells = [
-                F.struct(F.lit(d).alias("depth"), cx.alias("cx"), cy.alias("cy"))
-                for d in index.depths for cx, cy in [_place_at(index.grid, x, y, d)]
-            ]
-            asked = located.select(x, y, F.explode(F.array(*cells)).alias("_cell"))
-        met = asked.select(x, y, "_cell.*").join(index.cells, ["depth", "cx", "cy"])
-        best = met.select(x, y, _best(x, y, F.col("candidates")).alias("_best"))
-        if index.split_lists:
-            best = best.groupBy(x, y).agg(F.min("_best").alias("_best"))
+        def search(page: pa.Table, places: pa.Table) -> pa.Table:
+            if not places.num_rows:
+                return schema.empty_table()
+            distance, own = _tree_of(page).nearest(places.column("px").to_numpy(), places.column("py").to_numpy())
+            return pa.table([places.column("px"), places.column("py"), pa.array(distance), pa.array(own)], schema=schema)
+
+        schema = pa.schema([("px", pa.float64()), ("py", pa.float64()), ("distance", pa.float64()), ("id", pa.int64())])
+        met = copies.groupBy("page", "task").cogroup(dealt.select("page", "task", "px", "py").groupBy("page", "task")).applyInArrow(
+            search, "px double, py double, distance double, id bigint"
+        )
+        best = met.groupBy("px", "py").agg(F.min(F.struct("distance", "id")).alias("_found"))
         # points without coordinates are spread by a salt that no location carries, and keep no match
         spread = F.when(_usable(x, y), F.lit(0)).otherwise(F.monotonically_increasing_id() % 1024 + 1)
-        salted = points.withColumn("_salt", spread)
+        salted = points.withColumns({"_px": F.col(x).cast("double"), "_py": F.col(y).cast("double"), "_salt": spread})
         # always 0, but not a literal: the optimizer would take a literal out of the join keys again
-        best = best.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(1)))
-        return self._or_lost(salted.join(best, [x, y, "_salt"], "left"), F.col("_best"))
-
-
-def prepare_nearest(
-    places: DataFrame,
-    x: str,
-    y: str,
-    shapes: DataFrame,
-    names: dict[str, str],
-    *,
-    array_limit: int = ARRAY_LIMIT,
-    broadcast_limit: int = BROADCAST_CANDIDATES,
-) -> NearestJoin:
-    """Index ``shapes`` for the positions in ``places``; the join takes frames with any positions."""
-    known = cut_lineage(_unique_shapes(shapes))  # read many times from here on
-    return NearestJoin(x, y, known, names, array_limit, broadcast_limit).prepare(places)
+        best = best.select(F.col("px").alias("_px"), F.col("py").alias("_py"), F.pmod(F.xxhash64("px"), F.lit(1)).alias("_salt"), "_found")
+        return salted.join(best, ["_px", "_py", "_salt"], "left").select(*points.columns, "_found")
+
+
+def _answered(tree: PackedTree, xs: pa.Array, ys: pa.Array) -> pa.StructArray:
+    """Distance and id per place; null for one without usable coordinates."""
+    x, y = (a.fill_null(np.nan).to_numpy(zero_copy_only=False) for a in (xs, ys))
+    sound = np.isfinite(x) & np.isfinite(y)
+    distance, own = np.zeros(len(x)), np.zeros(len(x), dtype=np.int64)
+    distance[sound], own[sound] = tree.nearest(x[sound], y[sound])
+    return pa.StructArray.from_arrays(
+        [pa.array(distance, pa.float64()), pa.array(own, pa.int64())], names=["distance", "id"], mask=pa.array(~sound)
+    )
+
+
+def nearest_join(
+    points: DataFrame, x: str, y: str, shapes: DataFrame | NearestIndex, names: dict[str, str], **options
+) -> DataFrame:
+    """``points`` plus the columns of the nearest shape, by an index of its own unless one is given."""
+    index = shapes if isinstance(shapes, NearestIndex) else build_index(shapes)
+    return index.join(points, x, y, names, **options)

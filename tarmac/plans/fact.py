@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, functions as F
 
-from tarmac.operators.nearest import NearestJoin, line_shapes, point_shapes, prepare_nearest
+from tarmac.operators.nearest import NearestIndex, build_index, line_shapes, point_shapes
 
 # The date dimension is generated with a fixed number of days; beyond this it is not broadcast.
 _SPINE_LIMIT = 50_000
 
 
-def nearest_city(places: DataFrame, cities: DataFrame, **options) -> NearestJoin:
-    """Join that adds ``city_id`` and ``station_id`` of the closest city."""
-    shapes = point_shapes(cities, "city_id", "lon", "lat", "station_id")
-    names = {"city_id": "id", "station_id": "station_id"}
-    return prepare_nearest(places, "lon", "lat", shapes, names, **options)
+def city_index(cities: DataFrame) -> NearestIndex:
+    """Index of the cities, which hands over their ``station_id``."""
+    return build_index(point_shapes(cities, "city_id", "lon", "lat", "station_id"))
+
+
+def road_index(roads: DataFrame) -> NearestIndex:
+    """Index of the road lines, to be stored beside them."""
+    return build_index(line_shapes(roads, "road_id", "geom"))
+
+
+def with_city(places: DataFrame, cities: NearestIndex, **options) -> DataFrame:
+    """``places`` with ``city_id`` and ``station_id`` of the closest city."""
+    return cities.join(places, "lon", "lat", {"city_id": "id", "station_id": "station_id"}, **options)
 
 
-def nearest_road(places: DataFrame, roads: DataFrame, **options) -> NearestJoin:
-    """Join that adds ``road_id`` of the closest road line."""
-    shapes = line_shapes(roads, "road_id", "geom")
-    return prepare_nearest(places, "lon", "lat", shapes, {"road_id": "id"}, **options)
+def with_road(places: DataFrame, roads: NearestIndex, **options) -> DataFrame:
+    """``places`` with ``road_id`` of the closest road line."""
+    return roads.join(places, "lon", "lat", {"road_id": "id"}, **options)
 
 
 def with_date_id(rows: DataFrame, dates: DataFrame, day: str = "date") -> DataFrame:
@@ -57,19 +62,15 @@ def with_weather_id(rows: DataFrame, weather: DataFrame, row_key: str, day: str
 
 def assemble_fact(
     accidents: DataFrame,
-    cities: DataFrame,
+    cities: NearestIndex,
     dates: DataFrame,
-    roads: DataFrame,
+    roads: NearestIndex,
     weather: DataFrame,
     **options,
 ) -> DataFrame:
     """One row per accident; none at all when there is no city or no road."""
     needed = accidents.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
-    places = needed.select("lon", "lat")
-    with ThreadPoolExecutor(2) as both:  # two series of small jobs that do not depend on each other
-        city = both.submit(nearest_city, places, cities, **options)
-        road = both.submit(nearest_road, places, roads, **options)
-        placed = road.result().same(city.result().same(needed))
+    placed = with_road(with_city(needed, cities, **options), roads, **options)
     dated = with_date_id(placed, dates)
     return with_weather_id(dated, weather, "accident_id").select(
         "accident_id",

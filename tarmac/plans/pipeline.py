@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids, max_id, spread_ids
 from tarmac.operators.merge import new_rows, unseen_sources
+from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex
 from tarmac.operators.quality import (
     fk_violations,
     not_null_violations,
@@ -19,8 +20,9 @@ from tarmac.operators.quality import (
     require_empty,
 )
 from tarmac.plans import clean, dims
-from tarmac.plans.fact import assemble_fact
+from tarmac.plans.fact import assemble_fact, city_index, road_index
 from tarmac.schemas import (
+    INDEXED_SCHEMA,
     PROGRESS,
     PROGRESS_SCHEMA,
     QUARANTINE_SCHEMA,
@@ -155,12 +157,32 @@ class Warehouse:
             progress.replace(self.spark.createDataFrame([(name, upto)], PROGRESS_SCHEMA))
         return bad
 
+    def road_index(self) -> NearestIndex:
+        """Index of the silver road lines as ``index_roads`` stored it."""
+        return NearestIndex(self._road_pages().read())
+
+    def _road_pages(self) -> Table:
+        return Table(self.spark, self.root, "silver.osm_roads_index", PAGES_SCHEMA)
+
+    def index_roads(self) -> None:
+        """Store the index of the road lines anew."""
+        self._road_pages().replace(road_index(self.table("silver.osm_roads_clean").read()).pages)
+
     def clean_roads(self) -> DataFrame:
-        """Insert-only load; returns the quarantined rows, which ``silver.roads_quarantine`` keeps."""
+        """Insert-only load; returns the quarantined rows, which ``silver.roads_quarantine`` keeps.
+
+        The index stored beside the lines is made anew when lines were added, or an earlier run ended before that.
+        """
         good, bad = clean.clean_roads(self.table("bronze.osm_ways").read())
         order = [F.col(c) for c in ("road_type", "name", "max_speed", "lanes")]
-        self.table("silver.osm_roads_clean").merge(good, ["road_id"], order)
+        lines = self.table("silver.osm_roads_clean")
+        lines.merge(good, ["road_id"], order)
         self.quarantined("roads").replace(bad.select(F.col("road_id").alias("raw_id"), "reasons"))
+        indexed = Table(self.spark, self.root, "silver.osm_roads_indexed", INDEXED_SCHEMA)
+        count = lines.read().count()
+        if not self._road_pages().exists() or indexed.read().agg(F.max("lines")).first()[0] != count:
+            self.index_roads()
+            indexed.replace(self.spark.createDataFrame([(count,)], INDEXED_SCHEMA))
         return bad
 
     # --------------------------------------------------------------------------- dimensions
@@ -209,9 +231,9 @@ class Warehouse:
         rows = cut_lineage(
             assemble_fact(
                 accidents,
-                self.table("gold.dim_city").read(),
+                city_index(self.table("gold.dim_city").read()),
                 self.table("gold.dim_date").read(),
-                self.table("silver.osm_roads_clean").read(),
+                self.road_index(),
                 self.table("gold.dim_weather").read(),
             )
         )

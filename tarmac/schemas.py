@@ -52,6 +52,9 @@ SCHEMAS = {
 PROGRESS = "silver.cleaning_progress"
 PROGRESS_SCHEMA = "source_table string, raw_id bigint"
 
+# How many road lines the stored index covers; lines are only ever added.
+INDEXED_SCHEMA = "lines bigint"
+
 # Rows kept out of silver: the id of the raw row and why.
 QUARANTINE_SCHEMA = "raw_id bigint, reasons array<string>"
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids
 from tarmac.operators.merge import first_per_key, insert_only_merge
-from tarmac.operators.nearest import line_shapes, nearest_join, point_shapes, prepare_nearest
+from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex, line_shapes, nearest_join, point_shapes
 from tarmac.functions.weather import hour_columns
 from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
 from tarmac.plans import clean, dims, fact
 from tarmac.sources.calendar import date_spine
+from tarmac.session import scratch_path
 from tarmac.sources.landed import road_lines
 from tarmac.workload.common import (
     CITY_SQL,
@@ -221,16 +222,16 @@ def _nearest_road(**options) -> Query:
     return run
 
 
-def _unseen_positions(**options) -> Query:
-    """The nearest road of all accidents from an index prepared for half of them."""
+def _stored_index(**options) -> Query:
+    """The nearest road of all accidents from an index that was written before and knows no position."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        shapes = line_shapes(_road_table(spark, sf_dir), "road_id", "geom")
+        path = scratch_path(spark, "road-index")
+        fact.road_index(_road_table(spark, sf_dir)).pages.write.parquet(path)
+        index = NearestIndex(spark.read.schema(PAGES_SCHEMA).parquet(path))
         names = {"road_id": "id", "distance": "distance"}
         points = accident_points(spark, sf_dir)
-        half = points.where(F.col("accident_id") % 2 == 0)
-        join = prepare_nearest(half, "lon", "lat", shapes, names, **options)
-        return join(points).select("accident_id", "road_id", "distance")
+        return index.join(points, "lon", "lat", names, **options).select("accident_id", "road_id", "distance")
 
     return run
 
@@ -243,9 +244,9 @@ SELECT accident_id, road_id, d AS distance FROM near_road
 def fact_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fact.assemble_fact(
         accident_points(spark, sf_dir),
-        city_dim(spark, sf_dir),
+        fact.city_index(city_dim(spark, sf_dir)),
         date_spine(spark),
-        _road_table(spark, sf_dir),
+        fact.road_index(_road_table(spark, sf_dir)),
         weather_dim(spark, sf_dir),
     )
     return rows.withColumn("date_id", F.col("date_id").cast("bigint"))
@@ -279,9 +280,9 @@ def fact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact merged into a target that holds every fifth accident already."""
     rows = fact.assemble_fact(
         _odd_accidents(spark, sf_dir),
-        city_dim(spark, sf_dir),
+        fact.city_index(city_dim(spark, sf_dir)),
         date_spine(spark),
-        _road_table(spark, sf_dir),
+        fact.road_index(_road_table(spark, sf_dir)),
         weather_dim(spark, sf_dir),
     ).withColumn("date_id", F.col("date_id").cast("bigint"))
     unknown = [F.lit(None).cast("bigint").alias(c) for c in ("city_id", "date_id", "road_id", "weather_id")]
@@ -356,8 +357,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "nearest_segment": (_nearest_road(), NEAREST_SEGMENT),
     # the path for indexes too large to send to every task
     "nearest_segment_shuffled": (_nearest_road(broadcast_limit=0), NEAREST_SEGMENT),
-    "nearest_unseen_positions": (_unseen_positions(), NEAREST_SEGMENT),
-    "nearest_unseen_positions_shuffled": (_unseen_positions(broadcast_limit=0), NEAREST_SEGMENT),
+    "nearest_unseen_positions": (_stored_index(), NEAREST_SEGMENT),
+    "nearest_unseen_positions_shuffled": (_stored_index(broadcast_limit=0), NEAREST_SEGMENT),
     "fact_accidents": (fact_accidents, FACT_ACCIDENTS),
     "fact_merge": (fact_merge, FACT_MERGE),
     "pk_violations": (repeated_lines, REPEATED_LINES),
