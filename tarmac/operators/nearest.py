@@ -101,8 +101,12 @@ class BoxTree:
         def descend(low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             place, box = np.repeat(np.arange(low, high), FAN), np.tile(np.arange(FAN), high - low)
             for level in reversed(range(len(self.levels))):
-                near = self._gaps(level, x[place], y[place], box) <= bound[place]
+                gaps = self._gaps(level, x[place], y[place], box)
+                near = gaps <= bound[place]
                 place, box = place[near], box[near]
+                if level == 1:
+                    near = self._tighten(x, y, bound, place, box, gaps[near])
+                    place, box = place[near], box[near]
                 if not level:
                     yield place, box
                 elif len(place) * FAN > _PAIRS and high - low > 1:  # places amid many near boxes go in smaller lots
@@ -115,6 +119,10 @@ class BoxTree:
         for low in range(0, len(x), _CHUNK):
             yield from descend(low, min(low + _CHUNK, len(x)))
 
+    def _tighten(self, x, y, bound, place, box, gaps) -> np.ndarray:
+        """Whether pairs at the lowest inner level are still within their bound, after a closer look if there can be one."""
+        return np.ones(len(place), dtype=bool)
+
 
 class PackedTree(BoxTree):
     """Pieces of segments in the order given, in a tree of boxes."""
@@ -127,6 +135,19 @@ class PackedTree(BoxTree):
         low_x, low_y, high_x, high_y = np.minimum(px, qx), np.minimum(py, qy), np.maximum(px, qx), np.maximum(py, qy)
         super().__init__(low_x, low_y, high_x, high_y)
 
+    def _tighten(self, x, y, bound, place, box, gaps) -> np.ndarray:
+        """Look at the shapes in the nearest box of each place before the others are entered."""
+        if not len(place):
+            return np.ones(0, dtype=bool)
+        starts = np.flatnonzero(np.diff(place, prepend=-1))
+        nearest = gaps == np.repeat(np.minimum.reduceat(gaps, starts), np.diff(starts, append=len(place)))
+        at, inside = place[nearest], box[nearest]
+        shape = np.minimum(inside[:, None] * FAN + np.arange(FAN), len(self.own) - 1)
+        reached = self.distance(x[at, None], y[at, None], shape).min(axis=1)
+        room = 1e-12 * (self.reach + np.abs(x[at]) + np.abs(y[at]))
+        np.minimum.at(bound, at, (reached * (1 + SLACK) + room) ** 2)
+        return gaps <= bound[place]
+
     def distance(self, x: np.ndarray, y: np.ndarray, shape: np.ndarray) -> np.ndarray:
         ax, ay, dx, dy, squared = (a[shape] for a in (self.ax, self.ay, self.dx, self.dy, self.squared))
         with np.errstate(divide="ignore", invalid="ignore"):
