@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _CHOICE = threading.Lock()
+_FALLBACK: dict[str, str] = {}  # folder by application
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -29,21 +30,21 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it.
+    """Folder every executor can reach.
 
-    ``spark.checkpoint.dir`` decides.  Only a local master may fall back to a temporary folder.
+    ``spark.checkpoint.dir`` decides, else the folder given to ``setCheckpointDir``.  Only a local master may fall back
+    to a temporary folder, one per application; that setting cannot be changed once a session runs.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK.get(context.applicationId) or context.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     with _CHOICE:  # several threads may prepare joins side by side
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="tarmac-")
-            spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+        if context.applicationId not in _FALLBACK:
+            _FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="tarmac-")
+    return _FALLBACK[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
