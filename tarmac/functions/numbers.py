@@ -13,14 +13,6 @@ def half_away(value: Column, to: str) -> Column:
     return F.round(value, 0).try_cast(to)
 
 
-def exact_mean(column: str) -> Column:
-    """Arithmetic mean as a decimal, NULLs ignored, NULL for an all-NULL group.
-
-    ``avg`` keeps only four more decimals than its input, too few to truncate or compare safely.
-    """
-    return F.try_divide(F.sum(column), F.count(column))
-
-
 def truncate(value: Column, scale: int) -> Column:
     """Cut a decimal toward zero."""
     return F.when(value < 0, F.ceil(value, F.lit(scale))).otherwise(F.floor(value, F.lit(scale)))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tarmac.functions.numbers import exact_mean, half_away, truncate
+from tarmac.functions.numbers import half_away, truncate
 from tarmac.functions.weather import category
 
 
@@ -18,16 +18,38 @@ def road_rows(roads: DataFrame) -> DataFrame:
 
 
 def daily_weather(hours: DataFrame) -> DataFrame:
-    """One row per station and day: truncated means, rounded wind direction, category.
-
-    Sums and counts are combined before the one shuffle; the category reads the untruncated means.
-    """
-    means = hours.groupBy("station_id", "date").agg(
-        exact_mean("temp_c").alias("temp"),
-        exact_mean("precipitation_mm").alias("rain"),
-        F.try_divide(F.sum("snow").cast("decimal(20,0)"), F.count("snow")).alias("snow_mean"),
-        F.try_divide(F.sum("wind_dir").cast("decimal(20,0)"), F.count("wind_dir")).alias("direction"),
-        exact_mean("wind_speed").alias("wind"),
+    """One row per station and day: truncated means, rounded wind direction, category."""
+    return weather_of_days(weather_sums(hours))
+
+
+_SUMS = {"temp": "temp_c", "rain": "precipitation_mm", "snow": "snow", "direction": "wind_dir", "wind": "wind_speed"}
+
+
+def weather_sums(hours: DataFrame) -> DataFrame:
+    """Exact sums and counts of the measures per station and day, combined before the one shuffle."""
+    sums = [F.sum(measure).alias(f"{name}_sum") for name, measure in _SUMS.items()]
+    counts = [F.count(measure).alias(f"{name}_n") for name, measure in _SUMS.items()]
+    return hours.groupBy("station_id", "date").agg(*sums, *counts)
+
+
+def merged_sums(parts: DataFrame) -> DataFrame:
+    """Sums of one row per station and day from those of several loads."""
+    kinds = dict(parts.dtypes)
+    added = [F.sum(c).cast(kinds[c]).alias(c) for name in _SUMS for c in (f"{name}_sum", f"{name}_n")]
+    return parts.groupBy("station_id", "date").agg(*added)
+
+
+def weather_of_days(sums: DataFrame) -> DataFrame:
+    """Days from their sums; the category reads the untruncated means."""
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")).alias(name)
+
+    def whole(name: str, to: str) -> Column:
+        return F.try_divide(F.col(f"{name}_sum").cast("decimal(20,0)"), F.col(f"{name}_n")).alias(to)
+
+    means = sums.select(
+        "station_id", "date", mean("temp"), mean("rain"), whole("snow", "snow_mean"), whole("direction", "direction"), mean("wind")
     )
     return means.select(
         "station_id",

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.operators.keys import dense_ids, max_id, spread_ids
-from tarmac.operators.merge import new_rows, unseen_sources
+from tarmac.operators.merge import unseen_sources
 from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex
 from tarmac.operators.quality import (
     fk_violations,
@@ -51,6 +51,17 @@ class Warehouse:
     def table(self, name: str) -> Table:
         return Table(self.spark, self.root, name)
 
+    def _noted(self, name: str, nothing: int) -> int:
+        """How far table ``name`` was absorbed by the step after it."""
+        known = Table(self.spark, self.root, PROGRESS, PROGRESS_SCHEMA).read().where(F.col("source_table") == name)
+        row = known.agg(F.max("raw_id")).first()
+        return nothing if row[0] is None else row[0]
+
+    def _note(self, name: str, upto: int) -> None:
+        progress = Table(self.spark, self.root, PROGRESS, PROGRESS_SCHEMA)
+        others = progress.read().where(F.col("source_table") != name)
+        progress.replace(others.unionByName(self.spark.createDataFrame([(name, upto)], PROGRESS_SCHEMA)))
+
     def quarantined(self, what: str) -> Table:
         """Ids of raw rows kept out of silver (``weather`` hours, ``roads``) and the reasons."""
         return Table(self.spark, self.root, f"silver.{what}_quarantine", QUARANTINE_SCHEMA)
@@ -139,22 +150,27 @@ class Warehouse:
         """Insert-only load; returns the rows quarantined now, which ``silver.weather_quarantine`` keeps.
 
         Rows up to the id absorbed before cannot add anything, since earlier ids win, so only later ones
-        are read.  The id is noted after the merge: a failure in between repeats work, never loses it.
+        are read, and only the months they fall into of the hours before.  The sums per day of the added hours are stored
+        beside them.  All that one load writes carries the id it started after: a load that failed half way is
+        repeated in the place of its first attempt.
         """
         name = "bronze.meteostat_raw"
-        progress = Table(self.spark, self.root, PROGRESS, PROGRESS_SCHEMA)
         raw = self.table(name).read()
-        known = progress.read().where(F.col("source_table") == name)
-        after, upto = (0 if everything else max_id(known, "raw_id")), max_id(raw, "raw_id")
+        after, upto = (0 if everything else self._noted(name, 0)), max_id(raw, "raw_id")
         good, bad = clean.clean_weather(
             raw.where((F.col("raw_id") > after) & (F.col("raw_id") <= upto))
         )
         if upto > after:
-            self.table("silver.weather_clean").merge(
-                good, ["station_id", "date", "time"], [F.col("raw_id")]
-            )
-            self.quarantined("weather").merge(bad.select("raw_id", "reasons"), ["raw_id"], [F.col("reasons")])
-            progress.replace(self.spark.createDataFrame([(name, upto)], PROGRESS_SCHEMA))
+            hours = self.table("silver.weather_clean")
+            keys = ["station_id", "date", "time"]
+            added = cut_lineage(hours.new_rows(good, keys, [F.col("raw_id")], replacing=str(after)))
+            self.table("silver.weather_days").append(dims.weather_sums(added), after)
+            hours.append(added, after)
+            kept = bad.select("raw_id", "reasons")
+            self.quarantined("weather").merge(kept, ["raw_id"], [F.col("reasons")], batch_id=after)
+            if everything:
+                self._note("silver.weather_days", -1)
+            self._note(name, upto)
         return bad
 
     def road_index(self) -> NearestIndex:
@@ -192,11 +208,10 @@ class Warehouse:
     ) -> None:
         """Insert-only merge on the natural key, with new surrogate ids for the new rows only."""
         target = self.table(name)
-        present = target.read()
-        added = new_rows(batch, present, keys, [F.col(c) for c in order], **options)
+        added = target.new_rows(batch, keys, [F.col(c) for c in order], **options)
         # the further columns tell rows without a natural key apart
         by = list(dict.fromkeys(keys + order))
-        target.append(dense_ids(added, by, id_column, start=max_id(present, id_column) + 1))
+        target.append(dense_ids(added, by, id_column, start=max_id(target.read(), id_column) + 1))
 
     def load_city_dim(self, path: str) -> None:
         rows = dims.city_rows(landed.cities(self.spark, path))
@@ -211,9 +226,17 @@ class Warehouse:
         self.table("gold.dim_road").merge(rows, ["road_id"], [F.col("road_type")])
 
     def load_weather_dim(self) -> None:
-        rows = dims.daily_weather(self.table("silver.weather_clean").read())
+        """Days that loads since the last build touched, from the sums that all loads stored for them; no hours are read."""
+        days = self.table("silver.weather_days")
+        done = self._noted(days.name, -1)
+        fresh = [b for b in days.batches() if int(b) > done]
+        if not fresh:
+            return
+        touched = cut_lineage(days.read(batches=fresh).select("station_id", "date").distinct())
+        sums = days.read(days.parts_of(touched)).join(touched, ["station_id", "date"], "left_semi")
         keys = ["station_id", "date"]
-        self._add_numbered("gold.dim_weather", rows, keys, keys, "weather_id")
+        self._add_numbered("gold.dim_weather", dims.weather_of_days(dims.merged_sums(sums)), keys, keys, "weather_id")
+        self._note(days.name, max(map(int, fresh)))
 
     # --------------------------------------------------------------------------------- fact
 
@@ -221,11 +244,9 @@ class Warehouse:
         """Accidents not yet in the fact are placed and joined, checked, and only then published."""
         fact = self.table("gold.fact_traffic_accidents")
         silver = self.table("silver.traffic_accident_clean").read()
-        added = new_rows(silver, fact.read(), ["accident_id"], [F.col("raw_id").desc()])
-        # the spatial joins read these rows several times
-        accidents = cut_lineage(
-            added.select("accident_id", "lon", "lat", "date", "total_damage", "cause")
-        )
+        placed = silver.select("accident_id", "raw_id", "lon", "lat", "date", "total_damage", "cause")
+        added = fact.new_rows(placed, ["accident_id"], [F.col("raw_id").desc()])
+        accidents = cut_lineage(added.drop("raw_id"))  # read several times
         if accidents.isEmpty():
             return
         rows = cut_lineage(
@@ -258,7 +279,7 @@ class Warehouse:
             for keys in UNIQUE_KEYS[name]:
                 keyed = df.dropna(subset=keys)
                 require_empty(pk_violations(keyed, keys), f"{name} repeats {keys}")
-            required = REQUIRED.get(name, []) + UNIQUE_KEYS[name][0]
+            required = REQUIRED.get(name, []) + [c for keys in UNIQUE_KEYS[name][:1] for c in keys]
             require_empty(not_null_violations(df, required), f"{name} has NULL in {required}")
         self.check_references(self.table("gold.fact_traffic_accidents").read())
 

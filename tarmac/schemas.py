@@ -29,6 +29,11 @@ SCHEMAS = {
         "road_id bigint, name string, road_type string, is_intersection boolean, lanes smallint, "
         f"max_speed smallint, oneway boolean, geom {POINTS}"
     ),
+    # sums and counts per station and day of the hours that one load added
+    "silver.weather_days": (
+        "station_id string, date date, temp_sum decimal(15,2), temp_n bigint, rain_sum decimal(16,2), rain_n bigint, "
+        "snow_sum bigint, snow_n bigint, direction_sum bigint, direction_n bigint, wind_sum decimal(15,2), wind_n bigint"
+    ),
     "gold.dim_city": (
         "city_id bigint, city_name string, region string, lat double, lon double, station_id string"
     ),
@@ -48,6 +53,14 @@ SCHEMAS = {
     ),
 }
 
+# Partitions as expressions over the key.  An accident id starts with the id of its file.
+PARTITIONS = {
+    "silver.weather_clean": "date_format(date, 'yyyy-MM')",
+    "silver.weather_days": "date_format(date, 'yyyy-MM')",
+    "gold.dim_weather": "date_format(date, 'yyyy-MM')",
+    "gold.fact_traffic_accidents": "shiftright(accident_id, 36)",
+}
+
 # How far a raw table has been absorbed; read by the incremental cleaning step.
 PROGRESS = "silver.cleaning_progress"
 PROGRESS_SCHEMA = "source_table string, raw_id bigint"
@@ -67,6 +80,7 @@ UNIQUE_KEYS = {
     "silver.traffic_accident_clean": [["accident_id"]],
     "silver.weather_clean": [["station_id", "date", "time"]],
     "silver.osm_roads_clean": [["road_id"]],
+    "silver.weather_days": [],
     "gold.dim_city": [["city_id"], ["city_name"]],
     "gold.dim_date": [["date_id"]],
     "gold.dim_road": [["road_id"]],
@@ -76,6 +90,7 @@ UNIQUE_KEYS = {
 
 # Columns that must be filled, beyond the primary keys above.
 REQUIRED = {
+    "silver.weather_days": ["station_id", "date"],
     "silver.weather_clean": ["station_id", "date", "time"],
     "gold.dim_weather": ["station_id"],
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +16,7 @@ def land_weather(spark: SparkSession, path: str, table: Table, progress: str) ->
     """Append every response file not landed yet, then stop.
 
     The file source remembers finished files under ``progress``, a shared folder.  A batch repeated after
-    a failure adds the same hours again under new ids, which the silver key ignores.
+    a failure takes the place of what its first attempt wrote.
     """
     station = F.regexp_extract(F.col("_metadata.file_path"), r"station=([^/]+)/", 1)
     files = (
@@ -25,10 +27,12 @@ def land_weather(spark: SparkSession, path: str, table: Table, progress: str) ->
         .select("value", station.alias("station"))
     )
 
-    def append(batch: DataFrame, _: int) -> None:
+    stream = zlib.crc32(progress.encode())
+
+    def append(batch: DataFrame, number: int) -> None:
         hours = explode_hours(batch, "value", "station")
         numbered = spread_ids(hours, "raw_id", after=max_id(table.read(), "raw_id"))
-        table.append(numbered.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
+        table.append(numbered.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")), f"{stream}-{number}")
 
     return (
         files.writeStream.foreachBatch(append)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.operators.keys import dense_ids
+from tarmac.operators.keys import dense_ids, max_id
 from tarmac.operators.merge import first_per_key, insert_only_merge
 from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex, line_shapes, nearest_join, point_shapes
 from tarmac.functions.weather import hour_columns
 from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
 from tarmac.plans import clean, dims, fact
+from tarmac.plans.pipeline import Warehouse
 from tarmac.sources.calendar import date_spine
 from tarmac.session import scratch_path
 from tarmac.sources.landed import road_lines
+from tarmac.sources.tables import Table
 from tarmac.workload.common import (
     CITY_SQL,
     NEAREST_CITY_SQL,
@@ -77,6 +79,37 @@ FROM daily
 """
 
 
+def incremental_daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days from hours that arrive in three loads; each load reads its own hours and adds up their sums."""
+    house = Warehouse(spark, scratch_path(spark, "loads"))
+    raw = weather_raw(spark, sf_dir).withColumn("raw_id", F.col("raw_id") + 1)
+    last = max_id(raw, "raw_id")
+    for low in range(3):
+        own = raw.where((F.col("raw_id") > last * low // 3) & (F.col("raw_id") <= last * (low + 1) // 3))
+        house.table("bronze.meteostat_raw").append(own.withColumn("load_date", F.lit(None).cast("timestamp_ntz")))
+        house.clean_weather()
+    days = dims.weather_of_days(dims.merged_sums(house.table("silver.weather_days").read()))
+    return days.select("station_id", F.col("date").cast("string").alias("date"), *_measures(days))
+
+
+def pruned_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late hours of ten days merged into a month stored by day; of the stored hours only those days are read."""
+    good, _ = clean.clean_weather(weather_raw(spark, sf_dir))
+    table = Table(spark, scratch_path(spark, "hours"), "silver.weather_clean", part="date_format(date, 'yyyy-MM-dd')")
+    keys, order = ["station_id", "date", "time"], [F.col("raw_id")]
+    table.merge(good.where("raw_id % 2 = 0"), keys, order)
+    table.merge(good.where("raw_id % 2 = 1 AND day(date) > 20"), keys, order)
+    hours = table.read()
+    return hours.select("station_id", F.col("date").cast("string").alias("date"), "time", *_measures(hours))
+
+
+PRUNED_MERGE = with_sql(WEATHER_SQL) + f"""
+SELECT station_id, strftime(d, '%Y-%m-%d') AS date, t AS time, {_MEASURES_SQL.format(snow='CAST(snow AS DOUBLE)')}
+FROM (SELECT * FROM hours WHERE station_id IS NOT NULL AND (event_id % 2 = 0 OR day(d) > 20)
+      QUALIFY row_number() OVER (PARTITION BY station_id, d, t ORDER BY event_id % 2, event_id) = 1)
+"""
+
+
 def weather_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = dims.daily_weather(_hours(spark, sf_dir))
     return days.select("station_id", F.col("date").cast("string").alias("date"), "weather_category")
@@ -346,6 +379,8 @@ GROUP BY l_orderkey
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "weather_clean": (weather_clean, WEATHER_CLEAN),
     "daily_weather": (daily_weather, DAILY_WEATHER),
+    "incremental_daily_weather": (incremental_daily_weather, DAILY_WEATHER),
+    "pruned_merge": (pruned_merge, PRUNED_MERGE),
     "weather_category": (weather_category, WEATHER_CATEGORY),
     "dim_weather": (dim_weather, DIM_WEATHER),
     "not_null_violations": (unplaced_hours, UNPLACED_HOURS),

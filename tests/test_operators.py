@@ -107,3 +107,41 @@ def test_table_versions(spark):
     table.replace(table.read())
     table.drop_old_versions(keep=1)
     assert len(table._versions()) == 1 and table.read().count() == 2
+
+
+def test_a_failed_append_is_not_seen(spark):
+    table = Table(spark, scratch_path(spark, "appends"), "silver.t", SCHEMA)
+    table.append(spark.createDataFrame([("a", "1", 1)], SCHEMA))
+    many = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"), F.col("id").cast("int").alias("n"))
+    broken = many.repartition(4).withColumn("n", F.when(F.col("n") == 77, F.raise_error(F.lit("no")).cast("int")).otherwise(F.col("n")))
+    with pytest.raises(Exception):
+        table.append(broken)
+    assert rows(table.read()) == [("a", "1", 1)]
+    table.append(many)
+    assert table.read().count() == 101
+
+
+def test_a_repeated_batch_takes_the_place_of_the_first(spark):
+    table = Table(spark, scratch_path(spark, "repeats"), "silver.t", SCHEMA)
+    table.append(spark.createDataFrame([("a", "1", 1)], SCHEMA), "load-1")
+    table.append(spark.createDataFrame([("b", "1", 1)], SCHEMA))
+    table.append(spark.createDataFrame([("a", "1", 5), ("c", "2", 2)], SCHEMA), "load-1")
+    assert rows(table.read()) == [("a", "1", 5), ("b", "1", 1), ("c", "2", 2)]
+    assert rows(table.read(but="load-1")) == [("b", "1", 1)]
+    assert rows(table.read(batches=["load-1"])) == [("a", "1", 5), ("c", "2", 2)]
+
+
+def test_a_merge_reads_only_the_partitions_of_its_batch(spark):
+    table = Table(spark, scratch_path(spark, "parts"), "silver.t", SCHEMA, part="substr(k, 1, 1)")
+    stored = [(f"{first}{i}", "old", i) for first in "abcdefgh" for i in range(5)]
+    table.merge(spark.createDataFrame(stored, SCHEMA), ["k"], [F.col("n")])
+    late = spark.createDataFrame([("b1", "late", 1), ("b9", "late", 2), ("b9", "later", 3), (None, "x", 4), ("z1", "late", 5)], SCHEMA)
+    added = table.new_rows(late, ["k"], [F.col("n")])
+    text = added._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters"):].split("]")[0]
+    assert "part" in filters and " IN " in filters and "(b,z)" in filters.replace(" ", "").replace("z,b", "b,z")
+    assert rows(added) == [("b9", "late", 2), ("z1", "late", 5)]
+    table.append(added)
+    assert table.read().count() == 42 and table.read(["b"]).count() == 6
+    table.replace(table.read())
+    assert table.read().count() == 42 and table.batches() == ["0"]

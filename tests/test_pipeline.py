@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators.quality import ConstraintError
-from tarmac.plans import clean
+from tarmac.plans import clean, dims
 from tarmac.plans.pipeline import Warehouse
 from tarmac.schemas import SCHEMAS
 from tarmac.session import scratch_path
 from tarmac.sources import geojson
+from tarmac.sources.tables import Table
 from tarmac.streaming.landing import land_weather
 
 GOLD = [n for n in SCHEMAS if not n.startswith("bronze")]
@@ -348,3 +349,86 @@ def test_stream_lands_each_file_once(spark, landed):
         "meteostat_hourly_11518", "meteostat_hourly_D22",
     }
     assert raw.where(F.col("payload").isNull()).isEmpty()
+
+
+def weather_rows(spark, hours):
+    """Bronze rows of (raw_id, day, hour, temperature) at one station."""
+    rows = [(i, json.dumps({"time": f"2024-{d} {h:02}:00:00", "temp": t, "prcp": 0.5, "wdir": 90}), "meteostat_hourly_11518") for i, d, h, t in hours]
+    frame = spark.createDataFrame(rows, "raw_id bigint, payload string, source string")
+    return frame.select("raw_id", F.parse_json("payload").alias("payload"), "source", F.lit(None).cast("timestamp_ntz").alias("load_date"))
+
+
+LOADS = [
+    [(1, "01-31", 1, "1.0"), (2, "01-31", 2, "2.5"), (3, "02-01", 1, "4.0")],
+    [(4, "02-01", 2, "6.0"), (5, "02-01", 1, "99.0"), (6, "03-05", 1, "7.0")],  # one hour repeats
+    [(7, "03-05", 2, "8.0"), (8, "02-01", 3, "5.0")],
+]
+
+
+def test_days_grow_with_each_load(spark):
+    """Sums of days equal those of all hours after every load, and a dimension row stays as it was first built."""
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    for load in LOADS:
+        house.table("bronze.meteostat_raw").append(weather_rows(spark, load))
+        house.clean_weather()
+        house.load_weather_dim()
+        house.load_weather_dim()
+        sums = dims.merged_sums(house.table("silver.weather_days").read())
+        full = dims.weather_sums(house.table("silver.weather_clean").read())
+        assert sorted(dims.weather_of_days(sums).collect()) == sorted(dims.weather_of_days(full).collect())
+    found = {(str(r.date), float(r.temp_c)) for r in house.table("gold.dim_weather").read().collect()}
+    assert found == {("2024-01-31", 1.75), ("2024-02-01", 4.0), ("2024-03-05", 7.0)}
+    ids = sorted(r.weather_id for r in house.table("gold.dim_weather").read().collect())
+    assert ids == [1, 2, 3]
+
+
+def test_a_weather_load_that_fails_half_way_is_repeated(spark, monkeypatch):
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    house.table("bronze.meteostat_raw").append(weather_rows(spark, LOADS[0]))
+    house.clean_weather()
+    for step in ("silver.weather_clean", "silver.weather_quarantine"):
+        house.table("bronze.meteostat_raw").append(weather_rows(spark, LOADS[1 if step.endswith("clean") else 2]))
+        plain = Table.append
+
+        def fail(self, df, batch=None, step=step):
+            if self.name == step:
+                raise RuntimeError("stopped")
+            plain(self, df, batch)
+
+        monkeypatch.setattr(Table, "append", fail)
+        with pytest.raises(RuntimeError):
+            house.clean_weather()
+        monkeypatch.setattr(Table, "append", plain)
+        house.clean_weather()
+    hours = house.table("silver.weather_clean").read()
+    assert hours.count() == 7
+    sums = dims.merged_sums(house.table("silver.weather_days").read())
+    assert sorted(dims.weather_of_days(sums).collect()) == sorted(dims.daily_weather(hours).collect())
+
+
+def test_a_repeated_stream_batch_adds_nothing(spark, landed):
+    """The stream's note of its finished batch is lost, as by a failure after the write."""
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    table, progress = house.table("bronze.meteostat_raw"), landed / "progress"
+    land_weather(spark, str(landed / "weather"), table, str(progress)).awaitTermination()
+    for note in list((progress / "commits").iterdir()):
+        note.unlink()
+    land_weather(spark, str(landed / "weather"), table, str(progress)).awaitTermination()
+    assert table.read().count() == 8
+
+
+def test_the_road_index_follows_the_lines(spark, landed):
+    """It is stored once, made anew when a line is added, and left alone otherwise."""
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    extract = road_extract(spark)
+    house.ingest_roads(extract.limit(1))
+    house.clean_roads()
+    first = house._road_pages()._versions()
+    house.clean_roads()
+    assert house._road_pages()._versions() == first
+    house.ingest_roads(extract)
+    house.clean_roads()
+    assert house._road_pages()._versions() != first
+    lines = {r.road_id for r in house.table("silver.osm_roads_clean").read().collect()}
+    indexed = {i for r in house.road_index().pages.select("own").collect() for i in r.own}
+    assert indexed == lines and len(lines) > 1
