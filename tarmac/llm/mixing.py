@@ -3,9 +3,9 @@
 Every document of a source is expected to appear ``target / source size`` times.  Documents are ordered by size
 within their source; the prefix sums of the expected copies, moved by one random offset per source, cross integers,
 and a document is taken once per integer crossed.  Since neighbours in that order are of like size, the words taken
-stay close to the target; of a few random offsets the one that comes closest is used, which matters where a source has
-few documents.  The order is numbered by range partitions and their counts, so a source with a third
-of all rows is spread like any other.
+stay close to the target.  Documents of more than 1/64 of their source's words, at most 64 of them, are taken first; the
+expected copies of the others are such that the source still expects its target.  The order is numbered by range partitions
+and their counts, so a source with a third of all rows is spread like any other.
 
 Defined cases: a null text has size 0; null is a source of its own and comes last; a source without words has
 target 0 and takes nothing; ids may repeat or be null (rows that are equal in all columns share their copies).
@@ -21,7 +21,7 @@ from tarmac.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _OFFSET_STEPS = 1 << 20  # offsets are multiples of 2^-20, so adding one to a whole number is exact
-_OFFSETS = 32  # tried per source
+_HEAVY = 64  # documents above this part of their source's words go first
 _SALTS = 32
 _WIDE = "decimal(38,0)"
 
@@ -68,29 +68,37 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
 
 
 def plan_mix(
-    docs: DataFrame, keys: list[str], weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
+    docs: DataFrame, keys: list[str], weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 0
 ) -> DataFrame:
     """``keys`` of each row of ``docs`` with ``source, size, source_size, target`` and ``copies``.
 
     ``docs`` has ``source``, ``size`` and the ``keys`` that also order documents of one size; rows with equal
-    keys are interchangeable.
+    keys are interchangeable.  ``seed`` chooses the random offset of each source.
     """
     light = cut_lineage(docs.select("source", "size", *keys))
     sizes = light.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     order = [F.col("source").asc_nulls_last(), F.col("size"), *[F.col(k).asc_nulls_last() for k in keys]]
     ordered = dense_ids(light, order, "position", start=0)
-    first = ordered.groupBy("source").agg(F.min("position").alias("first"))
+    ends = ordered.groupBy("source").agg(F.min("position").alias("first"), F.max("position").alias("last"))
     sources = source_targets(sizes, weights, cap)
-    of_source = sources.join(first.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    of_source = cut_lineage(of_source.withColumnRenamed("source", "s"))  # one row per source
-    tries = _crossed(_with_sources(ordered, of_source).withColumn("try", F.explode(F.expr(f"sequence(0, {_OFFSETS - 1})"))))
-    words = tries.groupBy("s", "target", "try").agg(F.sum(F.col("size") * F.least("crossed", F.lit(cap))).alias("words"))
-    closest = words.groupBy("s").agg(F.min(F.struct(F.abs(F.col("words") - F.col("target")), "try")).alias("best"))
-    chosen = closest.select(F.col("s").alias("c"), F.col("best.try"))
-    of_source = of_source.join(chosen, F.col("s").eqNullSafe(F.col("c"))).drop("c")
-    return _crossed(_with_sources(ordered, of_source)).select(
-        *keys, "source", "size", "source_size", "target", F.least("crossed", F.lit(cap)).cast("bigint").alias("copies")
+    offset = F.pmod((F.col("place") + 1) * 668265263 + seed * 374761393, F.lit(_OFFSET_STEPS)) / F.lit(float(_OFFSET_STEPS))
+    even = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    of_source = sources.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    of_source = of_source.withColumns({"offset": offset, "expected": even}).withColumnRenamed("source", "s")
+    of_source = cut_lineage(of_source)  # one row per source
+    heavy = F.col("size") * _HEAVY > F.col("source_size")
+    rows = _with_sources(ordered, of_source)
+    by_heavy = _crossed(F.col("last") - F.col("position"), F.col("expected"))  # the largest first
+    words = rows.groupBy("s").agg(
+        F.coalesce(F.sum(F.when(heavy, F.col("size") * F.least(by_heavy, F.lit(cap)))), F.lit(0)).alias("taken"),
+        F.coalesce(F.sum(F.when(~heavy, F.col("size"))), F.lit(0)).alias("light"),
     )
+    rest = F.when(F.col("light") > 0, (F.col("target") - F.col("taken")) / F.col("light")).otherwise(F.lit(0.0))
+    of_source = of_source.join(words.withColumnRenamed("s", "w"), F.col("s").eqNullSafe(F.col("w"))).drop("w")
+    of_source = of_source.withColumn("rest", F.least(F.lit(float(cap)), F.greatest(F.lit(0.0), rest)))
+    by_light = _crossed(F.col("position") - F.col("first"), F.col("rest"))
+    copies = F.least(F.when(heavy, by_heavy).otherwise(by_light), F.lit(cap)).cast("bigint")
+    return _with_sources(ordered, of_source).select(*keys, "source", "size", "source_size", "target", copies.alias("copies"))
 
 
 def _with_sources(ordered: DataFrame, of_source: DataFrame) -> DataFrame:
@@ -100,13 +108,10 @@ def _with_sources(ordered: DataFrame, of_source: DataFrame) -> DataFrame:
     return ordered.join(salted, same)
 
 
-def _crossed(rows: DataFrame) -> DataFrame:
-    """``crossed``: integers between the prefix sums before and after each row, moved by the offset of ``try``."""
-    moved = F.col("place") * 668265263 + 7 + F.col("try") * (_OFFSET_STEPS // _OFFSETS)
-    offset = F.pmod(moved, F.lit(_OFFSET_STEPS)) / F.lit(float(_OFFSET_STEPS))
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    index = F.col("position") - F.col("first")
-    return rows.withColumn("crossed", F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset))
+def _crossed(index: Column, expected: Column) -> Column:
+    """Integers between the prefix sums of expected copies before and after a row, moved by the source's offset."""
+    offset = F.col("offset")
+    return F.floor((index + 1) * expected + offset) - F.floor(index * expected + offset)
 
 
 def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
