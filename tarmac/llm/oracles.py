@@ -55,20 +55,24 @@ WITH sized AS (
   SELECT source, s, place, CASE WHEN full_ THEN (3 * s)::DOUBLE ELSE (w * num)::DOUBLE / den::DOUBLE END AS target
   FROM capped, level
 ), numbered AS (
-  SELECT sized.*, s, target, place,
+  SELECT sized.*, s, target, place, size * 64 > s AS heavy,
+         ((place + 1) * 668265263 % 1048576) / 1048576.0::DOUBLE AS u,
          CASE WHEN s > 0 THEN target / s::DOUBLE ELSE 0::DOUBLE END AS e,
-         row_number() OVER (PARTITION BY sized.source ORDER BY size, doc_id NULLS LAST) - 1 AS i
+         row_number() OVER (PARTITION BY sized.source ORDER BY size, doc_id NULLS LAST) - 1 AS i,
+         count(*) OVER (PARTITION BY sized.source) AS n
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
-), tried AS (
-  SELECT *, (size * least(3, floor((i + 1) * e + u) - floor(i * e + u)))::BIGINT AS taken
-  FROM (SELECT *, ((place * 668265263 + 7 + try * 32768) % 1048576) / 1048576.0::DOUBLE AS u
-        FROM numbered, (SELECT unnest(range(32)) AS try))
-), closest AS (
-  SELECT place, arg_min(try, (off, try)) AS try
-  FROM (SELECT place, try, abs(sum(taken)::DOUBLE - any_value(target)) AS off FROM tried GROUP BY place, try)
-  GROUP BY place
+), first_ AS (
+  SELECT *, (size * least(3, floor((n - i) * e + u) - floor((n - 1 - i) * e + u)))::BIGINT AS taken_first FROM numbered
+), rest AS (
+  SELECT place, coalesce(sum(taken_first) FILTER (heavy), 0) AS taken_, coalesce(sum(size) FILTER (NOT heavy), 0) AS light
+  FROM first_ GROUP BY place
+), shares AS (
+  SELECT first_.*, CASE WHEN light > 0 THEN least(3::DOUBLE, greatest(0::DOUBLE, (target - taken_::DOUBLE) / light::DOUBLE)) ELSE 0::DOUBLE END AS r
+  FROM first_ JOIN rest USING (place)
 )
-SELECT doc_id, size, s::BIGINT AS source_size, target, taken FROM tried JOIN closest USING (place, try)
+SELECT doc_id, size, s::BIGINT AS source_size, target,
+       CASE WHEN heavy THEN taken_first ELSE (size * least(3, floor((i + 1) * r + u) - floor(i * r + u)))::BIGINT END AS taken
+FROM shares
 """
 
 
@@ -82,36 +86,36 @@ def _spans_sql() -> str:
     letters = "list_transform(string_split(substr(m, 5) || substr(m, 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)"
     mod97 = f"list_reduce(list_prepend(0, {letters}), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"
     kinds = [
-        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 60, "mail|contact|write|reach"),
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 60, "e-?mail|mail|contact|write|reach|kontakt|schreiben|courriel|contacter|correo|escribir"),
         (
             "ip",
             r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
             "list_bool_and(list_transform(string_split(m, '.'), lambda p: length(ltrim(p, '0')) <= 3 AND ('0' || right(p, 3))::INT <= 255))",
             50,
-            "ip|host|server|address|login",
+            "ip|host|server|address|login|adresse|rechner|serveur|servidor|direccion",
         ),
         (
             "card",
             r"[0-9](?:[\x20-]?[0-9])+",
             f"CASE WHEN length({digits}) BETWEEN 16 AND 19 THEN {luhn} ELSE false END",
             70,
-            "card|visa|payment|credit|pay",
+            "card|visa|payment|credit|pay|karte|kreditkarte|zahlung|carte|paiement|tarjeta|pago",
         ),
-        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 8 AND 15", 50, "phone|call|tel|mobile|fax"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 8 AND 15", 50, "phone|call|tel|mobile|fax|telefon|anruf|telephone|appeler|telefono|llamar|movil"),
         (
             "iban",
             "[A-Za-z0-9]{15,}",
             f"CASE WHEN regexp_full_match(m, '[A-Z][A-Z][0-9][0-9][A-Z0-9]+') AND length(m) <= 34 THEN {mod97} ELSE false END",
             60,
-            "iban|account|bank|transfer",
+            "iban|account|bank|transfer|konto|compte|banque|virement|cuenta|banco|transferencia",
         ),
-        ("ssn", "[0-9][0-9-]*", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')", 30, "ssn|social security|tax id"),
+        ("ssn", "[0-9][0-9-]*", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')", 30, "ssn|social security|tax id|steuernummer|securite sociale|seguridad social"),
     ]
     parts = []
     for order, (kind, pattern, check, score, words) in enumerate(kinds):
         parts.append(f"""
   SELECT doc_id, {order} AS kind_order, '{kind}' AS kind, place AS start_, place + length(m) AS end_,
-         CASE WHEN regexp_matches(lower(substr(text, greatest(1, place + 1 - 40), least(40, place))), '{words}')
+         CASE WHEN regexp_matches(substr(text, greatest(1, place + 1 - 40), least(40, place)), '(?i)(?:^|[^a-z])(?:{words})(?:[^a-z]|$)')
               THEN least(100, {score} + 30) ELSE {score} END AS score
   FROM (
     SELECT doc_id, text, m, {digits} AS d,
