@@ -78,7 +78,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, text: str = "text", key:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, text: str = "text", **options) -> None:
-    """Write the rows of ``docs`` as Parquet folders ``shard=<n>`` by the same assignment."""
+    """Write the rows of ``docs`` as Parquet folders ``shard=<n>`` by the same assignment.
+
+    A column ``shard`` of ``docs`` is replaced.
+    """
+    docs = docs.drop("shard")
     plain, names = numbered(docs)
     body = F.col(names[text])
     hashed = plain.withColumns(

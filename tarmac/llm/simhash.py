@@ -114,9 +114,10 @@ def _links(prints: DataFrame) -> DataFrame:
 def near_duplicates(prints: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``prints`` (``key``, ``fp``, other columns) with ``component_id``, the smallest ``key`` reachable.
 
-    ``root``, a fingerprint of the component, names it even where all keys are null.
+    ``root``, a fingerprint of the component, names it even where all keys are null.  Columns of ``prints`` with these
+    names are replaced.
     """
-    prints = cut_lineage(prints)
+    prints = cut_lineage(prints.drop("root", "component_id"))
     firsts = cut_lineage(prints.groupBy("fp").agg(F.min(key).alias("first")))
     parts = cut_lineage(components(_links(firsts.select("fp"))).withColumnRenamed("node", "fp"))
     of_root = parts.join(firsts, "fp").groupBy("root").agg(F.min("first").alias("component_id"))

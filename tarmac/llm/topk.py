@@ -123,6 +123,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block_rows: int = B
         return pa.table([pa.array(c, pa.int64()) for c in out], names=names)
 
     found = rows.groupBy(*cells).cogroup(asked.groupBy(*cells)).applyInArrow(search, schema)
+    found = cut_lineage(found)  # else the search would not be given columns that nobody asks the ranks for
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

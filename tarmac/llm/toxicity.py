@@ -115,13 +115,15 @@ class ToxicityModel:
 
     def add_scores(self, docs: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
         """``docs`` with ``score``, which replaces a column of that name."""
+        docs = docs.drop(score) if score != text else docs
         if self.trees is None:
             return docs.withColumn(score, F.lit(0.0))
-        margins = _add_margins(_add_features(docs, text, self.lexicon), self.trees)
+        plain, names = numbered(docs)
+        margins = _add_margins(_add_features(plain, names[text], self.lexicon), self.trees)
         scored = self.calibration.transform(margins) if self.calibration else margins.withColumn("_tox_score", F.lit(0.0))
         value = F.round(F.least(F.greatest("_tox_score", F.lit(0.0)), F.lit(1.0)), 6)
         kept = [c for c in docs.columns if c != score]
-        return scored.select(*kept, value.alias(score))
+        return scored.select(*[F.col(names[c]).alias(c) for c in kept], value.alias(score))
 
 
 def _add_features(docs: DataFrame, text: str, lexicon: dict[str, float]) -> DataFrame:
