@@ -36,8 +36,6 @@ from tarmac.sources import geojson, landed
 from tarmac.sources.calendar import date_spine, year_file_paths
 from tarmac.sources.tables import Table
 
-DOCUMENT_LIMIT = 512 << 20  # bytes one task may read as a single document
-
 
 def _without_scheme(path: Column) -> Column:
     """Scans write the scheme and the slashes after it in different ways."""
@@ -68,17 +66,9 @@ class Warehouse:
 
     # ------------------------------------------------------------------------------- ingest
 
-    def ingest_accidents(
-        self,
-        paths: list[str],
-        layout: str = "document",
-        opening: str | None = None,
-        allow_reload: bool = False,
-    ) -> None:
-        """Land accident files: one row per file, one row per feature.
+    def ingest_accidents(self, paths: list[str], allow_reload: bool = False) -> None:
+        """Land accident files: one row per file, one row per feature, each file read by as many tasks as it has blocks.
 
-        ``layout`` is ``document`` for any JSON value, read by one task per file, or ``split`` for files
-        read by many tasks: one feature per line, or each feature starting with the text ``opening``.
         A file's stem is its identity: a known one is left out, and two files of one call must not share it.
         """
         files, features = (
@@ -88,7 +78,6 @@ class Warehouse:
         listed = self.spark.read.format("binaryFile").load(paths).select(
             F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("source"),
             "path",
-            "length",
         )
         known = files.read()
         fresh = listed if allow_reload else unseen_sources(listed, known)
@@ -96,18 +85,10 @@ class Warehouse:
         last = max(max_id(known, "raw_id"), max_id(features.read(), "raw_id"))
         require_empty(pk_violations(fresh, ["source"]), "several files of one name")
         loads = cut_lineage(dense_ids(fresh, ["source"], "raw_id", start=last + 1))
-        # names and sizes only; one entry per file
-        found_files = list(loads.select("path", "length").toLocalIterator())
-        todo = [row.path for row in found_files]
+        todo = [row.path for row in loads.select("path").toLocalIterator()]  # names only
         if not todo:
             return
-        large = [row.path for row in found_files if row.length > DOCUMENT_LIMIT]
-        if large and layout == "document":
-            raise ValueError(f"too large for one task, use layout='split': {large}")
-        if layout == "split":
-            found = geojson.split_features(self.spark, todo, opening)
-        else:
-            found = geojson.document_features(self.spark, todo)
+        found = geojson.split_features(self.spark, todo)
         # features first: without its file row, no feature is ever read
         ids = loads.select("raw_id", _without_scheme(F.col("path")).alias("file"))
         # one row per file: broadcast while they are few, so that features stay where they were read

@@ -1,19 +1,17 @@
 """Accident GeoJSON scans.
 
-A document is one JSON value, so one task has to read it.  ``document_features`` does that and spreads
-the features at once.  Large exports keep one feature per line, or start every feature with the same
-text; ``split_features`` lets many tasks read one such file and stops at any other layout.  Both number features
-by their position among all elements of the array.
+``document_features`` parses a document, one JSON value, in one task and spreads the features at once.
+``split_features`` lets many tasks read one file, whatever its layout.  Both number features by their position among all
+elements of the array.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.functions.payload import is_object
-from tarmac.session import cut_lineage
+from tarmac.sources.json_blocks import array_elements
 
-FEW_FILES = 100_000  # two positions per file are sent to every task while there are no more
 _FEATURES = "features array<variant>"
 
 
@@ -45,83 +43,13 @@ def document_features(spark: SparkSession, paths: list[str]) -> DataFrame:
     return explode_features(documents, "document", "path").hint("rebalance")
 
 
-_HEAD = r'"features"\s*:\s*\[$'
-_NO_FEATURES = r'"features"\s*:\s*(\[\s*\]|null)'
+def split_features(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, ordinal, payload`` of files of any layout, each read by as many tasks as it has blocks.
 
-
-def _texts(spark: SparkSession, paths: list[str], opening: str | None) -> DataFrame:
-    """Every text of the files, read in splits, with its place and what it is; blank ones are left out.
-
-    Without ``opening`` a text is a line.  With it, a text is what lies between two occurrences of that
-    string, the way one-line documents start every feature, and the string is put back in front.
+    An element that does not parse stops the job, so no feature is ever passed over.
     """
-    reader = spark.read.option("lineSep", opening) if opening else spark.read
-    raw = F.btrim(F.col("value"), F.lit(" \t\r\n"))
-    body = F.rtrim(raw, F.lit(","))
-    found = reader.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        raw.alias("raw"),
-        body.alias("text"),
-    ).where(F.col("raw") != "")
-    # written once: the passes below must see the same places
-    found = cut_lineage(found.withColumn("place", F.monotonically_increasing_id()))
-    return found.select(
-        "path", "block", "place",
-        F.concat(F.lit(opening), "text").alias("text") if opening else F.col("text"),
-        F.col("text").rlike(_HEAD).alias("head"),
-        F.col("raw").rlike(_NO_FEATURES).alias("none"),
-        F.lit(False).alias("tail") if opening else F.col("raw").startswith("]").alias("tail"),
-    )
-
-
-def _element(text: Column, path: Column) -> Column:
-    """An element of the feature array as VARIANT; text that does not parse stops the job."""
-    # the last text of a one-line document carries the document's end
-    closed = F.regexp_replace(text, r"\](\s*,[^\[\]]*)?\s*\}\s*\]?$", "")
-    payload = F.coalesce(F.try_parse_json(text), F.try_parse_json(closed))
-    broken = F.raise_error(F.concat(F.lit("unreadable feature in "), path)).cast("variant")
-    return F.coalesce(payload, broken)
-
-
-def split_features(spark: SparkSession, paths: list[str], opening: str | None = None) -> DataFrame:
-    """``path, ordinal, payload`` of files whose features many tasks read at once.
-
-    Features are the texts between the one that opens the feature array and the one that closes it; each has to
-    be a JSON value of its own.  A file laid out otherwise stops the job, so no feature is ever passed over.
-    Elements are numbered by position: counts per file block and their prefix sums, as in the document scan.
-    """
-    texts = _texts(spark, paths, opening)
-    whole = F.col("path")
-    # one row per file
-    bounds = texts.groupBy("path").agg(
-        F.min(F.when(F.col("head"), F.struct("block", "place"))).alias("first"),
-        F.max("none").alias("none"),
-    )
-    closing = texts.where("tail").join(bounds.select("path", "first"), "path").where(
-        F.struct("block", "place") > F.col("first")
-    ).groupBy("path").agg(F.min(F.struct("block", "place")).alias("last"))
-    unknown = F.raise_error(F.concat(F.lit("no feature array that can be split in "), whole))
-    bounds = bounds.join(closing, "path", "left").select(
-        "path",
-        F.when(F.col("first").isNotNull() | F.col("none"), F.col("first")).otherwise(unknown).alias("first"),
-        "last",
-    )
-    if len(paths) <= FEW_FILES:
-        bounds = F.broadcast(bounds)
-    at = F.struct("block", "place")
-    held = (at > F.col("first")) & (F.col("last").isNull() | (at < F.col("last")))
-    inside = texts.join(bounds, "path").select(
-        "path", "block", "place", "text", F.coalesce(held, F.lit(False)).alias("held")
+    broken = F.raise_error(F.concat(F.lit("unreadable feature in "), F.col("path"))).cast("variant")
+    payload = F.coalesce(F.try_parse_json("text"), broken)
+    return array_elements(spark, paths, "features").select("path", "ordinal", payload.alias("payload")).where(
+        is_object(F.col("payload"))
     )
-    # one row per file block; within it, the places of elements have no gaps
-    blocks = inside.where("held").groupBy("path", "block").agg(F.count("*").alias("n"), F.min("place").alias("low"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")
-    shifts = blocks.select("path", "block", shift.alias("shift"))
-    # only what is held is parsed: the optimizer may move a filter on the payload ahead of one on the place
-    return inside.join(shifts, ["path", "block"]).select(
-        "path",
-        (F.col("shift") + F.col("place")).cast("bigint").alias("ordinal"),
-        F.when(F.col("held"), _element(F.col("text"), whole)).alias("payload"),
-    ).where(is_object(F.col("payload")))

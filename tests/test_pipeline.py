@@ -183,39 +183,35 @@ def _written(features, style):
     return json.dumps(document)
 
 
-OPENING = '{"type": "Feature", '
-STYLES = [("line per feature", None), ("one line", OPENING), ("one line, members after", OPENING)]
-
-
-@pytest.mark.parametrize("style,opening", STYLES)
-def test_split_layout_equals_document_layout(spark, landed, style, opening):
+@pytest.mark.parametrize("style", ["line per feature", "one line", "one line, members after"])
+def test_a_file_read_by_many_tasks(spark, landed, style):
     folder = landed / "large"
     folder.mkdir()
     features = [feature(i / 10, 1.0, damage=i, pricina="a, [b] }") for i in range(2000)]
     path = folder / "nehody_202401-202412.geojson"
     path.write_text(_written(features, style))
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    found = {}
-    for layout in ("document", "split"):
-        house = Warehouse(spark, scratch_path(spark, layout))
-        if layout == "split":
-            spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")  # many tasks read the one file
+    found = []
+    for size in (split, "40000"):
+        house = Warehouse(spark, scratch_path(spark, "house"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         try:
-            house.ingest_accidents([str(path)], layout=layout, opening=opening)
+            house.ingest_accidents([str(path)])
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         house.clean_accidents()
-        found[layout] = content(house, "silver.traffic_accident_clean")
-    assert len(found["split"]) == 2000
-    assert found["split"] == found["document"]
+        found.append(content(house, "silver.traffic_accident_clean"))
+    assert len(found[0]) == 2000 and found[0] == found[1]
+    assert sorted(r.total_damage for r in house.table("silver.traffic_accident_clean").read().collect()) == list(range(2000))
 
 
-def test_broken_feature_stops_the_load(spark, landed):
+@pytest.mark.parametrize("end", ['{"properties": {"a": 1}, "geometry": \n]}\n', '{"a": 1}', '{"a": 1},', '{"a": "b', '{"a": [1}]}', '{"a" 1}]}'])
+def test_broken_feature_stops_the_load(spark, landed, end):
     path = landed / "broken.geojson"
-    path.write_text('{"features": [\n{"properties": {"a": 1}},\n{"properties": {"a": 1}, "geometry": \n]}\n')
+    path.write_text('{"features": [\n{"properties": {"a": 1}},\n' + end)
     house = Warehouse(spark, scratch_path(spark, "house"))
-    with pytest.raises(Exception, match="unreadable feature in .*broken"):
-        house.ingest_accidents([str(path)], layout="split")
+    with pytest.raises(Exception, match="un(readable feature|finished array) in .*broken"):
+        house.ingest_accidents([str(path)])
     assert house.table("bronze.traffic_accidents_raw").read().isEmpty()
     assert house.table("bronze.traffic_accident_features").read().isEmpty()
 
@@ -247,17 +243,31 @@ def test_split_scan_gives_the_rows_and_places_of_the_document_scan(spark, tmp_pa
     assert rows(geojson.split_features(spark, [str(path)])) == whole
 
 
-@pytest.mark.parametrize("content", [
-    json.dumps({"features": ODD}, indent=1),
-    json.dumps({"features": ODD}),
-    json.dumps(ODD),
-    '{"features": [\n{"id": 1},\n{"id": \n2}\n]}',
-])
-def test_split_scan_refuses_other_layouts(spark, tmp_path, content):
-    path = tmp_path / "other.geojson"
-    path.write_text(content)
-    with pytest.raises(Exception, match="other.geojson"):
-        geojson.split_features(spark, [str(path)]).collect()
+WRAPPED = [{"a": {"features": [1]}, "features": ODD, "b": [[1], {"features": [2]}]}, {"features": [{"second": 1}]}]
+
+
+@pytest.mark.parametrize("size", ["64", "301", "128m"])
+def test_split_scan_of_any_layout(spark, tmp_path, size):
+    """Same rows and places as the document scan, however the file is laid out and cut into blocks."""
+    contents = [
+        json.dumps({"features": ODD}, indent=1), json.dumps({"features": ODD}), json.dumps(ODD), json.dumps(WRAPPED, indent=2),
+        json.dumps(WRAPPED, ensure_ascii=False), '{"features": [\n{"id": 1},\n{"id": \n2}\n]}', '{"features": null, "a": [1, {"b": 2}]}',
+        '{"bbox": [1, 2, 3], "name": "features\\\\", "x\\"": "}{[", "features" : [ {"t": "a\\"}, {"} ] , "z": [{"q": 1}, 2]}', "[]", '"features"',
+        '{"a": "features", "b": ["features", {"features": [{"no": 1}]}]}', '{"features": {"features": [{"no": 1}]}}',
+    ]
+    for i, text in enumerate(contents):
+        (tmp_path / f"f{i}.geojson").write_text(text)
+    paths = [str(tmp_path / f"f{i}.geojson") for i in range(len(contents))]
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got, want = (
+            sorted((r.path, r.ordinal, str(r.payload)) for r in scan(spark, paths).collect())
+            for scan in (geojson.split_features, geojson.document_features)
+        )
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert got == want and len(want) == 19
 
 
 def test_split_scan_of_no_features(spark, tmp_path):
@@ -308,15 +318,6 @@ def test_repeated_ways_leave_the_old_ones(spark, landed):
     assert house.table("bronze.osm_ways").read().count() == 3
 
 
-def test_large_documents_are_refused(spark, landed, monkeypatch):
-    monkeypatch.setattr("tarmac.plans.pipeline.DOCUMENT_LIMIT", 10)
-    house = Warehouse(spark, scratch_path(spark, "house"))
-    path = str(landed / "accidents" / "nehody_202401-202412.geojson")
-    with pytest.raises(ValueError, match="split"):
-        house.ingest_accidents([path])
-    assert house.table("bronze.traffic_accidents_raw").read().isEmpty()
-
-
 def test_year_files_are_read_by_name(spark, landed):
     house = Warehouse(spark, scratch_path(spark, "house"))
     house.ingest_accident_years(str(landed / "accidents"), dt.date(2025, 6, 1))
