@@ -44,8 +44,9 @@ def plain(text):
         known = next(k for k in pii.KINDS if k.name == kind)
         for m in re.finditer(pattern, text):
             if check(m.group()):
-                near = text[max(0, m.start() - pii.NEARBY) : m.start()].lower()
-                score = min(100, known.score + pii.WORD_BONUS * bool(re.search(known.words, near)))
+                near = text[max(0, m.start() - pii.NEARBY) : m.start()]
+                word = re.search(rf"(?:^|[^a-z])(?:{known.words})(?:[^a-z]|$)", near, re.I | re.A)
+                score = min(100, known.score + pii.WORD_BONUS * bool(word))
                 if known.base or score >= pii.LEAST_SCORE:
                     out.append((kind, m.start(), m.end(), score))
     return out
@@ -86,6 +87,27 @@ def test_redaction(make_docs):
     assert {r.spans for r in out.collect()} == {"clash"}
 
 
+def test_many_spans(make_docs):
+    """More spans than one block holds, some within others, with text between; places and redaction as of a plain search."""
+    parts = [f"é{i} a{i}@b.c, +4111111111111{i:05} 4111 1111 1111 1111 1.2.3.{i % 300}" for i in range(700)]
+    text = " mail ".join(parts)
+    docs = make_docs([(1, text), (2, "x"), (3, None)])
+    assert dict(spans(docs))[text] == plain(text)
+    out, at = [], 0
+    for kind, start, end, _ in sorted(plain(text), key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+            at = end
+    redacted = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert redacted == {1: "".join(out) + text[at:], 2: "x", 3: None}
+
+
+def test_words_nearby_count_whole(make_docs):
+    texts = ["shipping 1.2.3.4", "ip 1.2.3.4", "IP: 1.2.3.4", "adresse 1.2.3.4", "tarjeta 4111 1111 1111 1111"]
+    found = {t: [s[3] for s in f] for t, f in spans(make_docs(list(enumerate(texts))))}
+    assert [found[t] for t in texts] == [[50], [80], [80], [80], [100]]
+
+
 def test_empty(make_docs):
     assert pii.find_spans(make_docs([])).count() == 0
     assert pii.redact(make_docs([])).count() == 0

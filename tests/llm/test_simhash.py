@@ -82,6 +82,10 @@ def test_nulls_repeats_and_clashing_names(make_docs):
         (False, 3, True, 3), (False, 3, True, 3), (False, 5, False, 5), (False, 7, True, 3), (False, 9, False, 9),
         (True, 0, False, 5), (True, 0, True, 3),
     ]
+    named = simhash.add_fingerprints(docs.select("doc_id", "text")).withColumns({c: F.lit(9) for c in ("root", "first", "component_id", "node")})
+    again = simhash.near_duplicates(named).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.fp == 0, r.component_id) for r in again) == parts
+    assert {(r.first, r.node) for r in again} == {(9, 9)}
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.component_id, r._hash) for r in kept.collect()) == [(3, 1, 2), (5, 1, 2), (9, 1, 2)]

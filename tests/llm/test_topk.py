@@ -69,6 +69,15 @@ def test_large_components(spark):
         search(spark, [(0, [1e30]), (1, [1e30])])
 
 
+def test_any_columns_of_the_result(spark):
+    """Counting or taking one column asks the search for less than its result."""
+    rows = [(i, [float(i % 7), 1.0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = topk.top_k(df.select(F.col("vec_id").alias("id"), topk.scaled(F.col("embedding")).alias("vector")), F.col("id") % 100 == 0)
+    assert found.count() == 30
+    assert sorted(r["rank"] for r in found.select("rank").collect()) == sorted(list(range(1, 11)) * 3)
+
+
 def test_no_rows_and_no_queries(spark):
     assert search(spark, []) == []
     assert search(spark, [(1, [1.0]), (2, [2.0])]) == []
