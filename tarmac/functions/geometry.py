@@ -26,6 +26,75 @@ def line_points(wkt: Column) -> Column:
     return F.get(F.transform(F.array(F.transform(F.split(body, ","), vertex)), sound), F.lit(0))
 
 
+# Well-known binary of a line: byte order, type, number of vertices, then two doubles per vertex.
+_HEADER, _VERTEX, _LINE_TYPE = 9, 16, "00000002"
+
+
+def _digits(wkb: Column, start: Column | int, size: int) -> Column:
+    """Hex digits of a number in the bytes from ``start`` (0 is the first), most significant byte first."""
+    raw = F.hex(F.substr(wkb, F.lit(start) + 1, F.lit(size)))
+    turned = F.concat(*[F.substr(raw, F.lit(2 * i + 1), F.lit(2)) for i in reversed(range(size))])
+    return F.when(F.hex(F.substr(wkb, F.lit(1), F.lit(1))) == "01", turned).otherwise(raw)
+
+
+def _number(digits: Column) -> Column:
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def _double(digits: Column) -> Column:
+    """IEEE 754 double of 16 hex digits; infinities and NaN give NULL."""
+    high, low = _number(F.substr(digits, F.lit(1), F.lit(8))), _number(F.substr(digits, F.lit(9), F.lit(8)))
+    exponent = F.shiftright(high, 20).bitwiseAND(F.lit(2047))
+    fraction = (F.shiftleft(high.bitwiseAND(F.lit(0xFFFFF)), 32) + low).cast("double")
+    sign = F.when(F.shiftright(high, 31) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
+    normal = (fraction / F.lit(2.0**52) + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
+    tiny = fraction / F.lit(2.0**52) * F.lit(2.0**-1022)
+    return F.when(exponent < 2047, sign * F.when(exponent == 0, tiny).otherwise(normal))
+
+
+def wkb_points(wkb: Column) -> Column:
+    """Vertices of a WKB line of either byte order; other types, lengths or numbers give NULL."""
+    order = F.hex(F.substr(wkb, F.lit(1), F.lit(1)))
+    count = _number(_digits(wkb, 5, 4))
+    sound = order.isin("00", "01") & (_digits(wkb, 1, 4) == _LINE_TYPE) & (F.octet_length(wkb) == count * _VERTEX + _HEADER) & (count > 0)
+
+    def vertex(i: Column) -> Column:
+        at = i * _VERTEX + _HEADER
+        return F.struct(_double(_digits(wkb, at, 8)).alias("lon"), _double(_digits(wkb, at + 8, 8)).alias("lat"))
+
+    points = F.transform(F.sequence(F.lit(0), count.cast("int") - 1), vertex)
+    whole = F.transform(F.array(points), lambda p: F.when(~F.exists(p, lambda v: v["lon"].isNull() | v["lat"].isNull()), p))
+    return F.when(sound, F.get(whole, F.lit(0)))
+
+
+def _bits(value: Column) -> Column:
+    """The 16 hex digits of a finite double."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")  # may be one off beside a power of two
+    guess = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
+    exponent = F.greatest(guess, F.lit(-1022.0))
+    tiny = size < F.lit(2.0**-1022)
+    scaled = size / F.pow(F.lit(2.0), exponent)
+    fraction = ((scaled - F.when(tiny, F.lit(0.0)).otherwise(F.lit(1.0))) * F.lit(2.0**52)).cast("bigint")
+    number = F.shiftleft(F.when(tiny, F.lit(0)).otherwise((exponent + 1023).cast("bigint")), 52) + fraction
+    signed = F.when((value < 0) | (value.cast("string") == "-0.0"), number.bitwiseOR(F.lit(-(1 << 63)))).otherwise(number)
+    return F.lpad(F.hex(F.when(size == 0, F.when(value.cast("string") == "-0.0", F.lit(-(1 << 63))).otherwise(F.lit(0).cast("bigint"))).otherwise(signed)), 16, "0")
+
+
+def to_wkb(points: Column, little: Column) -> Column:
+    """WKB of a line, in little or big byte order."""
+
+    def ordered(digits: Column, size: int) -> Column:
+        turned = F.concat(*[F.substr(digits, F.lit(2 * i + 1), F.lit(2)) for i in reversed(range(size))])
+        return F.when(little, turned).otherwise(digits)
+
+    head = F.concat(
+        F.when(little, "01").otherwise("00"), ordered(F.lit(_LINE_TYPE), 4), ordered(F.lpad(F.hex(F.size(points).cast("bigint")), 8, "0"), 4)
+    )
+    body = F.transform(points, lambda p: F.concat(ordered(_bits(p["lon"]), 8), ordered(_bits(p["lat"]), 8)))
+    return F.unhex(F.concat(head, F.array_join(body, "")))
+
+
 def is_line(points: Column) -> Column:
     """A storable line has at least two vertices."""
     return F.coalesce(F.size(points) >= 2, F.lit(False))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarmac.functions.geometry import line_points
+from tarmac.functions.geometry import line_points, wkb_points
 from tarmac.functions.roads import tag_map
 from tarmac.functions.weather import SOURCE_PREFIX
 
@@ -43,13 +43,13 @@ def weather_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def road_lines(extract: DataFrame) -> DataFrame:
-    """Highway lines of an extract with ``osm_id``, ``highway``, ``wkt`` and ``all_tags`` text.
+    """Highway lines of an extract with ``osm_id``, ``highway``, ``wkb`` or ``wkt``, and ``all_tags`` text.
 
     The filter reads the plain column, so a scan can skip the other lines before any tag is parsed.
     """
     return extract.where(F.col("highway").isNotNull()).select(
         F.col("osm_id").cast("bigint").alias("osm_id"),
         "highway",
-        line_points(F.col("wkt")).alias("geom"),
+        (wkb_points(F.col("wkb")) if "wkb" in extract.columns else line_points(F.col("wkt"))).alias("geom"),
         tag_map(F.col("all_tags")).alias("tags"),
     )

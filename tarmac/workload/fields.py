@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.functions import accidents
-from tarmac.functions.geometry import line_points
+from tarmac.functions.geometry import line_points, to_wkb, wkb_points
 from tarmac.functions.payload import text_only, whole_number
 from tarmac.functions.roads import tag_map
 from tarmac.functions.weather import station_code
@@ -205,6 +205,24 @@ UNION ALL SELECT osm_id, 2, x2, y2 FROM ways WHERE shape = 'line'
 """
 
 
+def wkb_to_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as WKB in both byte orders and read back; cut ones give no vertex."""
+    lines = way_extract(spark, sf_dir).select("osm_id", line_points(F.col("wkt")).alias("geom"))
+    stored = lines.select("osm_id", to_wkb(F.col("geom"), F.col("osm_id") % 2 == 0).alias("wkb"))
+    cut = F.when(F.col("osm_id") % 7 == 0, F.expr("substr(wkb, 1, octet_length(wkb) - 1)")).otherwise(F.col("wkb"))
+    vertices = stored.select("osm_id", F.posexplode(wkb_points(cut)).alias("vertex", "point"))
+    return vertices.select(
+        "osm_id", F.col("vertex").cast("bigint").alias("vertex"), "point.lon", "point.lat"
+    )
+
+
+WKB_TO_POINTS = with_sql(WAYS_SQL) + """
+SELECT osm_id, CAST(0 AS BIGINT) AS vertex, x0 AS lon, y0 AS lat FROM ways WHERE shape <> 'point' AND osm_id % 7 <> 0
+UNION ALL SELECT osm_id, 1, x1, y1 FROM ways WHERE shape = 'line' AND osm_id % 7 <> 0
+UNION ALL SELECT osm_id, 2, x2, y2 FROM ways WHERE shape = 'line' AND osm_id % 7 <> 0
+"""
+
+
 def _roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return road_columns(road_lines(way_extract(spark, sf_dir)))
 
@@ -253,6 +271,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "hstore_parse": (hstore_parse, HSTORE_PARSE),
     "osm_line_scan": (osm_line_scan, OSM_LINE_SCAN),
     "wkt_to_points": (wkt_to_points, WKT_TO_POINTS),
+    "wkb_to_points": (wkb_to_points, WKB_TO_POINTS),
     "dim_road_project": (dim_road_project, DIM_ROAD_PROJECT),
     "lanes_abs": (_road_column("lanes", "bigint"), _road_column_sql("lanes", "BIGINT")),
     "oneway_flag": (_road_column("oneway", "boolean"), _road_column_sql("oneway", "BOOLEAN")),

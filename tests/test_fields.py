@@ -1,16 +1,19 @@
 """Golden cases of the field rules."""
 
 import datetime as dt
+import struct
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarmac.functions import accidents, geometry, roads, weather
+from tarmac.functions.geometry import to_wkb, wkb_points
 from tarmac.functions.numbers import truncate
 from tarmac.plans.clean import clean_weather, road_columns
 from tarmac.plans.dims import daily_weather
 from tarmac.sources.geojson import explode_features
+from tarmac.sources.landed import road_lines
 
 
 def apply(spark, values, rule, schema="v string"):
@@ -236,3 +239,34 @@ def test_road_columns(spark):
     assert (row.road_id, row.name, row.lanes, row.max_speed, row.oneway, row.is_intersection) == (
         9_000_000_000, "A", 2, 30, True, False,
     )
+
+
+NUMBERS = [0.0, -0.0, 1.0, -1.0, 0.1, 14.4378, -50.0755, 2.0**-1022, 5e-324, -3e-310, 1.7976931348623157e308, 2.0**52 + 1, 1 / 3, 0.5, 2 - 2**-52]
+
+
+def test_wkb_of_both_byte_orders(spark):
+    """Doubles of every kind are read as they were packed, and written as they would be packed."""
+    pairs = list(zip(NUMBERS, reversed(NUMBERS)))
+    packed = [struct.pack(f"{o}BII{2 * len(pairs)}d", int(o == "<"), 2, len(pairs), *[v for p in pairs for v in p]) for o in "<>"]
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(packed)], "i int, wkb binary")
+    points = df.select("i", wkb_points(F.col("wkb")).alias("p"))
+    for row in points.collect():
+        assert [(v.lon.hex(), v.lat.hex()) for v in row.p] == [(a.hex(), b.hex()) for a, b in pairs]
+    written = points.select("i", to_wkb(F.col("p"), F.col("i") == 0).alias("w")).collect()
+    assert {r.i: bytes(r.w) for r in written} == dict(enumerate(packed))
+
+
+def test_wkb_that_is_no_line(spark):
+    line = struct.pack("<BII4d", 1, 2, 2, 1.0, 2.0, 3.0, 4.0)
+    bad = [None, b"", line[:-1], line + b"x", b"\x02" + line[1:], struct.pack("<BI2d", 1, 1, 1.0, 2.0), struct.pack("<BII", 1, 2, 0)]
+    bad += [struct.pack("<BII4d", 1, 2, 2, 1.0, float("nan"), 3.0, 4.0), struct.pack("<BII4d", 1, 2, 2, 1.0, float("inf"), 3.0, 4.0)]
+    bad += [struct.pack("<BII6d", 1, 1002, 2, *[1.0] * 6), struct.pack("<BII2d", 1, 2, 0xFFFFFFFF, 1.0, 2.0), b"\x01\x02"]
+    df = spark.createDataFrame([(b and bytearray(b) if b is not None else None,) for b in bad], "wkb binary")
+    assert [r.p for r in df.select(wkb_points(F.col("wkb")).alias("p")).collect()] == [None] * len(bad)
+
+
+def test_roads_are_taken_from_wkb(spark):
+    line = bytearray(struct.pack(">BII4d", 0, 2, 2, 1.0, 2.0, 3.0, 4.0))
+    rows = [(1, "residential", line, None), (2, "primary", bytearray(b"?"), None)]
+    found = road_lines(spark.createDataFrame(rows, "osm_id bigint, highway string, wkb binary, all_tags string"))
+    assert {r.osm_id: r.geom and [tuple(v) for v in r.geom] for r in found.collect()} == {1: [(1.0, 2.0), (3.0, 4.0)], 2: None}
