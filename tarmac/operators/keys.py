@@ -43,6 +43,15 @@ def dense_ids(df: DataFrame, order: list[str | Column], id_column: str, start: i
     )
 
 
-def spread_ids(df: DataFrame, id_column: str, after: int = 0) -> DataFrame:
-    """Unique, ascending ids above ``after`` with gaps: no shuffle and no second pass."""
-    return df.select((F.monotonically_increasing_id() + F.lit(after + 1)).alias(id_column), *df.columns)
+def counted_ids(df: DataFrame, id_column: str) -> tuple[DataFrame, int]:
+    """Ids 1 to n in the order read, and n: rows stay in their partitions, which are counted once they are written."""
+    placed = cut_lineage(df.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", _ROW_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    offsets = cut_lineage(counts.select("_part", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
+    total = offsets.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = placed.join(F.broadcast(offsets), part == F.col("_part"))
+    return numbered.select((F.col("_offset") + row + 1).cast("bigint").alias(id_column), *df.columns), total

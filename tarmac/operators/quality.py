@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.functions.geometry import is_line
 from tarmac.operators.merge import has_null
+from tarmac.session import cut_lineage
 
 
 def pk_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -15,6 +16,20 @@ def pk_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def delta_pk_violations(added: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``added`` that occur more than once in it and ``target`` together, with their row count.
+
+    The least and greatest new value of each key column go into the scan of ``target``, which skips the row groups outside;
+    of the rest only rows whose key is new are counted.
+    """
+    new = cut_lineage(added.select(*keys))
+    near = target.select(*keys)
+    for key in keys:
+        near = near.where(F.col(key) >= new.agg(F.min(key)).scalar()).where(F.col(key) <= new.agg(F.max(key)).scalar())
+    met = near.join(new.distinct(), keys, "left_semi")
+    return pk_violations(new.unionByName(met), keys)
+
+
 def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(has_null(columns))
 

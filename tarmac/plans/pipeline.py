@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tarmac.operators.keys import dense_ids, max_id, spread_ids
+from tarmac.operators.keys import counted_ids, dense_ids, max_id
 from tarmac.operators.merge import unseen_sources
 from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex
 from tarmac.operators.quality import (
@@ -34,7 +34,7 @@ from tarmac.schemas import (
 from tarmac.session import cut_lineage
 from tarmac.sources import geojson, landed
 from tarmac.sources.calendar import date_spine, year_file_paths
-from tarmac.sources.tables import Table
+from tarmac.sources.tables import Table, take_ids
 
 
 def _without_scheme(path: Column) -> Column:
@@ -106,7 +106,8 @@ class Warehouse:
         """Append landed hourly responses; a repeated file adds rows that the silver key ignores."""
         raw = self.table("bronze.meteostat_raw")
         hours = landed.weather_responses(self.spark, path)
-        numbered = spread_ids(hours, "raw_id", after=max_id(raw.read(), "raw_id"))
+        numbered, count = counted_ids(hours, "raw_id")
+        numbered = numbered.withColumn("raw_id", F.col("raw_id") + take_ids(raw, "raw_id", count))
         raw.append(numbered.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")))
 
     def ingest_roads(self, extract: DataFrame) -> None:

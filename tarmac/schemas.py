@@ -65,6 +65,10 @@ PARTITIONS = {
 PROGRESS = "silver.cleaning_progress"
 PROGRESS_SCHEMA = "source_table string, raw_id bigint"
 
+# The last id given out per table.
+MARKS = "bronze.high_water"
+MARKS_SCHEMA = "source_table string, upto bigint"
+
 # How many road lines the stored index covers; lines are only ever added.
 INDEXED_SCHEMA = "lines bigint"
 

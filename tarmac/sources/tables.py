@@ -13,14 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tarmac.operators.keys import max_id
 from tarmac.operators.merge import first_per_key, has_null, new_rows
-from tarmac.schemas import PARTITIONS, SCHEMAS
+from tarmac.schemas import MARKS, MARKS_SCHEMA, PARTITIONS, SCHEMAS
 from tarmac.session import cut_lineage
 
 
 class Table:
     def __init__(self, spark: SparkSession, root: str, name: str, schema: str | None = None, part: str | None = None):
-        self.spark, self.name = spark, name
+        self.spark, self.root, self.name = spark, root, name
         self.path = f"{root.rstrip('/')}/{name.replace('.', '/')}"
         self.schema = schema or SCHEMAS[name]
         self.part = part or PARTITIONS.get(name)
@@ -126,6 +127,22 @@ class Table:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def take_ids(table: Table, id_column: str, count: int) -> int:
+    """The id after which ``count`` ids belong to the caller alone.
+
+    A small table keeps the last id given out per table, so no ids are searched for but the first time.  A range whose
+    batch is never written stays unused.
+    """
+    marks = Table(table.spark, table.root, MARKS, MARKS_SCHEMA)
+    given = {r.source_table: r.upto for r in marks.read().collect()}  # one row per table
+    after = given.get(table.name)
+    if after is None:
+        after = max_id(table.read(), id_column)
+    marks.replace(table.spark.createDataFrame([*(given | {table.name: after + count}).items()], MARKS_SCHEMA))
+    marks.drop_old_versions()
+    return after
+
+
 def write_relational(df: DataFrame, url: str, table: str, batch_rows: int = 10_000, **options) -> None:
     """Append to a relational database over JDBC, in batches; needs that database's driver."""
     df.write.mode("append").options(batchsize=str(batch_rows), **options).jdbc(url, table)

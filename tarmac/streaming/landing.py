@@ -7,9 +7,9 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.operators.keys import max_id, spread_ids
+from tarmac.operators.keys import counted_ids
 from tarmac.sources.landed import explode_hours
-from tarmac.sources.tables import Table
+from tarmac.sources.tables import Table, take_ids
 
 
 def land_weather(spark: SparkSession, path: str, table: Table, progress: str) -> StreamingQuery:
@@ -31,7 +31,8 @@ def land_weather(spark: SparkSession, path: str, table: Table, progress: str) ->
 
     def append(batch: DataFrame, number: int) -> None:
         hours = explode_hours(batch, "value", "station")
-        numbered = spread_ids(hours, "raw_id", after=max_id(table.read(), "raw_id"))
+        numbered, count = counted_ids(hours, "raw_id")
+        numbered = numbered.withColumn("raw_id", F.col("raw_id") + take_ids(table, "raw_id", count))
         table.append(numbered.withColumn("load_date", F.current_timestamp().cast("timestamp_ntz")), f"{stream}-{number}")
 
     return (

@@ -8,7 +8,7 @@ from tarmac.operators.keys import dense_ids, max_id
 from tarmac.operators.merge import first_per_key, insert_only_merge
 from tarmac.operators.nearest import PAGES_SCHEMA, NearestIndex, line_shapes, nearest_join, point_shapes
 from tarmac.functions.weather import hour_columns
-from tarmac.operators.quality import fk_violations, not_null_violations, pk_violations
+from tarmac.operators.quality import delta_pk_violations, fk_violations, not_null_violations, pk_violations
 from tarmac.plans import clean, dims, fact
 from tarmac.plans.pipeline import Warehouse
 from tarmac.sources.calendar import date_spine
@@ -363,6 +363,26 @@ FROM lineitem GROUP BY ALL HAVING count(*) > 1
 """
 
 
+def late_lines_that_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of lines of the last fifth of all orders that are stored already, or come twice."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_linestatus")
+    late = lines.where(F.col("l_orderkey") * 5 > lines.agg(F.max("l_orderkey")).scalar() * 4)
+    path = scratch_path(spark, "lines")
+    lines.where("l_linestatus = 'O'").sort("l_orderkey").write.parquet(path)
+    return delta_pk_violations(late, spark.read.parquet(path), ["l_orderkey", "l_linenumber"])
+
+
+LATE_LINES_THAT_REPEAT = """
+WITH late AS (
+  SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey * 5 > (SELECT max(l_orderkey) FROM lineitem) * 4),
+met AS (
+  SELECT l_orderkey, l_linenumber FROM lineitem
+  WHERE l_linestatus = 'O' AND (l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) FROM late))
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n_rows
+FROM (SELECT * FROM late UNION ALL SELECT * FROM met) GROUP BY ALL HAVING count(*) > 1
+"""
+
+
 def orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items whose order is not among the finished orders."""
     finished = load(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
@@ -397,5 +417,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "fact_accidents": (fact_accidents, FACT_ACCIDENTS),
     "fact_merge": (fact_merge, FACT_MERGE),
     "pk_violations": (repeated_lines, REPEATED_LINES),
+    "delta_pk_violations": (late_lines_that_repeat, LATE_LINES_THAT_REPEAT),
     "fk_violations": (orphan_lines, ORPHAN_LINES),
 }

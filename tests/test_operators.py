@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import keys, merge, quality
 from tarmac.session import scratch_path
 from tarmac.sources import bronze, calendar
-from tarmac.sources.tables import Table
+from tarmac.sources.tables import Table, take_ids
 
 SCHEMA = "k string, v string, n int"
 
@@ -41,9 +41,22 @@ def test_dense_ids(spark):
     assert keys.dense_ids(df.where("k < 0"), ["k"], "id").count() == 0
 
 
-def test_spread_ids_are_unique_and_above(spark):
-    ids = [r.raw_id for r in keys.spread_ids(spark.range(100, numPartitions=7), "raw_id", after=41).collect()]
-    assert len(set(ids)) == 100 and min(ids) == 42
+def test_counted_ids_are_dense_in_the_order_read(spark):
+    numbered, count = keys.counted_ids(spark.range(100, numPartitions=7), "raw_id")
+    assert count == 100 and [(r.raw_id, r.id) for r in numbered.orderBy("raw_id").collect()] == [(i + 1, i) for i in range(100)]
+    none, count = keys.counted_ids(spark.range(0), "raw_id")
+    assert count == 0 and none.isEmpty()
+
+
+def test_id_ranges_follow_each_other(spark):
+    """The first range starts after the ids there are; later ones look no further than the mark."""
+    table = Table(spark, scratch_path(spark, "marks"), "silver.t", "raw_id bigint, v string")
+    table.append(spark.createDataFrame([(7, "a"), (3, "b")], "raw_id bigint, v string"))
+    assert [take_ids(table, "raw_id", n) for n in (5, 0, 1, 100)] == [7, 12, 12, 13]
+    table.read = None  # not asked again
+    assert take_ids(table, "raw_id", 1) == 113
+    other = Table(spark, table.root, "silver.u", "raw_id bigint")
+    assert take_ids(other, "raw_id", 2) == 0
 
 
 def test_latest_and_newest_per_source(spark):
@@ -89,6 +102,10 @@ def test_checks(spark):
     parent = spark.createDataFrame([("a",)], "id string")
     assert rows(quality.fk_violations(df, "k", parent, "id")) == [("b", 1)]
     assert rows(quality.fk_violations(df, "v", parent.where("false"), "id")) == [("x", 1), ("y", 1)]
+    stored = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("c", "z", 9)], SCHEMA)
+    assert rows(quality.delta_pk_violations(df, stored, ["k"])) == [("a", 4)]
+    assert rows(quality.delta_pk_violations(df.where("k = 'b'"), stored, ["k"])) == []
+    assert rows(quality.delta_pk_violations(df.where("false"), stored, ["k"])) == []
     with pytest.raises(quality.ConstraintError):
         quality.require_empty(df, "anything")
 
