@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.operators.nearest import NearestIndex, build_index, line_shapes, point_shapes
 
 # The date dimension is generated with a fixed number of days; beyond this it is not broadcast.
 _SPINE_LIMIT = 50_000
+_SKETCH_KEYS = 10_000  # that the sketch of heavy keys reports at most
 
 
 def city_index(cities: DataFrame) -> NearestIndex:
@@ -39,21 +42,41 @@ def with_date_id(rows: DataFrame, dates: DataFrame, day: str = "date") -> DataFr
     return joined.drop("_day")
 
 
+def heavy_keys(rows: DataFrame, key: Column, partitions: int) -> DataFrame:
+    """``key, salts`` of the keys that hold more than half the rows of an average task, measured by a mergeable sketch.
+
+    There are fewer than twice as many of them as tasks.  ``salts`` is the number of half tasks a key fills.
+    """
+    most = min(2 * partitions, _SKETCH_KEYS)
+    sketch = F.expr(f"approx_top_k(_key, {most}, {10 * most})")
+    found, n = rows.select(key.alias("_key")).agg(sketch, F.count("*")).first()
+    half = max(1.0, n / (2 * partitions))
+    salts = [(r.item, math.ceil(r["count"] / half)) for r in found if r.item is not None and r["count"] > half]
+    return rows.sparkSession.createDataFrame(salts, "_heavy string, _salts int")
+
+
 def with_weather_id(rows: DataFrame, weather: DataFrame, row_key: str, day: str = "date") -> DataFrame:
     """Left join on station and day.
 
-    Rows without a station or day match nothing; a salt no weather row carries spreads them, so they do
-    not pile up in one task.  Weather keys are unique, so a hot station-day is split by the skew join.
+    Rows without a station or day match nothing; a salt no weather row carries spreads them, so they do not pile up in one
+    task.  Station-days that hold many rows are found first: their rows are dealt to several tasks, and their one weather row is
+    repeated for each of these.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def key(at: Column) -> Column:
+        return F.concat_ws("|", "station_id", at.cast("timestamp_ntz").cast("string"))
+
     loose = F.col("station_id").isNull() | F.col(day).isNull()
-    salt = F.when(loose, F.pmod(F.xxhash64(row_key), F.lit(1024)) + 1).otherwise(F.lit(0))
-    salted = rows.withColumn("_day", F.col(day).cast("timestamp_ntz")).withColumn("_salt", salt)
-    facts = weather.select(
-        "station_id",
-        F.col("date").cast("timestamp_ntz").alias("_day"),
-        # always 0, but not a literal: the optimizer would take a literal out of the join keys again
-        F.pmod(F.xxhash64("station_id"), F.lit(1)).alias("_salt"),
-        "weather_id",
+    heavy = F.broadcast(heavy_keys(rows, F.when(~loose, key(F.col(day))), partitions))
+    dealt = F.when(loose, -1 - F.pmod(F.xxhash64(row_key), F.lit(1024))).otherwise(
+        F.coalesce(F.pmod(F.xxhash64(row_key), F.col("_salts")), F.lit(0))
+    )
+    own = rows.withColumns({"_day": F.col(day).cast("timestamp_ntz"), "_key": key(F.col(day))})
+    salted = own.join(heavy, F.col("_key") == F.col("_heavy"), "left").select(*rows.columns, "_day", dealt.cast("int").alias("_salt"))
+    repeated = weather.select("station_id", F.col("date").cast("timestamp_ntz").alias("_day"), "weather_id", key(F.col("date")).alias("_key"))
+    facts = repeated.join(heavy, F.col("_key") == F.col("_heavy"), "left").select(
+        "station_id", "_day", "weather_id", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt")
     )
     return salted.join(facts, ["station_id", "_day", "_salt"], "left").select(
         *rows.columns, "weather_id"

@@ -198,6 +198,30 @@ FROM cents c LEFT JOIN (SELECT * FROM dim_weather WHERE category <> 'Clear') w
 """
 
 
+def left_join_weather_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join of events of which two thirds happened at one station on one day."""
+    hours = weather_raw(spark, sf_dir).select("raw_id", *hour_columns(F.col("payload"), F.col("source")))
+    weather = weather_dim(spark, sf_dir)
+    hot = weather.agg(F.min_by(F.struct("station_id", "date"), "weather_id").alias("hot"))
+    moved = hours.select("raw_id", "station_id", "date").join(F.broadcast(hot)).select(
+        "raw_id",
+        *[F.when(F.col("raw_id") % 3 > 0, F.col(f"hot.{c}")).otherwise(F.col(c)).alias(c) for c in ("station_id", "date")],
+    )
+    return fact.with_weather_id(moved, weather, "raw_id").select(
+        F.col("raw_id").alias("event_id"), "station_id", "weather_id"
+    )
+
+
+LEFT_JOIN_WEATHER_SKEWED = with_sql(WEATHER_SQL) + """
+, hot AS (SELECT station_id AS s, d AS day FROM dim_weather WHERE weather_id = 1),
+moved AS (
+  SELECT event_id, CASE WHEN event_id % 3 > 0 THEN s ELSE station_id END AS station_id,
+         CASE WHEN event_id % 3 > 0 THEN day ELSE d END AS d FROM cents, hot)
+SELECT event_id, m.station_id, w.weather_id
+FROM moved m LEFT JOIN dim_weather w ON w.station_id = m.station_id AND w.d = m.d
+"""
+
+
 def _road_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = clean.clean_roads(road_lines(way_extract(spark, sf_dir)))
     return good
@@ -407,6 +431,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "quarantined_hours": (quarantined_hours, QUARANTINED_HOURS),
     "left_join_date": (left_join_date, LEFT_JOIN_DATE),
     "left_join_weather": (left_join_weather, LEFT_JOIN_WEATHER),
+    "left_join_weather_skewed": (left_join_weather_skewed, LEFT_JOIN_WEATHER_SKEWED),
     "nearest_point": (nearest_point, NEAREST_POINT),
     "nearest_of_many_points": (nearest_of_many_points, NEAREST_OF_MANY_POINTS),
     "nearest_segment": (_nearest_road(), NEAREST_SEGMENT),

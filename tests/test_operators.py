@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators import keys, merge, quality
+from tarmac.plans import fact
 from tarmac.session import scratch_path
 from tarmac.sources import bronze, calendar
 from tarmac.sources.tables import Table, take_ids
@@ -162,3 +163,29 @@ def test_a_merge_reads_only_the_partitions_of_its_batch(spark):
     assert table.read().count() == 42 and table.read(["b"]).count() == 6
     table.replace(table.read())
     assert table.read().count() == 42 and table.batches() == ["0"]
+
+
+def test_a_hot_station_day_is_dealt_to_many_tasks(spark):
+    """Without adaptive execution, no task of the join gets more than twice the rows of the median task."""
+    n = 20_000
+    rows = spark.range(n).selectExpr(
+        "id AS accident_id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('s', id % 997) END AS station_id",
+        "CASE WHEN id % 3 = 0 THEN DATE '2024-01-01' ELSE date_add(DATE '2024-01-01', CAST(id % 300 AS INT)) END AS date",
+    )
+    weather = rows.where("station_id IS NOT NULL").select("station_id", "date").distinct()
+    weather = weather.withColumn("weather_id", F.xxhash64("station_id", "date"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = fact.with_weather_id(rows, weather, "accident_id")
+        assert joined.where("NOT weather_id <=> xxhash64(station_id, date) AND station_id IS NOT NULL").isEmpty()
+        assert joined.count() == n and joined.where("station_id IS NULL AND weather_id IS NULL").count() > 0
+        sizes = sorted(r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]

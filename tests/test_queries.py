@@ -31,7 +31,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["fact_accidents", "weather_clean", "geojson_scan", "dim_road_project", "insert_only_merge"])
+@pytest.mark.parametrize("name", ["left_join_weather", "weather_clean", "geojson_scan", "dim_road_project", "insert_only_merge"])
 def test_no_python_and_no_product(spark, name):
     text = plan(spark, name)
     for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
