@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,6 +24,13 @@ def road_index(roads: DataFrame) -> NearestIndex:
     return build_index(line_shapes(roads, "road_id", "geom"))
 
 
+def both_indexes(cities: DataFrame, roads: DataFrame) -> tuple[NearestIndex, NearestIndex]:
+    """The two indexes, made side by side: each is a series of small jobs."""
+    with ThreadPoolExecutor(2) as pool:
+        city, road = pool.submit(city_index, cities), pool.submit(road_index, roads)
+        return city.result(), road.result()
+
+
 def with_city(places: DataFrame, cities: NearestIndex, **options) -> DataFrame:
     """``places`` with ``city_id`` and ``station_id`` of the closest city."""
     return cities.join(places, "lon", "lat", {"city_id": "id", "station_id": "station_id"}, **options)

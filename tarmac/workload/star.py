@@ -299,11 +299,12 @@ SELECT accident_id, road_id, d AS distance FROM near_road
 
 
 def fact_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cities, roads = fact.both_indexes(city_dim(spark, sf_dir), _road_table(spark, sf_dir))
     rows = fact.assemble_fact(
         accident_points(spark, sf_dir),
-        fact.city_index(city_dim(spark, sf_dir)),
+        cities,
         date_spine(spark),
-        fact.road_index(_road_table(spark, sf_dir)),
+        roads,
         weather_dim(spark, sf_dir),
     )
     return rows.withColumn("date_id", F.col("date_id").cast("bigint"))
@@ -335,11 +336,12 @@ def _odd_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact merged into a target that holds every fifth accident already."""
+    cities, roads = fact.both_indexes(city_dim(spark, sf_dir), _road_table(spark, sf_dir))
     rows = fact.assemble_fact(
         _odd_accidents(spark, sf_dir),
-        fact.city_index(city_dim(spark, sf_dir)),
+        cities,
         date_spine(spark),
-        fact.road_index(_road_table(spark, sf_dir)),
+        roads,
         weather_dim(spark, sf_dir),
     ).withColumn("date_id", F.col("date_id").cast("bigint"))
     unknown = [F.lit(None).cast("bigint").alias(c) for c in ("city_id", "date_id", "road_id", "weather_id")]
