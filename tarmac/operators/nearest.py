@@ -6,8 +6,8 @@ coordinates gets the smallest id of all.
 The index follows the shapes alone: long segments are cut into pieces, the pieces are sorted by size and along a space-filling
 curve, and every ``page_shapes`` neighbours make a page, one row with its bounding box and a few places on its shapes.
 A page is a packed tree: groups of ``FAN`` neighbours have a box, groups of those again, up to one.  Places descend it, first
-along the boxes whose far corner is nearest to some shape, then into every box that is not farther than that one; no shape
-outside those boxes can be nearer.
+into a few near boxes of each level, then into every box that is not farther than the shape found there, the nearest first; no
+shape outside those boxes can be nearer.
 
 While the shapes are few (counted), the whole tree is broadcast and places are answered where they are.  Beyond that only
 the boxes of the pages are, a bounded number: a place learns from them which pages may hold its nearest shape and
@@ -25,15 +25,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac.functions.geometry import point_distance, segments
 from tarmac.operators.keys import dense_ids
-from tarmac.session import cut_lineage
+from tarmac.session import cut_lineage, wide
 
 FAN = 16  # neighbours under one box
+BEAM = 4  # boxes of each level that a place looks into for its first distance
+FIRST_LOOK = 4  # boxes not farther than that which it searches before the others are left out again
 PAGE_SHAPES = 4096
 MAX_PAGES = 100_000  # whose boxes, some 170 bytes each, are sent to every task; larger indexes have larger pages
 BROADCAST_SHAPES = 500_000  # pieces, 56 bytes each, sent to every task at most
 PIECES_PER_SHAPE = 0.5  # that cutting long segments may add on average
 LEAST_PIECES = 20_000  # that it may add in any case
-SAMPLES = 8  # places on the shapes of a page that the directory holds
+SAMPLES = 8  # places on the shapes of a page that the directory holds at least
+MOST_SAMPLES = 64  # and at most, while its pages are few
 PLACES_PER_TASK = 50_000
 SLACK = 1e-9  # relative room for rounding when boxes are left out; visiting more does no harm
 
@@ -78,96 +81,105 @@ def _usable(x: str, y: str) -> Column:
 
 
 class BoxTree:
-    """Boxes in the order given; every ``FAN`` neighbours have a box around them, and every ``FAN`` of those again."""
+    """Boxes in the order given; every ``FAN`` neighbours have a box around them, and every ``FAN`` of those again.
+
+    A level is an array of groups by side by member, so that the boxes of a group are read together.
+    """
 
     def __init__(self, low_x, low_y, high_x, high_y) -> None:
         self.reach = float(max(np.abs(side).max() for side in (low_x, low_y, high_x, high_y)))
-        self.levels = [_padded(low_x, low_y, high_x, high_y)]
-        while len(self.levels[-1][0]) > FAN:
-            low_x, low_y, high_x, high_y = (side.reshape(-1, FAN) for side in self.levels[-1])
-            self.levels.append(_padded(low_x.min(1), low_y.min(1), high_x.max(1), high_y.max(1)))
-
-    def _gaps(self, level: int, x: np.ndarray, y: np.ndarray, box: np.ndarray) -> np.ndarray:
-        """Squared distances to boxes."""
-        low_x, low_y, high_x, high_y = (side[box] for side in self.levels[level])
-        gx = np.maximum(np.maximum(low_x - x, x - high_x), 0.0)
-        gy = np.maximum(np.maximum(low_y - y, y - high_y), 0.0)
+        self.levels = [_grouped(_padded(low_x, low_y, high_x, high_y))]
+        while len(self.levels[-1]) > 1:
+            below = self.levels[-1]
+            around = below[:, 0].min(1), below[:, 1].min(1), below[:, 2].max(1), below[:, 3].max(1)
+            self.levels.append(_grouped(_padded(*around)))
+
+    def _reaches(self, level: int, x: np.ndarray, y: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Differences of places and the near and far sides of the boxes in their groups, along both axes."""
+        sides = self.levels[level][group]
+        x, y = x[:, None], y[:, None]
+        return (sides[:, 0] - x, x - sides[:, 2]), (sides[:, 1] - y, y - sides[:, 3])
+
+    def _gaps(self, level: int, x: np.ndarray, y: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Squared distances of places to the boxes in their groups."""
+        along_x, along_y = self._reaches(level, x, y, group)
+        gx, gy = np.maximum(np.maximum(*along_x), 0.0), np.maximum(np.maximum(*along_y), 0.0)
         return gx * gx + gy * gy
 
-    def within(self, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of places and boxes not farther from them than ``distance``, in lots; places ascend, each in one lot."""
-        bound = (distance * (1 + SLACK) + 1e-12 * (self.reach + np.abs(x) + np.abs(y))) ** 2
+    def bound(self, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """Squared ``distance`` with room for rounding: boxes with a greater gap are farther."""
+        return (distance * (1 + SLACK) + 1e-12 * (self.reach + np.abs(x) + np.abs(y))) ** 2
+
+    def within(self, x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places and boxes not farther from them than ``distance`` and their gaps, in lots; places ascend, each in one lot."""
+        bound = self.bound(x, y, distance)
 
-        def descend(low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            place, box = np.repeat(np.arange(low, high), FAN), np.tile(np.arange(FAN), high - low)
+        def descend(low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            place, group = np.arange(low, high), np.zeros(high - low, dtype=np.int64)
             for level in reversed(range(len(self.levels))):
-                gaps = self._gaps(level, x[place], y[place], box)
-                near = gaps <= bound[place]
-                place, box = place[near], box[near]
-                if level == 1:
-                    near = self._tighten(x, y, bound, place, box, gaps[near])
-                    place, box = place[near], box[near]
+                gaps = self._gaps(level, x[place], y[place], group)
+                row, member = np.nonzero(gaps <= bound[place, None])
+                place, group = place[row], group[row] * FAN + member
                 if not level:
-                    yield place, box
+                    yield place, group, gaps[row, member]
                 elif len(place) * FAN > _PAIRS and high - low > 1:  # places amid many near boxes go in smaller lots
                     yield from descend(low, (low + high) // 2)
                     yield from descend((low + high) // 2, high)
                     return
-                else:
-                    place, box = np.repeat(place, FAN), (box[:, None] * FAN + np.arange(FAN)).ravel()
 
         for low in range(0, len(x), _CHUNK):
             yield from descend(low, min(low + _CHUNK, len(x)))
 
-    def _tighten(self, x, y, bound, place, box, gaps) -> np.ndarray:
-        """Whether pairs at the lowest inner level are still within their bound, after a closer look if there can be one."""
-        return np.ones(len(place), dtype=bool)
-
-
-class PackedTree(BoxTree):
-    """Pieces of segments in the order given, in a tree of boxes."""
+    def beside(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places (ascending) and some of the boxes about them: at each level the ``BEAM`` best ones."""
+        place, group = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+        for level in reversed(range(len(self.levels))):
+            (west, east), (south, north) = self._reaches(level, x[place], y[place], group)
+            gx, gy = np.maximum(np.maximum(west, east), 0.0), np.maximum(np.maximum(south, north), 0.0)
+            # the nearest boxes, and among those around a place the smallest about it
+            corners = west * west + east * east + south * south + north * north
+            badness = (gx * gx + gy * gy + 0.01 * corners).reshape(len(x), -1)
+            best = np.argpartition(badness, BEAM - 1, axis=1)[:, :BEAM]
+            row = np.arange(len(x))[:, None]
+            # boxes that only fill up a group are infinitely far
+            best = np.where(np.isfinite(badness[row, best]), best, badness.argmin(axis=1)[:, None])
+            group = (group.reshape(len(x), -1)[row, best // FAN] * FAN + best % FAN).ravel()
+            place = np.repeat(np.arange(len(x)), BEAM)
+        return place, group
+
+
+class PackedTree:
+    """Pieces of segments in the order given, in a tree of boxes around every ``FAN`` of them."""
 
     def __init__(self, ax, ay, bx, by, t0, t1, own) -> None:
-        self.ax, self.ay, self.own = ax, ay, own
-        self.dx, self.dy = bx - ax, by - ay
-        self.squared = self.dx * self.dx + self.dy * self.dy
-        px, py, qx, qy = ax + t0 * self.dx, ay + t0 * self.dy, ax + t1 * self.dx, ay + t1 * self.dy
+        dx, dy = bx - ax, by - ay
+        px, py, qx, qy = ax + t0 * dx, ay + t0 * dy, ax + t1 * dx, ay + t1 * dy
         low_x, low_y, high_x, high_y = np.minimum(px, qx), np.minimum(py, qy), np.maximum(px, qx), np.maximum(py, qy)
-        super().__init__(low_x, low_y, high_x, high_y)
-
-    def _tighten(self, x, y, bound, place, box, gaps) -> np.ndarray:
-        """Look at the shapes in the nearest box of each place before the others are entered."""
-        if not len(place):
-            return np.ones(0, dtype=bool)
-        starts = np.flatnonzero(np.diff(place, prepend=-1))
-        nearest = gaps == np.repeat(np.minimum.reduceat(gaps, starts), np.diff(starts, append=len(place)))
-        at, inside = place[nearest], box[nearest]
-        shape = np.minimum(inside[:, None] * FAN + np.arange(FAN), len(self.own) - 1)
-        reached = self.distance(x[at, None], y[at, None], shape).min(axis=1)
-        room = 1e-12 * (self.reach + np.abs(x[at]) + np.abs(y[at]))
-        np.minimum.at(bound, at, (reached * (1 + SLACK) + room) ** 2)
-        return gaps <= bound[place]
-
-    def distance(self, x: np.ndarray, y: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        ax, ay, dx, dy, squared = (a[shape] for a in (self.ax, self.ay, self.dx, self.dy, self.squared))
+        sides = _grouped(_padded(low_x, low_y, high_x, high_y))
+        self.boxes = BoxTree(sides[:, 0].min(1), sides[:, 1].min(1), sides[:, 2].max(1), sides[:, 3].max(1))
+        # the last piece fills up its group
+        repeated = np.minimum(np.arange(len(sides) * FAN), len(own) - 1)
+        self.shapes = _grouped([column[repeated] for column in (ax, ay, dx, dy, dx * dx + dy * dy)])
+        self.own = own[repeated].reshape(-1, FAN)
+
+    def distance(self, x: np.ndarray, y: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Distances of each place to the ``FAN`` shapes of its group."""
+        ax, ay, dx, dy, squared = np.moveaxis(self.shapes[group], 1, 0)
+        x, y = x[:, None], y[:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
             along = ((x - ax) * dx + (y - ay) * dy) / squared
-        t = np.where(squared > 0, np.clip(along, 0.0, 1.0), 0.0)
+        t = np.where(squared > 0, np.minimum(np.maximum(along, 0.0), 1.0), 0.0)
         ex, ey = x - (ax + t * dx), y - (ay + t * dy)
         return np.sqrt(ex * ex + ey * ey)
 
-    def _first(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """A shape for each place, reached along the boxes whose far corner is nearest."""
-        children = np.arange(FAN)
-        at = np.zeros(len(x), dtype=np.int64)
-        for level in reversed(range(len(self.levels))):
-            block = at[:, None] * FAN + children
-            low_x, low_y, high_x, high_y = (side[block] for side in self.levels[level])
-            fx = np.maximum(x[:, None] - low_x, high_x - x[:, None])
-            fy = np.maximum(y[:, None] - low_y, high_y - y[:, None])
-            far = np.where(low_x <= high_x, fx * fx + fy * fy, np.inf)
-            at = block[np.arange(len(x)), far.argmin(axis=1)]
-        return at
+    def _best(self, x, y, place: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places (ascending in the pairs given) with distance and id of the nearest shape in their groups."""
+        reached = self.distance(x[place], y[place], group)
+        starts = np.flatnonzero(np.diff(place, prepend=-1))
+        best = np.minimum.reduceat(reached.min(axis=1), starts)
+        of_best = reached == np.repeat(best, np.diff(starts, append=len(place)))[:, None]
+        owner = np.where(of_best, self.own[group], np.iinfo(np.int64).max).min(axis=1)
+        return place[starts], best, np.minimum.reduceat(owner, starts)
 
     def nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distance and id of the nearest shape of each place; the smallest id among equals."""
@@ -176,21 +188,33 @@ class PackedTree(BoxTree):
         return np.concatenate([d for d, _ in found]), np.concatenate([own for _, own in found])
 
     def _nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = self._first(x, y)
-        distance, owner = self.distance(x, y, first), self.own[first]
-        for place, box in self.within(x, y, distance.copy()):
-            reached = self.distance(x[place], y[place], box)
-            starts = np.flatnonzero(np.diff(place, prepend=-1))
-            if not len(starts):  # the piece nearest to a place may lie in another tree
-                continue
-            best = np.minimum.reduceat(reached, starts)
-            own = np.where(reached == np.repeat(best, np.diff(starts, append=len(place))), self.own[box], np.iinfo(np.int64).max)
-            own, at = np.minimum.reduceat(own, starts), place[starts]
-            better = (best < distance[at]) | ((best == distance[at]) & (own < owner[at]))
-            distance[at[better]], owner[at[better]] = best[better], own[better]
+        place, group = self.boxes.beside(x, y)
+        _, distance, owner = self._best(x, y, place, group)
+        for place, group, gaps in self.boxes.within(x, y, distance.copy()):
+            # nearest boxes first: what a place finds in them rules out most of the others
+            order = np.lexsort((gaps, place))
+            place, group, gaps = place[order], group[order], gaps[order]
+            looks = FIRST_LOOK
+            while len(place):  # none at all if the nearest piece lies in another tree
+                starts = np.flatnonzero(np.diff(place, prepend=-1))
+                rank = np.arange(len(place)) - np.repeat(starts, np.diff(starts, append=len(place)))
+                now = rank < looks
+                at, best, own = self._best(x, y, place[now], group[now])
+                better = (best < distance[at]) | ((best == distance[at]) & (own < owner[at]))
+                distance[at[better]], owner[at[better]] = best[better], own[better]
+                later = ~now
+                place, group, gaps = place[later], group[later], gaps[later]
+                near = gaps <= self.boxes.bound(x[place], y[place], distance[place])
+                place, group, gaps = place[near], group[near], gaps[near]
+                looks *= 4
         return distance, owner
 
 
+def _grouped(columns) -> np.ndarray:
+    """Columns as an array of groups of ``FAN`` by column by member."""
+    return np.stack([column.reshape(-1, FAN) for column in columns], axis=1)
+
+
 def _padded(low_x, low_y, high_x, high_y) -> tuple[np.ndarray, ...]:
     """Boxes filled up to a multiple of ``FAN`` with boxes that are infinitely far from everywhere."""
     missing = -len(low_x) % FAN
@@ -216,8 +240,8 @@ class Directory:
     def candidates(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of places (by number, ascending) and the pages that may hold their nearest shape."""
         bound, _ = self.samples.nearest(x, y)
-        lots = [(np.empty(0, dtype=np.int64),) * 2, *self.boxes.within(x, y, bound)]
-        return np.concatenate([place for place, _ in lots]), self.page[np.concatenate([box for _, box in lots])]
+        lots = [(np.empty(0, dtype=np.int64),) * 3, *self.boxes.within(x, y, bound)]
+        return np.concatenate([lot[0] for lot in lots]), self.page[np.concatenate([lot[1] for lot in lots])]
 
 
 # --------------------------------------------------------------------------------------- build
@@ -280,6 +304,7 @@ def build_index(
     sorted_by = pieces.select(*_SHAPE, size.alias("size"), curve.alias("curve"))
     placed = dense_ids(sorted_by, ["size", "curve", *_ENDS, "t0"], "place", start=0)
     shapes_per_page = max(page_shapes, math.ceil((n + max(PIECES_PER_SHAPE * n, LEAST_PIECES)) / max_pages))
+    samples = min(MOST_SAMPLES, max(SAMPLES, SAMPLES * max_pages * shapes_per_page // (n + LEAST_PIECES)))
     low_x, high_x = F.least(_along("t0", "x"), _along("t1", "x")), F.greatest(_along("t0", "x"), _along("t1", "x"))
     low_y, high_y = F.least(_along("t0", "y"), _along("t1", "y")), F.greatest(_along("t0", "y"), _along("t1", "y"))
     packed = placed.groupBy(F.floor(F.col("place") / shapes_per_page).alias("page")).agg(
@@ -288,8 +313,8 @@ def build_index(
         F.sort_array(F.collect_list(F.struct("place", *_SHAPE))).alias("members"),
     )
     picked = F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(SAMPLES), F.col("n")).cast("int") - 1),
-        lambda i: F.get("members", F.floor(i * F.col("n") / F.least(F.lit(SAMPLES), F.col("n"))).cast("int")),
+        F.sequence(F.lit(0), F.least(F.lit(samples), F.col("n")).cast("int") - 1),
+        lambda i: F.get("members", F.floor(i * F.col("n") / F.least(F.lit(samples), F.col("n"))).cast("int")),
     )
 
     def on_shape(axis: str) -> Column:
@@ -361,7 +386,9 @@ class NearestIndex:
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(page, pa.int64()))
 
         usable = points.where(_usable(x, y)).select(F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
-        asked = cut_lineage(usable.distinct().withColumn("page", F.explode(candidates("px", "py"))))
+        # few bytes each, but much work: adaptive execution would put them into few tasks
+        distinct = usable.distinct().repartition(wide(spark))
+        asked = cut_lineage(distinct.withColumn("page", F.explode(candidates("px", "py"))))
         # a page in a large city is asked by many places: several tasks share them, each with its copy of the page
         tasks = asked.groupBy("page").agg(F.ceil(F.count("*") / places_per_task).cast("int").alias("tasks"))
         tasks = F.broadcast(tasks)  # one row per page, at most MAX_PAGES

@@ -60,3 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def wide(spark: SparkSession) -> int:
+    """Tasks that keep every core busy, some more than one."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt over all cores by their id, unless they are read by as many tasks already.
+
+    A compressed file of some MB is one task, whose work per row the other cores would wait for.
+    """
+    tasks = wide(rows.sparkSession)
+    return rows if rows.rdd.getNumPartitions() >= tasks else rows.repartition(tasks, key)

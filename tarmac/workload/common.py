@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tarmac.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -69,7 +71,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","wspd":'), (value * F.pmod(day, F.lit(5))).cast("decimal(10,2)").cast("string"),
         F.lit("}"),
     )
-    return load(spark, sf_dir, "events").select(
+    return spread(load(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("raw_id"),
         F.parse_json(record).alias("payload"),
         F.concat(F.lit("meteostat_hourly_"), _tag()).alias("source"),
@@ -168,7 +170,7 @@ def way_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("LINESTRING ("), vertices[0], F.lit(")")),
         ],
     )
-    return load(spark, sf_dir, "part").select(
+    return spread(load(spark, sf_dir, "part"), "p_partkey").select(
         key.alias("osm_id"), pick(key, [F.lit(h) for h in HIGHWAYS]).alias("highway"),
         wkt.alias("wkt"), tags.alias("all_tags"),
     )
@@ -221,7 +223,7 @@ def accident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as accidents: position from value and props, day from ts."""
     k = F.get_json_object("props", "$.k").cast("double")
     minutes = F.minute("ts").cast("double") / F.lit(60.0)
-    return load(spark, sf_dir, "events").select(
+    return spread(load(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("accident_id"),
         (F.col("value") * F.lit(0.5)).alias("lon"),
         (k + minutes).alias("lat"),

@@ -154,3 +154,39 @@ def test_repeated_shapes_and_ids(spark):
     for options in ({}, {"broadcast_limit": 0}):
         found = nearest_join(points, "x", "y", point_shapes(shapes, "id", "x", "y", "tag"), {"i": "id", "tag": "tag"}, **options)
         assert {r.p: (r.i, r.tag) for r in found.collect()} == {1: (4, "a"), 2: (4, "a"), 3: (4, "a")}
+
+
+def test_a_place_searches_few_groups_among_many_shapes():
+    """Twenty times the shapes on the same ground: the groups of pieces that a place searches stay about as many."""
+    met = []
+
+    class Counted(PackedTree):
+        def distance(self, x, y, group):
+            met[-1] += len(group)
+            return super().distance(x, y, group)
+
+    points = np.vstack([RNG.random((490, 2)) * 10, RNG.random((10, 2)) * 10 + [30, 0]])
+    for n in (2_000, 40_000):
+        segs = short_segments(n, length=0.3)
+        middle = np.floor((segs[:, :2] + segs[:, 2:]) * 25).astype(int)
+        segs = segs[np.lexsort((segs[:, 0], middle[:, 1], middle[:, 0] // 10))]
+        met.append(0)
+        distance, own = Counted(*segs.T, np.zeros(n), np.ones(n), np.arange(n)).nearest(*points.T)
+        want = brute(points[-50:], segs)
+        assert list(zip(own[-50:], distance[-50:])) == want
+    assert met[0] / len(points) < 40 and met[1] < 3 * met[0]
+
+
+def test_a_small_file_is_searched_by_all_cores(spark, tmp_path):
+    """One compressed file is one task; the places and lines made of it are dealt to every core."""
+    from tarmac.workload import common
+
+    spark.range(50).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "'view' AS event_type", "CAST(id AS double) AS value", "'{\"k\": 1}' AS props"
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(50).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "1 AS p_size").coalesce(1).write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    for rows in (common.accident_points, common.way_extract, common.weather_raw):
+        made = rows(spark, str(tmp_path))
+        assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and made.count() == 50
