@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 _LINE = r"(?i)^\s*LINESTRING(?:\s+Z|\s+M|\s+ZM)?\s*\(([^()]*)\)\s*$"
@@ -30,11 +32,21 @@ def line_points(wkt: Column) -> Column:
 _HEADER, _VERTEX, _LINE_TYPE = 9, 16, "00000002"
 
 
-def _digits(wkb: Column, start: Column | int, size: int) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``; the one-element array binds the value to a name, so it is made once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _turned(digits: Column, size: int, turn: Column) -> Column:
+    """Hex digits of ``size`` bytes, in the opposite order if ``turn`` holds."""
+    return _let(
+        digits, lambda d: F.when(turn, F.concat(*[F.substr(d, F.lit(2 * i + 1), F.lit(2)) for i in reversed(range(size))])).otherwise(d)
+    )
+
+
+def _digits(wkb: Column, little: Column, start: Column | int, size: int) -> Column:
     """Hex digits of a number in the bytes from ``start`` (0 is the first), most significant byte first."""
-    raw = F.hex(F.substr(wkb, F.lit(start) + 1, F.lit(size)))
-    turned = F.concat(*[F.substr(raw, F.lit(2 * i + 1), F.lit(2)) for i in reversed(range(size))])
-    return F.when(F.hex(F.substr(wkb, F.lit(1), F.lit(1))) == "01", turned).otherwise(raw)
+    return _turned(F.hex(F.substr(wkb, F.lit(start) + 1, F.lit(size))), size, little)
 
 
 def _number(digits: Column) -> Column:
@@ -43,56 +55,82 @@ def _number(digits: Column) -> Column:
 
 def _double(digits: Column) -> Column:
     """IEEE 754 double of 16 hex digits; infinities and NaN give NULL."""
-    high, low = _number(F.substr(digits, F.lit(1), F.lit(8))), _number(F.substr(digits, F.lit(9), F.lit(8)))
-    exponent = F.shiftright(high, 20).bitwiseAND(F.lit(2047))
-    fraction = (F.shiftleft(high.bitwiseAND(F.lit(0xFFFFF)), 32) + low).cast("double")
-    sign = F.when(F.shiftright(high, 31) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
-    normal = (fraction / F.lit(2.0**52) + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
-    tiny = fraction / F.lit(2.0**52) * F.lit(2.0**-1022)
-    return F.when(exponent < 2047, sign * F.when(exponent == 0, tiny).otherwise(normal))
+
+    def value(high: Column, exponent: Column, fraction: Column) -> Column:
+        sign = F.when(F.shiftright(high, 31) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
+        normal = (fraction + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
+        tiny = fraction * F.lit(2.0**-1022)
+        return F.when(exponent < 2047, sign * F.when(exponent == 0, tiny).otherwise(normal))
+
+    def parts(halves: Column) -> Column:
+        exponent = F.shiftright(halves["high"], 20).bitwiseAND(F.lit(2047))
+        fraction = (F.shiftleft(halves["high"].bitwiseAND(F.lit(0xFFFFF)), 32) + halves["low"]).cast("double") / F.lit(2.0**52)
+        return _let(exponent, lambda e: value(halves["high"], e, fraction))
+
+    def halves(d: Column) -> Column:
+        high, low = _number(F.substr(d, F.lit(1), F.lit(8))), _number(F.substr(d, F.lit(9), F.lit(8)))
+        return _let(F.struct(high.alias("high"), low.alias("low")), parts)
+
+    return _let(digits, halves)
 
 
 def wkb_points(wkb: Column) -> Column:
     """Vertices of a WKB line of either byte order; other types, lengths or numbers give NULL."""
-    order = F.hex(F.substr(wkb, F.lit(1), F.lit(1)))
-    count = _number(_digits(wkb, 5, 4))
-    sound = order.isin("00", "01") & (_digits(wkb, 1, 4) == _LINE_TYPE) & (F.octet_length(wkb) == count * _VERTEX + _HEADER) & (count > 0)
 
-    def vertex(i: Column) -> Column:
-        at = i * _VERTEX + _HEADER
-        return F.struct(_double(_digits(wkb, at, 8)).alias("lon"), _double(_digits(wkb, at + 8, 8)).alias("lat"))
+    def read(w: Column, order: Column) -> Column:
+        little = order == "01"
+        count = _number(_digits(w, little, 5, 4))
+        kind = order.isin("00", "01") & (_digits(w, little, 1, 4) == _LINE_TYPE)
+        sound = kind & (F.octet_length(w) == count * _VERTEX + _HEADER) & (count > 0)
+
+        def vertex(i: Column) -> Column:
+            at = i * _VERTEX + _HEADER
+            return F.struct(_double(_digits(w, little, at, 8)).alias("lon"), _double(_digits(w, little, at + 8, 8)).alias("lat"))
 
-    points = F.transform(F.sequence(F.lit(0), count.cast("int") - 1), vertex)
-    whole = F.transform(F.array(points), lambda p: F.when(~F.exists(p, lambda v: v["lon"].isNull() | v["lat"].isNull()), p))
-    return F.when(sound, F.get(whole, F.lit(0)))
+        points = F.transform(F.sequence(F.lit(0), count.cast("int") - 1), vertex)
+        whole = _let(points, lambda p: F.when(~F.exists(p, lambda v: v["lon"].isNull() | v["lat"].isNull()), p))
+        return F.when(sound, whole)
+
+    return _let(wkb, lambda w: _let(F.hex(F.substr(w, F.lit(1), F.lit(1))), lambda order: read(w, order)))
 
 
 def _bits(value: Column) -> Column:
     """The 16 hex digits of a finite double."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("double")  # may be one off beside a power of two
-    guess = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
-    exponent = F.greatest(guess, F.lit(-1022.0))
-    tiny = size < F.lit(2.0**-1022)
-    scaled = size / F.pow(F.lit(2.0), exponent)
-    fraction = ((scaled - F.when(tiny, F.lit(0.0)).otherwise(F.lit(1.0))) * F.lit(2.0**52)).cast("bigint")
-    number = F.shiftleft(F.when(tiny, F.lit(0)).otherwise((exponent + 1023).cast("bigint")), 52) + fraction
-    signed = F.when((value < 0) | (value.cast("string") == "-0.0"), number.bitwiseOR(F.lit(-(1 << 63)))).otherwise(number)
-    return F.lpad(F.hex(F.when(size == 0, F.when(value.cast("string") == "-0.0", F.lit(-(1 << 63))).otherwise(F.lit(0).cast("bigint"))).otherwise(signed)), 16, "0")
+    negative_zero = value.cast("string") == "-0.0"
+
+    def digits(size: Column, guess: Column) -> Column:
+        exponent = F.greatest(guess, F.lit(-1022.0))
+        tiny = size < F.lit(2.0**-1022)
+        scaled = size / F.pow(F.lit(2.0), exponent)
+        fraction = ((scaled - F.when(tiny, F.lit(0.0)).otherwise(F.lit(1.0))) * F.lit(2.0**52)).cast("bigint")
+        number = F.shiftleft(F.when(tiny, F.lit(0)).otherwise((exponent + 1023).cast("bigint")), 52) + fraction
+        signed = F.when(value < 0, number.bitwiseOR(F.lit(-(1 << 63)))).otherwise(number)
+        zero = F.when(negative_zero, F.lit(-(1 << 63))).otherwise(F.lit(0).cast("bigint"))
+        return F.lpad(F.hex(F.when(size == 0, zero).otherwise(signed)), 16, "0")
+
+    def beside_power(size: Column, guess: Column) -> Column:  # may be one off beside a power of two
+        low, high = F.pow(F.lit(2.0), guess), F.pow(F.lit(2.0), guess + 1)
+        return F.when(low > size, guess - 1).when(high <= size, guess + 1).otherwise(guess)
+
+    def of(size: Column) -> Column:
+        guess = _let(F.floor(F.log2(size)).cast("double"), lambda g: beside_power(size, g))
+        return _let(guess, lambda g: digits(size, g))
+
+    return _let(F.abs(value), of)
 
 
 def to_wkb(points: Column, little: Column) -> Column:
     """WKB of a line, in little or big byte order."""
 
-    def ordered(digits: Column, size: int) -> Column:
-        turned = F.concat(*[F.substr(digits, F.lit(2 * i + 1), F.lit(2)) for i in reversed(range(size))])
-        return F.when(little, turned).otherwise(digits)
+    def written(p: Column) -> Column:
+        head = F.concat(
+            F.when(little, "01").otherwise("00"), _turned(F.lit(_LINE_TYPE), 4, little),
+            _turned(F.lpad(F.hex(F.size(p).cast("bigint")), 8, "0"), 4, little),
+        )
+        body = F.transform(p, lambda v: F.concat(_turned(_bits(v["lon"]), 8, little), _turned(_bits(v["lat"]), 8, little)))
+        return F.unhex(F.concat(head, F.array_join(body, "")))
 
-    head = F.concat(
-        F.when(little, "01").otherwise("00"), ordered(F.lit(_LINE_TYPE), 4), ordered(F.lpad(F.hex(F.size(points).cast("bigint")), 8, "0"), 4)
-    )
-    body = F.transform(points, lambda p: F.concat(ordered(_bits(p["lon"]), 8), ordered(_bits(p["lat"]), 8)))
-    return F.unhex(F.concat(head, F.array_join(body, "")))
+    return _let(points, written)
 
 
 def is_line(points: Column) -> Column:

@@ -270,3 +270,9 @@ def test_roads_are_taken_from_wkb(spark):
     rows = [(1, "residential", line, None), (2, "primary", bytearray(b"?"), None)]
     found = road_lines(spark.createDataFrame(rows, "osm_id bigint, highway string, wkb binary, all_tags string"))
     assert {r.osm_id: r.geom and [tuple(v) for v in r.geom] for r in found.collect()} == {1: [(1.0, 2.0), (3.0, 4.0)], 2: None}
+
+
+def test_wkb_expressions_make_each_value_once():
+    """Each number's digits are bound to a name; written out again at every use, they were made over and over."""
+    written, read = str(to_wkb(F.col("p"), F.col("little"))), str(wkb_points(F.col("wkb")))
+    assert read.lower().count("hex(") < 20 and written.lower().count("log2(") < 10
