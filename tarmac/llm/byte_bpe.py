@@ -57,6 +57,10 @@ class _Recent(dict):
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self._older = {}
+
 
 class ByteBpe:
     """Encoder and decoder of one rank file (a line per token: base64 of its bytes, rank) and split pattern."""
@@ -72,6 +76,11 @@ class ByteBpe:
         self._pairs = _Recent(self._pair)
         self._leaves = _Recent(self._leaf)
 
+    def forget(self) -> None:
+        """Let go of the encodings remembered, 100 MB and more in a worker that goes on to other work."""
+        for memory in (self._tokens, self._parts, self._pairs, self._leaves):
+            memory.forget()
+
     def _piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode()
         whole = self.ranks.get(data)
@@ -188,9 +197,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _loaded(ranks, pattern)
-        for batch in batches:
-            ids = pa.array([coder.encode(t.as_py() or "") for t in batch.column(text)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
+        try:
+            for batch in batches:
+                ids = pa.array([coder.encode(t.as_py() or "") for t in batch.column(text)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
+        finally:
+            coder.forget()
 
     return docs.mapInArrow(run, schema)
 

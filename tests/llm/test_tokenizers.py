@@ -93,3 +93,19 @@ def test_vocabulary_of_another_kind_is_refused():
         content = file.read()
     with pytest.raises(ValueError):
         token_counts.TokenCounter(content)
+
+
+def test_encoding_leaves_no_memories_in_a_worker(spark):
+    """A worker that goes on to other work keeps the vocabulary, not the encodings of the texts it met."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts()[:50])], "doc_id int, text string").coalesce(1)
+
+    def left(batches):
+        import pyarrow as pa
+
+        list(batches)
+        kept = [len(m) + len(m._older) for c in byte_bpe._LOADED.values() for m in (c._tokens, c._parts, c._pairs, c._leaves)]
+        yield pa.RecordBatch.from_pydict({"n": [sum(kept)]})
+
+    assert byte_bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN).collect()
+    for _ in range(3):
+        assert spark.range(8).repartition(8).mapInArrow(left, "n long").agg(F.max("n")).first()[0] == 0
