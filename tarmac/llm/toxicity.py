@@ -172,7 +172,8 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
         for batch in batches:
             for body, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
                 seen = sorted({form for word in set(_WORD.findall(body.as_py().lower())) for form in forms(word)})
-                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([toxic] * len(seen))], names=["form", "toxic"])
+                ones = pa.array([toxic] * len(seen), pa.float64())  # a text without words has none, and an untyped empty array fails
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), ones], names=["form", "toxic"])
 
     totals = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_toxic, n_clean = (totals[0] or 0.0), (totals[1] or 0.0)
