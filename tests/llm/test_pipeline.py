@@ -1,9 +1,14 @@
 """The corpus pipeline: stage by stage against plain versions, over odd rows, and the registered queries."""
 
 import base64
+import os
+import subprocess
+import sys
 
 import duckdb  # noqa: F401
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 
@@ -60,6 +65,35 @@ def test_stages_take_odd_rows_and_empty_tables(spark, make_docs, name):
     assert stage(name)(spark, make_docs([]), SF).count() == 0
 
 
+SMALL_HEAP = """
+import sys
+from pyspark.sql import SparkSession
+import corpus_pipeline
+at = sys.argv[1]
+conf = {"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.checkpoint.dir": f"{at}/kept", "spark.sql.warehouse.dir": at}
+spark = SparkSession.builder.master("local[1]").config(map=conf).getOrCreate()
+docs = spark.read.parquet(f"{at}/documents.parquet")
+dict(corpus_pipeline.STAGES)[sys.argv[2]](spark, docs, at).write.parquet(f"{at}/out")
+print("rows", spark.read.parquet(f"{at}/out").count())
+"""
+
+
+@pytest.mark.parametrize("name", ["toxicity", "pii", "mixing"])
+def test_stages_read_long_texts_in_a_small_heap(tmp_path, name):
+    # one row group of 2,000 texts of 150,000 characters, 300 MB unpacked
+    n = 2_000
+    texts = pa.array([f"{i} " + "lorem ipsum " * 12_500 for i in range(n)], pa.string())
+    other = {"lang": ["en"] * n, "source": ["a"] * n, "n_chars": pa.array([150_000] * n, pa.int64())}
+    docs = pa.table({"doc_id": pa.array(range(n), pa.int64()), "text": texts, **other})
+    pq.write_table(docs, tmp_path / "documents.parquet", use_dictionary=False, compression="zstd")
+    pq.write_table(pa.table({"doc_id": pa.array([], pa.int64()), "toxic": pa.array([], pa.int32())}), tmp_path / "labels.parquet")
+    args = [sys.executable, "-c", SMALL_HEAP, str(tmp_path), name]
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--driver-memory 640m pyspark-shell", "PYTHONPATH": os.pathsep.join(sys.path)}
+    done = subprocess.run(args, env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows " in done.stdout, done.stderr[-3000:]
+    assert name == "mixing" or f"rows {n}" in done.stdout
+
+
 @pytest.fixture(scope="module")
 def connection():
     return database(SF)
